@@ -1,12 +1,20 @@
-"""License list refresh: gated on the list's version."""
+"""License list refresh, gated on the list's version."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.cursors import INITIAL
+from tidemark.operators.licenses import list_profile
 from tidemark.operators.merge import upsert
+from tidemark.operators.quality import require_rows
+from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
+from tidemark.sources.licenses import parse_license_list
+
+SOURCE = "license_list"
+TABLE = "license_ref"
 
 
 def is_new_edition(edition: str, stored: str) -> bool:
@@ -19,7 +27,30 @@ def refreshed_licenses(stored: DataFrame, edition: DataFrame) -> DataFrame:
     return upsert(stored, edition, ["license_id"])
 
 
-def edition_of(licenses: DataFrame) -> str | None:
-    """Version of a parsed list; one short row."""
-    row = licenses.agg(F.max("list_version").alias("v")).first()
-    return row.v if row else None
+def license_ref(store: Store, at: Checkpoint | None = None) -> DataFrame:
+    at = at or store.checkpoint(SOURCE)
+    return store.read(TABLE, at.folders.get(TABLE, []), schemas.LICENSE_REF)
+
+
+def sync_licenses(store: Store, list_documents: DataFrame) -> RunResult:
+    """Stores a new edition of the list; an edition already stored is left alone."""
+
+    def work(before: Checkpoint, run: Run) -> RunResult:
+        edition = parse_license_list(list_documents)
+        require_rows(edition, "license list")
+        version = edition.agg(F.max("list_version").alias("v")).first().v
+        profile = list_profile(edition).first().asDict()
+        if not is_new_edition(version, before.watermark):
+            return RunResult(before.watermark, before.folders, metrics={"rewritten": False})
+        rows = edition.withColumn("synced_at", F.current_timestamp())
+        batch = rows.select(*schemas.LICENSE_REF.names)
+        store.write(TABLE, run.id, refreshed_licenses(license_ref(store, before), batch))
+        return RunResult(
+            version,
+            {TABLE: [run.id]},
+            inserted=profile["license_count"],
+            pages=1,
+            metrics={**profile, "rewritten": True},
+        )
+
+    return run_job(store, SOURCE, work)

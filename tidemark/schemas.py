@@ -44,6 +44,7 @@ CATALOG_INDEX_DOC = T.StructType(
 CATALOG_PAGE_DOC = T.StructType(
     [
         T.StructField("@id", STR),
+        T.StructField("commitTimeStamp", STR),
         T.StructField(
             "items",
             T.ArrayType(
@@ -110,8 +111,36 @@ LICENSE_LIST_DOC = T.StructType(
 )
 
 # --- stored tables -----------------------------------------------------------
-# commit_at / commit_text: time of the catalog entry a row was last set from.
-# The text is kept since its seventh fractional digit does not fit a timestamp.
+
+# When a catalog entry was committed.  The text is kept, since its seventh
+# fractional digit does not fit a timestamp.
+COMMIT = _struct(commit_at=TS, commit_text=STR)
+# Where it stood: page and position settle the order of equal commits.
+PLACE = _struct(page_commit=STR, page_url=STR, position=INT)
+
+# Every applied or rejected event, one folder per batch, split by kind
+# (details, delete, reject).
+CATALOG_LOG = _struct(
+    package_id=STR,
+    version=STR,
+    commit=COMMIT,
+    place=PLACE,
+    leaf_url=STR,
+    ref_package_id=STR,
+    ref_version=STR,
+    published_at=TS,
+    listed=BOOL,
+    project_url=STR,
+    license_expression=STR,
+    deprecated=BOOL,
+    deprecation_reasons=T.ArrayType(STR),
+    alternative_package=STR,
+    deprecation_message=STR,
+    raw_metadata=STR,
+    synced_at=TS,
+    reason=STR,
+    kind=STR,
+)
 
 PACKAGE_STATE = _struct(
     package_id=STR,
@@ -121,9 +150,8 @@ PACKAGE_STATE = _struct(
     raw_metadata=STR,
     synced_at=TS,
     source_updated_at=TS,
-    deleted_at=TS,
-    commit_at=TS,
-    commit_text=STR,
+    details_at=COMMIT,
+    deleted_at=COMMIT,
 )
 
 VERSION_STATE = _struct(
@@ -142,9 +170,8 @@ VERSION_STATE = _struct(
     deprecation_message=STR,
     raw_metadata=STR,
     synced_at=TS,
-    deleted_at=TS,
-    commit_at=TS,
-    commit_text=STR,
+    details_at=COMMIT,
+    deleted_at=COMMIT,
 )
 
 LICENSE_REF = _struct(
@@ -156,8 +183,8 @@ LICENSE_REF = _struct(
     reference_url=STR,
     see_also_urls=T.ArrayType(STR),
     raw_metadata=STR,
-    synced_at=TS,
     source_updated_at=TS,
+    synced_at=TS,
 )
 
 LICENSE_VERDICT = _struct(

@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.times import parse_instant
-from tidemark.functions.versions import package_url, version_parts
+from tidemark.functions.times import commit_key, parse_instant
 from tidemark.operators.events import is_delete
 
 
@@ -22,7 +21,7 @@ def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) ->
     One document per line splits over tasks; one per file suits small files.
     Folders named ``column=value`` become columns, and filters on them skip files.
     """
-    return spark.read.option("wholetext", one_per_file).text(path)
+    return spark.read.text(path, wholetext=one_per_file)
 
 
 def _ddl_json(value: Column, schema, corrupt: str | None = None) -> Column:
@@ -38,33 +37,37 @@ def parse_index(documents: DataFrame) -> DataFrame:
     pages = documents.select(F.explode(doc.getField("items")).alias("page"))
     return pages.select(
         F.col("page.`@id`").alias("page_url"),
-        parse_instant(F.col("page.commitTimeStamp")).alias("commit_at"),
-        F.col("page.commitTimeStamp").alias("commit_text"),
+        commit_key(F.col("page.commitTimeStamp")).alias("commit"),
         F.col("page.count").alias("event_count"),
     )
 
 
 def parse_pages(documents: DataFrame) -> DataFrame:
-    """One row per event reference, with its place in the page."""
+    """One row per event reference, with its place in the catalog."""
     doc = _ddl_json(F.col("value"), schemas.CATALOG_PAGE_DOC)
     parsed = documents.select(doc.alias("doc"))
     refs = parsed.select(
-        F.col("doc.`@id`").alias("page_url"), F.posexplode("doc.items").alias("position", "ref")
+        F.col("doc.commitTimeStamp").alias("page_commit"),
+        F.col("doc.`@id`").alias("page_url"),
+        F.posexplode("doc.items").alias("position", "ref"),
     )
     return refs.select(
-        "page_url",
-        "position",
+        F.struct("page_commit", "page_url", "position").alias("place"),
         F.col("ref.`@id`").alias("leaf_url"),
         F.col("ref.`@type`").alias("event_type"),
-        parse_instant(F.col("ref.commitTimeStamp")).alias("commit_at"),
-        F.col("ref.commitTimeStamp").alias("commit_text"),
+        commit_key(F.col("ref.commitTimeStamp")).alias("commit"),
         F.col("ref.`nuget:id`").alias("package_id"),
         F.col("ref.`nuget:version`").alias("version"),
     )
 
 
 def parse_leaves(documents: DataFrame) -> DataFrame:
-    """One row per leaf; ``problem`` says why a leaf cannot be used, null if it can."""
+    """One row per leaf; ``problem`` says why a leaf cannot be used, null if it can.
+
+    A leaf names its own URL; a ``url`` column of the documents, where the landing
+    job wrote one, stands in for leaves that cannot be read.
+    """
+    landed_url = F.col("url") if "url" in documents.columns else F.lit(None).cast("string")
     doc = _ddl_json(F.col("value"), schemas.LEAF_DOC, schemas.CORRUPT)
     leaves = documents.withColumn("doc", doc)
     published = parse_instant(F.col("doc.published"))
@@ -78,7 +81,7 @@ def parse_leaves(documents: DataFrame) -> DataFrame:
     )
     deprecation = F.col("doc.deprecation")
     return leaves.select(
-        F.col("doc.`@id`").alias("leaf_url"),
+        F.coalesce(F.col("doc.`@id`"), landed_url).alias("leaf_url"),
         F.col("doc.id").alias("leaf_id"),
         F.col("doc.version").alias("leaf_version"),
         published.alias("published_at"),
@@ -91,65 +94,65 @@ def parse_leaves(documents: DataFrame) -> DataFrame:
         deprecation.getField("message").alias("deprecation_message"),
         F.col("value").alias("raw_metadata"),
         problem.alias("problem"),
-        *[F.col(c) for c in documents.columns if c != "value"],
     )
 
 
-def _details(refs: DataFrame) -> DataFrame:
-    # The same page may be landed or listed twice: equal references are one.
-    return refs.filter(~is_delete(F.col("event_type"))).distinct()
+def once(refs: DataFrame) -> DataFrame:
+    """A reference listed or landed several times counts once, at its last place."""
+    rest = [c for c in refs.columns if c != "place"]
+    return refs.groupBy(*rest).agg(F.max("place").alias("place"))
+
+
+def one_per_url(leaves: DataFrame) -> DataFrame:
+    """A leaf landed several times counts once, a usable copy before a broken one."""
+    rest = [c for c in leaves.columns if c != "leaf_url"]
+    usable = F.col("problem").isNull().alias("usable")
+    best = leaves.groupBy("leaf_url").agg(F.max(F.struct(usable, *rest)).alias("best"))
+    return best.select("leaf_url", *[F.col(f"best.{c}").alias(c) for c in rest])
 
 
-def resolved_details(refs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Details events with their leaf.
+def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Every reference as an event of one ``kind``: details, delete or reject.
 
-    The row takes its identity from the leaf; ``ref_package_id`` and
-    ``ref_version`` keep what the reference said, for the identity check.
+    Details carry their leaf and take their identity from it; the reference's own
+    stays in ``ref_package_id`` and ``ref_version``.  A reference whose leaf is
+    missing or unusable is a reject with its ``reason``, so nothing is lost
+    silently.  Deletes need no leaf.
     """
-    named = _details(refs).select(
+    named = once(refs)
+    gone = is_delete(F.col("event_type"))
+    deletes = named.filter(gone).drop("event_type").withColumn("kind", F.lit("delete"))
+    wanted = named.filter(~gone).select(
         "leaf_url",
-        "event_type",
-        "position",
-        "page_url",
-        "commit_at",
-        "commit_text",
+        "commit",
+        "place",
         F.col("package_id").alias("ref_package_id"),
         F.col("version").alias("ref_version"),
     )
-    usable = leaves.filter(F.col("problem").isNull()).drop("problem")
-    joined = named.join(usable, "leaf_url")
-    return (
-        joined.withColumnsRenamed({"leaf_id": "package_id", "leaf_version": "version"})
-        .withColumn("purl", package_url(F.col("package_id"), F.col("version")))
-        .withColumn("parts", version_parts(F.col("version")))
-        .withColumns({p: F.col(f"parts.{p}") for p in ("major", "minor", "patch", "prerelease")})
-        .drop("parts")
+    found = one_per_url(leaves).withColumn("found", F.lit(True))
+    joined = wanted.join(found, "leaf_url", "left")
+    reason = F.when(F.col("found").isNull(), F.lit("missing_leaf")).otherwise(F.col("problem"))
+    details = (
+        joined.withColumn("reason", reason)
+        .withColumn("package_id", F.coalesce("leaf_id", "ref_package_id"))
+        .withColumn("version", F.coalesce("leaf_version", "ref_version"))
+        .withColumn(
+            "kind", F.when(F.col("reason").isNull(), F.lit("details")).otherwise(F.lit("reject"))
+        )
+        .drop("found", "problem", "leaf_id", "leaf_version", "event_type")
     )
+    return details.unionByName(deletes, allowMissingColumns=True)
 
 
-def rejected_refs(refs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Details events that cannot be applied, with the reason."""
-    states = leaves.groupBy("leaf_url").agg(
-        F.bool_or(F.col("problem").isNull()).alias("usable"), F.min("problem").alias("problem")
-    )
-    return (
-        _details(refs)
-        .join(states, "leaf_url", "left")
-        .filter(~F.coalesce("usable", F.lit(False)))
-        .select(
-            "leaf_url",
-            "package_id",
-            "version",
-            "commit_at",
-            "commit_text",
-            F.coalesce("problem", F.lit("missing_leaf")).alias("reason"),
-        )
+def rejected(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("kind") == "reject").select(
+        "leaf_url", "package_id", "version", "commit", "reason"
     )
 
 
-def identity_mismatches(details: DataFrame) -> DataFrame:
+def identity_mismatches(events: DataFrame) -> DataFrame:
     """Details whose reference and leaf name different packages or versions."""
     same = F.col("ref_package_id").eqNullSafe(F.col("package_id")) & F.col(
         "ref_version"
     ).eqNullSafe(F.col("version"))
-    return details.filter(~same)
+    return events.filter((F.col("kind") == "details") & ~same)
