@@ -14,6 +14,7 @@ def spark():
 
     session = local_session("tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
 
 

@@ -26,7 +26,7 @@ def version_changes(events: DataFrame) -> DataFrame:
         "synced_at",
     ]
     last = net_changes(
-        events,
+        events.filter(F.col("kind") != "reject"),
         VERSION_KEYS,
         commit=F.col("commit"),
         deletes=F.col("kind") == "delete",

@@ -143,19 +143,15 @@ def _merged(store: Store, at: Checkpoint, table: str, schema, keys, changes: Dat
     return merge(store.read(table, stored, schema), changes, keys).select(*columns)
 
 
-def _applied(store: Store, at: Checkpoint) -> DataFrame:
-    return catalog_log(store, at).filter(F.col("kind").isin("details", "delete"))
-
-
 def stored_versions(store: Store, at: Checkpoint | None = None) -> DataFrame:
     at = at or store.checkpoint(SOURCE)
-    changes = version_changes(_applied(store, at))
+    changes = version_changes(catalog_log(store, at))
     return _merged(store, at, VERSIONS, schemas.VERSION_STATE, VERSION_KEYS, changes)
 
 
 def stored_packages(store: Store, at: Checkpoint | None = None) -> DataFrame:
     at = at or store.checkpoint(SOURCE)
-    changes = package_changes(_applied(store, at))
+    changes = package_changes(catalog_log(store, at))
     return _merged(store, at, PACKAGES, schemas.PACKAGE_STATE, PACKAGE_KEYS, changes)
 
 

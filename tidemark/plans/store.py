@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,17 +68,17 @@ class Store:
         return reader.parquet(*paths).select(*schema.names)
 
     def _rows(self, table: str, schema: StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
     def _append(self, table: str, schema: StructType, **values: Any) -> None:
-        row = [tuple(values.get(name) for name in schema.names)]
-        frame = self.spark.createDataFrame(row, schema).coalesce(1)
-        frame.write.mode("append").parquet(f"{self.root}/{table}")
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema]
+        )
+        row.write.mode("append").parquet(f"{self.root}/{table}")
 
     # --- checkpoints ---------------------------------------------------------
 

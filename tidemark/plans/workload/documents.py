@@ -1,3 +1,333 @@
-"""Catalog and license-list documents written by Spark from the tables and parsed back."""
+"""Catalog and license-list documents, written by Spark from the tables and read back.
+
+Each event becomes one page document and each details event one leaf; days are
+the catalog's pages.  A few leaves are unusable or missing on purpose.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.events import current_state
+from tidemark.operators.licenses import list_profile
+from tidemark.operators.versions import package_changes, version_changes
+from tidemark.plans import catalog
+from tidemark.plans.store import Store
+from tidemark.plans.workload.registry import query, table
+from tidemark.plans.workload.standins import licenses
+from tidemark.session import shared_dir
+from tidemark.sources import (
+    catalog_events,
+    parse_index,
+    parse_leaves,
+    parse_license_list,
+    parse_pages,
+    rejected,
+)
+from tidemark.streaming.catalog_stream import stream_pages
+
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+# The same events in SQL; ``problem`` says what is wrong with a leaf.
+_EVENTS = r"""ev AS (
+  SELECT event_id, user_id, ts, value, event_type = 'error' AS gone,
+         concat('https://c.example/leaf/', CAST(event_id AS VARCHAR)) AS leaf_url,
+         concat('pkg.', CAST(user_id AS VARCHAR)) AS package_id,
+         concat(json_extract_string(props, '$.k'), '.0-r1') AS version,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         concat(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'Z') AS commit_text,
+         concat('https://c.example/page/', CAST(CAST(ts AS DATE) AS VARCHAR)) AS page_url,
+         CASE WHEN event_type = 'error' THEN NULL WHEN value < 2 THEN 'missing_leaf'
+              WHEN value < 4 THEN 'unreadable' WHEN value < 6 THEN 'missing_field'
+              WHEN value < 8 THEN 'bad_published' END AS problem
+  FROM events)"""
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        "value",
+        k.cast("int").alias("k"),
+        F.concat(F.lit("https://c.example/leaf/"), F.col("event_id").cast("string")).alias("url"),
+        F.concat(F.lit("pkg."), F.col("user_id").cast("string")).alias("id"),
+        F.concat(k, F.lit(".0-r1")).alias("version"),
+        F.date_format("ts", _ISO).alias("commit"),
+        F.to_date("ts").alias("day"),
+        F.concat(
+            F.lit("nuget:"),
+            F.when(F.col("event_type") == "error", F.lit("PackageDelete")).otherwise(
+                F.lit("PackageDetails")
+            ),
+        ).alias("type"),
+    )
+
+
+def _page_url(day: str = "day"):
+    return F.concat(F.lit("https://c.example/page/"), F.col(day).cast("string"))
+
+
+def _index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _events(spark, sf_dir).groupBy("day").agg(F.max("commit").alias("commit"))
+    item = F.struct(_page_url().alias("@id"), F.col("commit").alias("commitTimeStamp"))
+    return days.select(
+        F.to_json(
+            F.struct(F.col("commit").alias("commitTimeStamp"), F.array(item).alias("items"))
+        ).alias("value")
+    )
+
+
+def _page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct(
+        F.col("url").alias("@id"),
+        F.col("type").alias("@type"),
+        F.col("commit").alias("commitTimeStamp"),
+        F.col("id").alias("nuget:id"),
+        F.col("version").alias("nuget:version"),
+    )
+    page = F.struct(
+        _page_url().alias("@id"),
+        F.concat(F.col("day").cast("string"), F.lit("T23:59:59Z")).alias("commitTimeStamp"),
+        F.array(item).alias("items"),
+    )
+    return _events(spark, sf_dir).select(F.to_json(page).alias("value"))
+
+
+def _leaf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    details = _events(spark, sf_dir).filter("type <> 'nuget:PackageDelete' AND value >= 2")
+    k = F.col("k")
+    alternate = F.when(k % 6 == 0, F.struct(F.concat(F.lit("alt."), k.cast("string")).alias("id")))
+    block = F.struct(
+        F.when(k % 9 == 0, F.array(F.lit("Legacy"), F.lit("Other"))).alias("reasons"),
+        alternate.alias("alternatePackage"),
+        F.when(k % 2 == 0, F.lit("moved on")).alias("message"),
+    )
+    body = F.struct(
+        F.col("url").alias("@id"),
+        "id",
+        "version",
+        F.when(F.col("value") >= 8, F.col("commit"))
+        .when(F.col("value") >= 6, F.lit("some day"))
+        .alias("published"),
+        F.when(k % 4 > 0, k % 4 == 1).alias("listed"),
+        F.when(k % 5 == 0, F.lit("MIT")).alias("licenseExpression"),
+        F.when(k % 5 == 1, F.lit("https://p.example")).alias("projectUrl"),
+        F.when(k % 3 == 0, block).alias("deprecation"),
+        F.lit("not read").alias("title"),
+    )
+    text = F.to_json(body)
+    cut = F.substring(text, F.lit(1), F.length(text) - 1)
+    return details.select(
+        F.when((F.col("value") < 4), cut).otherwise(text).alias("value"), "url", "day"
+    )
+
+
+@query(f"""WITH {_EVENTS}
+SELECT page_url, 0 AS position, leaf_url, commit_text, package_id, version,
+       CASE WHEN gone THEN 'nuget:PackageDelete' ELSE 'nuget:PackageDetails' END AS event_type,
+       epoch_us(ts) AS commit_micros FROM ev""")
+def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event references out of page documents."""
+    refs = parse_pages(_page_documents(spark, sf_dir))
+    return refs.select(
+        "place.page_url",
+        "place.position",
+        "leaf_url",
+        "commit.commit_text",
+        "package_id",
+        "version",
+        "event_type",
+        F.unix_micros("commit.commit_at").alias("commit_micros"),
+    )
+
+
+@query(f"""WITH {_EVENTS}
+SELECT page_url, max(commit_text) AS commit_text FROM ev GROUP BY page_url""")
+def catalog_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = parse_index(_index_documents(spark, sf_dir))
+    return pages.select("page_url", "commit.commit_text")
+
+
+_LEAF_COLUMNS = """CASE WHEN k % 4 = 0 THEN true ELSE k % 4 = 1 END AS listed,
+  k % 3 = 0 AS deprecated, CASE WHEN k % 9 = 0 THEN 'Legacy,Other' END AS reasons,
+  CASE WHEN k % 6 = 0 THEN concat('alt.', CAST(k AS VARCHAR)) END AS alternative_package,
+  CASE WHEN k % 6 = 0 THEN 'moved on' END AS deprecation_message"""
+
+
+def _flat_leaf_columns() -> list:
+    return [
+        "listed",
+        "deprecated",
+        F.array_join("deprecation_reasons", ",").alias("reasons"),
+        "alternative_package",
+        "deprecation_message",
+    ]
+
+
+@query(f"""WITH {_EVENTS}
+SELECT leaf_url, package_id AS leaf_id, version AS leaf_version, problem,
+  CASE WHEN k % 5 = 0 THEN 'MIT' END AS license_expression,
+  CASE WHEN k % 5 = 1 THEN 'https://p.example' END AS project_url,
+  CASE WHEN problem IS NULL THEN epoch_us(ts) END AS published_micros, {_LEAF_COLUMNS}
+FROM ev WHERE NOT gone AND (problem IS NULL OR problem NOT IN ('missing_leaf', 'unreadable'))
+""")
+def catalog_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable leaves with their problem; absent flags take their defaults."""
+    leaves = parse_leaves(_leaf_documents(spark, sf_dir))
+    readable = leaves.filter(~F.coalesce(F.col("problem") == "unreadable", F.lit(False)))
+    return readable.select(
+        "leaf_url",
+        "leaf_id",
+        "leaf_version",
+        "problem",
+        "license_expression",
+        "project_url",
+        F.unix_micros("published_at").alias("published_micros"),
+        *_flat_leaf_columns(),
+    )
+
+
+def _applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = parse_pages(_page_documents(spark, sf_dir))
+    leaves = parse_leaves(_leaf_documents(spark, sf_dir))
+    return catalog_events(refs, leaves).withColumn(
+        "synced_at", F.lit("2024-06-01").cast("timestamp")
+    )
+
+
+@query(f"""WITH {_EVENTS}
+SELECT leaf_url, package_id, version, problem AS reason FROM ev WHERE problem IS NOT NULL""")
+def catalog_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References that could not be applied, with the reason."""
+    return rejected(_applied(spark, sf_dir)).select("leaf_url", "package_id", "version", "reason")
+
+
+_VERSION_ROWS = f"""WITH {_EVENTS},
+d AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY package_id, version ORDER BY ts DESC) AS rk
+  FROM ev WHERE NOT gone AND problem IS NULL) AS r WHERE rk = 1),
+x AS (SELECT package_id, version, max(ts) AS gone_at FROM ev WHERE gone GROUP BY 1, 2)
+SELECT d.package_id, d.version, concat('pkg:nuget/', d.package_id, '@', d.version) AS purl,
+  k AS major, 0 AS minor, CAST(NULL AS INTEGER) AS patch, 'r1' AS prerelease,
+  epoch_us(ts) AS published_micros, {_LEAF_COLUMNS},
+  CASE WHEN gone_at >= ts THEN epoch_us(gone_at) END AS deleted_micros
+FROM d LEFT JOIN x ON x.package_id = d.package_id AND x.version = d.version"""
+
+
+def _flat_versions(versions: DataFrame, deleted_at: str) -> DataFrame:
+    return versions.select(
+        "package_id",
+        "version",
+        "purl",
+        "major",
+        "minor",
+        "patch",
+        "prerelease",
+        F.unix_micros("published_at").alias("published_micros"),
+        *_flat_leaf_columns(),
+        F.unix_micros(deleted_at).alias("deleted_micros"),
+    )
+
+
+@query(_VERSION_ROWS)
+def catalog_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version rows from documents in one pass."""
+    state = current_state(version_changes(_applied(spark, sf_dir)))
+    return _flat_versions(state, "deleted_at.commit_at")
+
+
+@query(f"""WITH {_EVENTS}
+SELECT package_id, version AS latest_version, epoch_us(ts) AS published_micros,
+  CASE WHEN k % 5 = 0 THEN 'MIT' END AS license,
+  CASE WHEN k % 5 = 1 THEN 'https://p.example' END AS project_url FROM (
+  SELECT *, row_number() OVER (PARTITION BY package_id ORDER BY ts DESC) AS rk
+  FROM ev WHERE NOT gone AND problem IS NULL) AS r WHERE rk = 1""")
+def catalog_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Package rows from documents; deletes leave them alone."""
+    state = current_state(package_changes(_applied(spark, sf_dir)))
+    return state.select(
+        "package_id",
+        "latest_version",
+        F.unix_micros("source_updated_at").alias("published_micros"),
+        "license",
+        "project_url",
+    )
+
+
+@query(_VERSION_ROWS)
+def catalog_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on stored tables: half the pages, a fold, then the rest."""
+    store = Store(spark, shared_dir(spark, "catalog-job"))
+    documents = [
+        build(spark, sf_dir) for build in (_index_documents, _page_documents, _leaf_documents)
+    ]
+    catalog.sync_catalog(store, *documents, max_pages=15)
+    catalog.fold_catalog(store)
+    catalog.sync_catalog(store, *documents)
+    return _flat_versions(catalog.version_state(store), "deleted_at")
+
+
+@query(_VERSION_ROWS)
+def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming form, over landed files and leaves kept by day."""
+    root = shared_dir(spark, "catalog-stream")
+    pages = _page_documents(spark, sf_dir)
+    pages.write.text(f"{root}/pages")
+    leaves = _leaf_documents(spark, sf_dir)
+    leaves.select("value", "day").write.partitionBy("day").text(f"{root}/leaves")
+    store = Store(spark, f"{root}/store")
+    query = stream_pages(
+        store,
+        f"{root}/pages",
+        lambda refs: catalog.landed_leaves(spark, f"{root}/leaves", refs),
+        f"{root}/offsets",
+        one_per_file=False,
+    )
+    query.awaitTermination()
+    return _flat_versions(catalog.version_state(store), "deleted_at")
+
+
+@query("""SELECT concat('Lic-', CAST(s_suppkey AS VARCHAR), '.0') AS license_id, s_name AS name,
+  CASE WHEN s_nationkey < 20 THEN s_acctbal >= 3000 ELSE false END AS is_osi_approved,
+  s_nationkey % 2 = 0 AS is_fsf_libre, false AS is_deprecated_id,
+  CASE WHEN s_nationkey < 10 THEN
+    concat('https://licenses.example.org/', CAST(s_suppkey AS VARCHAR)) END AS reference_url,
+  CAST(1 + CASE WHEN s_nationkey % 3 <> 0 THEN 1 ELSE 0 END
+         + CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER)
+    * CASE WHEN s_nationkey >= 5 THEN 1 ELSE 0 END AS n_links,
+  '3.10' AS list_version FROM supplier""")
+def license_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses out of list documents; absent flags and links take their defaults."""
+    return _license_documents(spark, sf_dir).select(
+        "license_id",
+        "name",
+        "is_osi_approved",
+        "is_fsf_libre",
+        "is_deprecated_id",
+        "reference_url",
+        F.size("see_also_urls").alias("n_links"),
+        "list_version",
+    )
+
+
+def _license_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = F.col("s_nationkey")
+    entry = F.struct(
+        F.col("license_id").alias("licenseId"),
+        "name",
+        F.when(nation < 20, F.col("is_osi_approved")).alias("isOsiApproved"),
+        F.col("is_fsf_libre").alias("isFsfLibre"),
+        F.when(nation < 10, F.col("reference_url")).alias("reference"),
+        F.when(nation >= 5, F.col("see_also_urls")).alias("seeAlso"),
+    )
+    document = F.struct(F.lit("3.10").alias("licenseListVersion"), F.array(entry).alias("licenses"))
+    texts = licenses(spark, sf_dir).select(F.to_json(document).alias("value"))
+    return parse_license_list(texts)
+
+
+@query("""SELECT count(*) AS license_count,
+  count(*) FILTER (WHERE s_nationkey < 20 AND s_acctbal >= 3000) AS osi_count FROM supplier""")
+def license_list_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = list_profile(_license_documents(spark, sf_dir))
+    return profile.select("license_count", "osi_count")

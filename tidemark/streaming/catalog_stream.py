@@ -21,6 +21,7 @@ def stream_pages(
     leaves_for: LeavesFor,
     checkpoint: str,
     files_per_batch: int | None = None,
+    one_per_file: bool = True,
 ) -> StreamingQuery:
     """Ingests page documents as their files land, until none is left.
 
@@ -30,7 +31,7 @@ def stream_pages(
     """
     spark = store.spark
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-    reader = spark.readStream.format("text").schema("value string").option("wholetext", True)
+    reader = spark.readStream.format("text").schema("value string").option("wholetext", one_per_file)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
