@@ -74,11 +74,15 @@ class Landing:
             text = body if isinstance(body, str) else json.dumps(body)
             (self.root / "leaves" / f"{self._n}.json").write_text(text)
 
-    def documents(self):
-        return [
-            read_documents(self.spark, str(self.root / part))
-            for part in ("index", "pages", "leaves")
-        ]
+    def read(self, part):
+        return read_documents(self.spark, str(self.root / part))
+
+    def sources(self):
+        return (
+            self.read("index"),
+            lambda pages: self.read("pages"),
+            lambda refs: self.read("leaves"),
+        )
 
 
 def license_list(spark, root, version, licenses, released="2024-02-08"):

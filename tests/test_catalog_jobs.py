@@ -12,7 +12,7 @@ def landing(spark, tmp_path):
 
 
 def sync(store, landing, **kw):
-    return catalog.sync_catalog(store, *landing.documents(), **kw)
+    return catalog.sync_catalog(store, *landing.sources(), **kw)
 
 
 def versions(store):
@@ -233,7 +233,7 @@ def test_backfill_marks_existing_rows_only(store, landing):
     sync(store, landing)
     assert versions(store)["A", "1.0"].deleted_at is None
     main = store.checkpoint(catalog.SOURCE).watermark
-    index, pages, _ = landing.documents()
+    index, pages, _ = landing.sources()
     result = catalog.backfill_deletes(store, index, pages)
     assert (result.deleted, result.pages) == (2, 2)
     rows = versions(store)
@@ -279,14 +279,12 @@ def test_run_frame_records_outcomes(store):
 
 
 def test_stream_equals_batch(spark, store, landing, tmp_path):
-    from tidemark.sources import parse_leaves, read_documents
     from tidemark.streaming.catalog_stream import stream_pages
 
     landing.page([details("A", "1.0", at(1)), details("B", "1.0", at(1))])
     landing.page([delete("A", "1.0", at(2)), details("A", "2.0", at(3))])
 
-    def leaves_for(refs):
-        return parse_leaves(read_documents(spark, str(landing.root / "leaves")))
+    _, _, leaves_for = landing.sources()
 
     def run():
         stream_pages(
@@ -308,10 +306,10 @@ def test_stream_equals_batch(spark, store, landing, tmp_path):
     assert store.checkpoint(catalog.SOURCE).watermark == at(5)
 
 
-def test_landed_leaves_reads_only_the_days_needed(spark, tmp_path):
+def test_landed_days_reads_only_the_days_needed(spark, tmp_path):
     import json
 
-    from tidemark.sources import parse_pages
+    from tidemark.sources import parse_leaves, parse_pages
 
     event = details("A", "1.0", at(1))
     for day in ("2024-05-01", "2024-05-02"):
@@ -320,8 +318,7 @@ def test_landed_leaves_reads_only_the_days_needed(spark, tmp_path):
         (folder / "x.json").write_text(json.dumps(leaf_of(event, version=day)) + "\n")
     page = json.dumps({"@id": f"{BASE}/p", "commitTimeStamp": at(1), "items": [event]})
     refs = parse_pages(spark.createDataFrame([(page,)], "value string"))
-    leaves = catalog.landed_leaves(spark, str(tmp_path / "leaves"), refs)
-    assert [r.leaf_version for r in leaves.collect()] == ["2024-05-01"]
-    assert len(leaves.inputFiles()) == 2
-    plan = leaves._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "day" in plan
+    documents = catalog.landed_days(spark, str(tmp_path / "leaves"), refs)
+    assert [r.leaf_version for r in parse_leaves(documents).collect()] == ["2024-05-01"]
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan

@@ -60,7 +60,7 @@ def test_enrichment(spark, store, tmp_path):
         "d": {"licenseUrl": 7},
         "e": {"licenseExpression": "What", "licenseUrl": "http://x.example"},
     })
-    catalog.sync_catalog(store, *landing.documents())
+    catalog.sync_catalog(store, *landing.sources())
     with pytest.raises(RuntimeError, match="license list is empty"):
         enrichment.classify_packages(store)
     licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
@@ -82,7 +82,7 @@ def test_enrichment(spark, store, tmp_path):
     )
     assert enrichment.classify_packages(store).metrics == {"rows_classified": 0}
     land(landing, 5, {"b": {"licenseExpression": "MIT"}, "f": {}})
-    catalog.sync_catalog(store, *landing.documents())
+    catalog.sync_catalog(store, *landing.sources())
     assert enrichment.classify_packages(store).metrics["rows_classified"] == 2
     rows = verdicts(store)
     assert len(rows) == 6

@@ -1,7 +1,7 @@
 from tidemark.functions.cursors import decode_cursor, encode_cursor, past_cursor
 from tidemark.functions.license_text import collapse_whitespace, term_words, terms_combinator
 from tidemark.functions.measures import duration_ms, per_second, progress_pct, share_pct
-from tidemark.functions.payload import json_text_field, signal_label
+from tidemark.functions.payload import json_text_field, signal_label, variant_text
 from tidemark.functions.strings import is_blank, strip_whitespace
 from tidemark.functions.times import commit_key, parse_instant
 from tidemark.functions.urls import is_vendor_eula, normalize_url
@@ -27,5 +27,6 @@ __all__ = [
     "strip_whitespace",
     "term_words",
     "terms_combinator",
+    "variant_text",
     "version_parts",
 ]

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.strings import is_blank
 
 
+def variant_text(member: Column) -> Column:
+    """A variant that is a string with something in it, untrimmed; else null."""
+    text = F.try_variant_get(member, "$", "string")
+    return F.when((F.schema_of_variant(member) == "STRING") & ~is_blank(text), text)
+
+
 def json_text_field(raw: Column, field: str) -> Column:
     """A field's value when it is a JSON string with something in it, else null.
 
     get_json_object() turns numbers and booleans into text as well, so the field
-    is read as a variant, which keeps its kind.  The value is kept untrimmed.
+    is read as a variant, which keeps its kind.
     """
-    member = F.from_json(raw, f"`{field}` variant").getField(field)
-    text = F.try_variant_get(member, "$", "string")
-    return F.when((F.schema_of_variant(member) == "STRING") & ~is_blank(text), text)
+    return variant_text(F.from_json(raw, f"`{field}` variant").getField(field))
 
 
 def signal_label(expression: Column, url: Column) -> Column:

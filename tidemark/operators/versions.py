@@ -58,6 +58,7 @@ def package_changes(events: DataFrame) -> DataFrame:
             "version",
             "project_url",
             "license_expression",
+            "license_url",
             "raw_metadata",
             "synced_at",
             "published_at",

@@ -7,6 +7,8 @@ log since; a fold rewrites them and empties the log.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,20 +60,22 @@ def _refs_of(pages: DataFrame, page_documents: DataFrame) -> DataFrame:
     return refs.join(urls, F.col("place.page_url") == F.col("_page"), "left_semi")
 
 
-def landed_leaves(spark: SparkSession, path: str, refs: DataFrame) -> DataFrame:
-    """Leaves landed in ``day=YYYY-MM-DD`` folders, only those of the batch's days.
+Pages = Callable[[DataFrame], DataFrame]
+Leaves = Callable[[DataFrame], DataFrame]
+
+
+def landed_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Documents landed in ``day=YYYY-MM-DD`` folders, only of the rows' commit days.
 
     The list of days is bounded by the calendar, not by the batch.
     """
     day = F.to_date("commit.commit_at").cast("string")
-    days = [row.day for row in refs.select(day.alias("day")).distinct().collect()]
+    days = [row.day for row in rows.select(day.alias("day")).distinct().collect()]
     documents = read_documents(spark, path, one_per_file=False)
-    return parse_leaves(documents.filter(F.col("day").cast("string").isin(days)).drop("day"))
+    return documents.filter(F.col("day").cast("string").isin(days)).drop("day")
 
 
-def append_events(
-    store: Store, name: str, refs: DataFrame, leaves: DataFrame, deletes_only: bool = False
-) -> dict:
+def append_events(store: Store, name: str, refs: DataFrame, leaves: DataFrame) -> dict:
     """Writes one batch to the log and returns what the pass observed."""
     events = catalog_events(refs, leaves).withColumn("synced_at", F.current_timestamp())
     seen = Observation()
@@ -83,19 +87,24 @@ def append_events(
         F.count_if(kind == "delete").alias("deletes"),
         F.count_if(kind == "reject").alias("rejects"),
     )
-    store.write(LOG, name, observed.select(*schemas.CATALOG_LOG.names), partition_by=["kind"])
+    store.write(LOG, name, observed.select(*schemas.CATALOG_LOG.names))
     return seen.get
 
 
 def sync_catalog(
     store: Store,
     index_documents: DataFrame,
-    page_documents: DataFrame,
-    leaf_documents: DataFrame,
+    pages_for: Pages,
+    leaves_for: Leaves,
     max_pages: int | None = None,
     external_run_id: str | None = None,
 ) -> RunResult:
-    """Ingests the pages committed after the checkpoint, whole pages at a time."""
+    """Ingests the pages committed after the checkpoint, whole pages at a time.
+
+    ``pages_for`` returns page documents holding at least the given pages, and
+    ``leaves_for`` leaf documents holding those of the given references, so a run
+    need not read the whole landing area (see ``landed_days``).
+    """
 
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
@@ -105,8 +114,8 @@ def sync_catalog(
         if left == 0:
             return RunResult(before.watermark, before.folders, metrics={"pages_remaining": 0})
         done = left if max_pages is None else min(left, max_pages)
-        refs = _refs_of(chosen, page_documents)
-        seen = append_events(store, run.id, refs, parse_leaves(leaf_documents))
+        refs = _refs_of(chosen, pages_for(chosen))
+        seen = append_events(store, run.id, refs, parse_leaves(leaves_for(refs)))
         newest = seen["watermark"]
         folders = {**before.folders, LOG: [*before.folders.get(LOG, []), run.id]}
         return RunResult(
@@ -189,7 +198,7 @@ def fold_catalog(store: Store) -> None:
 
 
 def backfill_deletes(
-    store: Store, index_documents: DataFrame, page_documents: DataFrame, max_pages: int | None = None
+    store: Store, index_documents: DataFrame, pages_for: Pages, max_pages: int | None = None
 ) -> RunResult:
     """Marks stored versions from the delete events of all pages.
 
@@ -205,7 +214,7 @@ def backfill_deletes(
         if left == 0:
             return RunResult(before.watermark, before.folders)
         done = left if max_pages is None else min(left, max_pages)
-        refs = _refs_of(chosen, page_documents)
+        refs = _refs_of(chosen, pages_for(chosen))
         seen = Observation()
         gone = is_delete(F.col("event_type"))
         observed = once(refs).observe(

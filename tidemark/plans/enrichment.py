@@ -8,7 +8,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
 from tidemark.functions.cursors import INITIAL, decode_cursor, encode_cursor
-from tidemark.functions.payload import json_text_field
 from tidemark.operators.cursors import rows_past
 from tidemark.operators.merge import upsert
 from tidemark.operators.quality import require_rows
@@ -29,12 +28,7 @@ def license_verdicts(store: Store, at: Checkpoint | None = None) -> DataFrame:
 
 def verdict_rows(packages: DataFrame, licenses: DataFrame) -> DataFrame:
     """Verdict table rows of packages, with the signal each rests on."""
-    declared = packages.select(
-        "package_id",
-        "license",
-        json_text_field(F.col("raw_metadata"), "licenseUrl").alias("license_url"),
-        "synced_at",
-    )
+    declared = packages.select("package_id", "license", "license_url", "synced_at")
     return classify(declared, licenses).select(
         "package_id",
         F.col("license").alias("license_expression"),

@@ -51,13 +51,9 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def write(
-        self, table: str, name: str, rows: DataFrame, partition_by: Sequence[str] = ()
-    ) -> None:
+    def write(self, table: str, name: str, rows: DataFrame) -> None:
         """Writes one folder.  Overwriting only ever replaces a failed or replayed write."""
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(
-            f"{self.root}/{table}/batch={name}"
-        )
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={name}")
 
     def read(self, table: str, names: Sequence[str], schema: StructType) -> DataFrame:
         """The rows of the named folders; columns a folder lacks are null."""

@@ -259,12 +259,17 @@ def catalog_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on stored tables: half the pages, a fold, then the rest."""
     store = Store(spark, shared_dir(spark, "catalog-job"))
-    documents = [
-        build(spark, sf_dir) for build in (_index_documents, _page_documents, _leaf_documents)
-    ]
-    catalog.sync_catalog(store, *documents, max_pages=15)
+    index = _index_documents(spark, sf_dir)
+
+    def pages_for(pages: DataFrame) -> DataFrame:
+        return _page_documents(spark, sf_dir)
+
+    def leaves_for(refs: DataFrame) -> DataFrame:
+        return _leaf_documents(spark, sf_dir)
+
+    catalog.sync_catalog(store, index, pages_for, leaves_for, max_pages=15)
     catalog.fold_catalog(store)
-    catalog.sync_catalog(store, *documents)
+    catalog.sync_catalog(store, index, pages_for, leaves_for)
     return _flat_versions(catalog.version_state(store), "deleted_at")
 
 
@@ -280,7 +285,7 @@ def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = stream_pages(
         store,
         f"{root}/pages",
-        lambda refs: catalog.landed_leaves(spark, f"{root}/leaves", refs),
+        lambda refs: catalog.landed_days(spark, f"{root}/leaves", refs),
         f"{root}/offsets",
         one_per_file=False,
     )

@@ -73,6 +73,7 @@ LEAF_DOC = T.StructType(
         T.StructField("listed", BOOL),
         T.StructField("projectUrl", STR),
         T.StructField("licenseExpression", STR),
+        T.StructField("licenseUrl", T.VariantType()),
         T.StructField(
             "deprecation",
             T.StructType(
@@ -118,8 +119,8 @@ COMMIT = _struct(commit_at=TS, commit_text=STR)
 # Where it stood: page and position settle the order of equal commits.
 PLACE = _struct(page_commit=STR, page_url=STR, position=INT)
 
-# Every applied or rejected event, one folder per batch, split by kind
-# (details, delete, reject).
+# Every applied or rejected event, one folder per batch; kind is details, delete
+# or reject.
 CATALOG_LOG = _struct(
     package_id=STR,
     version=STR,
@@ -132,6 +133,7 @@ CATALOG_LOG = _struct(
     listed=BOOL,
     project_url=STR,
     license_expression=STR,
+    license_url=STR,
     deprecated=BOOL,
     deprecation_reasons=T.ArrayType(STR),
     alternative_package=STR,
@@ -147,6 +149,7 @@ PACKAGE_STATE = _struct(
     latest_version=STR,
     project_url=STR,
     license=STR,
+    license_url=STR,
     raw_metadata=STR,
     synced_at=TS,
     source_updated_at=TS,

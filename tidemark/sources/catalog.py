@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.payload import variant_text
 from tidemark.functions.times import commit_key, parse_instant
 from tidemark.operators.events import is_delete
 
@@ -81,13 +82,15 @@ def parse_leaves(documents: DataFrame) -> DataFrame:
     )
     deprecation = F.col("doc.deprecation")
     return leaves.select(
-        F.coalesce(F.col("doc.`@id`"), landed_url).alias("leaf_url"),
+        # Never null: a join would else test it first and parse every leaf twice.
+        F.coalesce(F.col("doc.`@id`"), landed_url, F.lit("")).alias("leaf_url"),
         F.col("doc.id").alias("leaf_id"),
         F.col("doc.version").alias("leaf_version"),
         published.alias("published_at"),
         F.coalesce("doc.listed", F.lit(True)).alias("listed"),
         F.col("doc.projectUrl").alias("project_url"),
         F.col("doc.licenseExpression").alias("license_expression"),
+        variant_text(F.col("doc.licenseUrl")).alias("license_url"),
         deprecation.isNotNull().alias("deprecated"),
         deprecation.getField("reasons").alias("deprecation_reasons"),
         deprecation.getField("alternatePackage").getField("id").alias("alternative_package"),
@@ -119,29 +122,28 @@ def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
     missing or unusable is a reject with its ``reason``, so nothing is lost
     silently.  Deletes need no leaf.
     """
-    named = once(refs)
     gone = is_delete(F.col("event_type"))
-    deletes = named.filter(gone).drop("event_type").withColumn("kind", F.lit("delete"))
-    wanted = named.filter(~gone).select(
-        "leaf_url",
-        "commit",
-        "place",
-        F.col("package_id").alias("ref_package_id"),
-        F.col("version").alias("ref_version"),
+    named = once(refs).withColumnsRenamed(
+        {"package_id": "ref_package_id", "version": "ref_version", "leaf_url": "ref_url"}
     )
     found = one_per_url(leaves).withColumn("found", F.lit(True))
-    joined = wanted.join(found, "leaf_url", "left")
-    reason = F.when(F.col("found").isNull(), F.lit("missing_leaf")).otherwise(F.col("problem"))
-    details = (
+    joined = named.join(found, (F.col("ref_url") == F.col("leaf_url")) & ~gone, "left")
+    reason = F.when(~gone & F.col("found").isNull(), F.lit("missing_leaf")).otherwise(
+        F.col("problem")
+    )
+    return (
         joined.withColumn("reason", reason)
         .withColumn("package_id", F.coalesce("leaf_id", "ref_package_id"))
         .withColumn("version", F.coalesce("leaf_version", "ref_version"))
         .withColumn(
-            "kind", F.when(F.col("reason").isNull(), F.lit("details")).otherwise(F.lit("reject"))
+            "kind",
+            F.when(gone, F.lit("delete"))
+            .when(F.col("reason").isNull(), F.lit("details"))
+            .otherwise(F.lit("reject")),
         )
-        .drop("found", "problem", "leaf_id", "leaf_version", "event_type")
+        .drop("found", "problem", "leaf_id", "leaf_version", "event_type", "leaf_url")
+        .withColumnRenamed("ref_url", "leaf_url")
     )
-    return details.unionByName(deletes, allowMissingColumns=True)
 
 
 def rejected(events: DataFrame) -> DataFrame:

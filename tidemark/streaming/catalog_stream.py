@@ -3,30 +3,27 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.catalog import LOG, SOURCE, append_events, is_after
+from tidemark.plans.catalog import LOG, SOURCE, Leaves, append_events, is_after
 from tidemark.plans.store import Store
-from tidemark.sources.catalog import parse_pages
-
-LeavesFor = Callable[[DataFrame], DataFrame]
+from tidemark.sources.catalog import parse_leaves, parse_pages
 
 
 def stream_pages(
     store: Store,
     landing: str,
-    leaves_for: LeavesFor,
+    leaves_for: Leaves,
     checkpoint: str,
     files_per_batch: int | None = None,
     one_per_file: bool = True,
 ) -> StreamingQuery:
     """Ingests page documents as their files land, until none is left.
 
-    ``leaves_for`` returns the parsed leaves a batch of references needs, so a
-    batch reads its own days of leaves and not the whole landing area.  The log
+    ``leaves_for`` returns leaf documents holding those of a batch of references,
+    so a batch reads its own days of leaves and not the whole landing area.  The log
     folder is named by stream and batch: a replayed batch overwrites itself.
     """
     spark = store.spark
@@ -41,7 +38,7 @@ def stream_pages(
         before = store.checkpoint(SOURCE)
         if name in before.folders.get("streamed", []):
             return
-        seen = append_events(store, name, refs, leaves_for(refs))
+        seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
         folders = {
             **before.folders,
             LOG: [*before.folders.get(LOG, []), name],
