@@ -1,5 +1,12 @@
 from tidemark.functions.cursors import decode_cursor, encode_cursor, past_cursor
-from tidemark.functions.license_text import collapse_whitespace, term_words, terms_combinator
+from tidemark.functions.license_text import (
+    collapse_whitespace,
+    plain_words,
+    term_words,
+    terms_combinator,
+    words_combinator,
+    words_terms,
+)
 from tidemark.functions.measures import duration_ms, per_second, progress_pct, share_pct
 from tidemark.functions.payload import json_text_field, signal_label, variant_text
 from tidemark.functions.strings import is_blank, strip_whitespace
@@ -21,6 +28,7 @@ __all__ = [
     "parse_instant",
     "past_cursor",
     "per_second",
+    "plain_words",
     "progress_pct",
     "share_pct",
     "signal_label",
@@ -29,4 +37,6 @@ __all__ = [
     "terms_combinator",
     "variant_text",
     "version_parts",
+    "words_combinator",
+    "words_terms",
 ]

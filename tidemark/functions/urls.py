@@ -25,7 +25,7 @@ def normalize_url(url: Column) -> Column:
 
     parse_url() does not serve: it raises on bad input and drops the port.
     """
-    text = F.regexp_replace(strip_whitespace(url), r"[\t\r\n]", "")
+    text = F.translate(strip_whitespace(url), "\t\r\n", "")
     split_form = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)([^?#]*)"
     authority = F.lower(F.regexp_extract(text, split_form, 1))
     path = F.regexp_extract(text, split_form, 2)

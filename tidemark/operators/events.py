@@ -36,9 +36,8 @@ def after_watermark(rows: DataFrame, commit: Column, watermark: Column | None) -
 
 
 def first_pages(pages: DataFrame, commit: str, max_pages: int | None) -> DataFrame:
-    """The oldest pages of a run, in commit order; None takes them all."""
-    ordered = pages.orderBy(commit)
-    return ordered if max_pages is None else ordered.limit(max_pages)
+    """The oldest pages of a run; None takes them all, and then needs no order."""
+    return pages if max_pages is None else pages.orderBy(commit).limit(max_pages)
 
 
 def net_changes(

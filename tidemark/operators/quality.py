@@ -70,6 +70,12 @@ def key_uniqueness(table: DataFrame, keys: Sequence[str], name: str) -> DataFram
     return counted.select(*_result(name, F.col("n") == 0, "ERROR", False, F.col("n"), 0))
 
 
+def count_check(rows: DataFrame, name: str) -> DataFrame:
+    """Warns when there is any row that should not be."""
+    counted = rows.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*_result(name, F.col("n") == 0, "WARN", False, F.col("n"), 0))
+
+
 def violations(table: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows breaking each rule, all rules in one pass.
 

@@ -1,10 +1,15 @@
 """License verdicts: open_source, proprietary or unknown.
 
 A verdict depends only on the declared signal: the license expression if there
-is one, else the license URL.  Millions of packages share few signals, so each
-distinct signal is judged once and the verdicts are joined back.  Every step is
-a join or a grouped aggregate, so neither the license list nor the number of
-distinct signals has to fit anywhere; small ones are broadcast by Spark.
+is one, else the canonical license URL.  Millions of packages share few signals,
+so each distinct signal is judged once and the verdicts are joined back.  Every
+step is a join or a grouped aggregate: neither the license list nor the distinct
+signals have to fit anywhere, and small ones are broadcast by Spark.
+
+Skew: distinct signals are combined before their shuffle.  Rows that have no key
+for a join get one of their own, so they spread instead of meeting at null.  The
+join back and the term lookup have plain shuffles on both sides, which lets
+adaptive execution split a hot signal or term.
 """
 
 from __future__ import annotations
@@ -12,7 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.license_text import collapse_whitespace, term_words, terms_combinator
+from tidemark.functions.license_text import (
+    collapse_whitespace,
+    plain_words,
+    words_combinator,
+    words_terms,
+)
 from tidemark.functions.payload import signal_label
 from tidemark.functions.strings import strip_whitespace
 from tidemark.functions.urls import is_vendor_eula, normalize_url
@@ -29,17 +39,38 @@ VERDICT_COLUMNS = (
 )
 
 
+SIGNAL = ["signal", "signal_value", "vendor_eula"]
+
+
 def with_signal(packages: DataFrame, expression: str, url: str) -> DataFrame:
-    """Adds ``signal`` (expression, url or none) and ``signal_value``, its text."""
+    """Adds what a verdict rests on.
+
+    ``signal`` is expression, url or none; ``signal_value`` the expression's text or
+    the URL's canonical form; ``vendor_eula`` whether the URL is a vendor's own.
+    """
     label = signal_label(F.col(expression), F.col(url))
-    value = F.when(label == "expression", strip_whitespace(F.col(expression))).when(
-        label == "url", strip_whitespace(F.col(url))
+    labelled = packages.withColumn("signal", label)
+    by_url = F.col("signal") == "url"
+    value = F.when(F.col("signal") == "expression", strip_whitespace(F.col(expression))).when(
+        by_url, normalize_url(F.col(url))
     )
-    return packages.withColumn("signal", label).withColumn(
-        "signal_value", F.coalesce(value, F.lit(""))
+    return labelled.withColumns(
+        {
+            "signal_value": F.coalesce(value, F.lit("")),
+            "vendor_eula": F.coalesce(by_url & is_vendor_eula(F.col(url)), F.lit(False)),
+        }
     )
 
 
+def distinct_signals(signalled: DataFrame) -> DataFrame:
+    return signalled.select(*SIGNAL).distinct()
+
+
+def _own_key(key: Column) -> Column:
+    """The key, or for rows without one a key that nothing matches."""
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.col("signal"), F.col("signal_value")))
+
+
 def _first(position: Column, value: Column, where: Column) -> Column:
     return F.min(F.when(where, F.struct(position, value)))
 
@@ -48,37 +79,40 @@ def signal_terms(signals: DataFrame, licenses: DataFrame) -> DataFrame:
     """One row per signal and license it names, with the list's opinion of it.
 
     A URL names the license its canonical form is indexed under.  A signal that
-    names none keeps one row with a null ``term``.
+    names none keeps one row with a null ``term``.  The list holds each id once.
     """
     by_expression = F.col("signal") == "expression"
-    parsed = signals.select(
-        "signal",
-        "signal_value",
-        F.when(by_expression, term_words(F.col("signal_value"))).alias("terms"),
-        F.when(by_expression, terms_combinator(F.col("signal_value"))).alias("combinator"),
-        F.when(F.col("signal") == "url", normalize_url(F.col("signal_value"))).alias("url_key"),
+    url = F.when((F.col("signal") == "url") & (F.col("signal_value") != ""), F.col("signal_value"))
+    parsed = signals.withColumns(
+        {
+            "words": F.when(by_expression, plain_words(F.col("signal_value"))),
+            "url_key": _own_key(url),
+        }
+    ).withColumns(
+        {"terms": words_terms(F.col("words")), "combinator": words_combinator(F.col("words"))}
     )
-    named = parsed.join(
-        url_index(licenses).withColumnRenamed("license_id", "url_license"), "url_key", "left"
-    ).withColumn("terms", F.coalesce("terms", F.array("url_license")))
+    index = url_index(licenses).withColumnRenamed("license_id", "url_license")
+    named = parsed.join(index, "url_key", "left")
     terms = named.select(
-        "signal", "signal_value", "combinator", F.posexplode_outer("terms").alias("at", "term")
+        *SIGNAL,
+        "combinator",
+        F.posexplode_outer(F.coalesce("terms", F.array("url_license"))).alias("at", "term"),
+    ).withColumn("license_id", _own_key(F.col("term")))
+    opinions = licenses.select(
+        "license_id", F.coalesce("is_osi_approved", F.lit(False)).alias("approved")
     )
-    opinions = licenses.groupBy(F.col("license_id").alias("term")).agg(
-        F.max(F.coalesce("is_osi_approved", F.lit(False))).alias("approved")
-    )
-    return terms.join(opinions, "term", "left")
+    return terms.join(opinions, "license_id", "left").drop("license_id")
 
 
 def signal_verdicts(signals: DataFrame, licenses: DataFrame) -> DataFrame:
-    """Verdict per distinct (signal, signal_value)."""
+    """Verdict per distinct signal."""
     at, term, approved = F.col("at"), F.col("term"), F.col("approved")
     listed = approved.isNotNull()
     unlisted = term.isNotNull() & approved.isNull()
     custom = F.lower(term).startswith("licenseref")
     facts = (
-        signal_terms(signals.select("signal", "signal_value").distinct(), licenses)
-        .groupBy("signal", "signal_value")
+        signal_terms(signals, licenses)
+        .groupBy(*SIGNAL)
         .agg(
             F.first("combinator").alias("combinator"),
             _first(at, term, term.isNotNull()).getField("term").alias("first_term"),
@@ -88,62 +122,77 @@ def signal_verdicts(signals: DataFrame, licenses: DataFrame) -> DataFrame:
             _first(at, term, listed & ~approved).getField("term").alias("first_refused"),
         )
     )
-    return facts.select("signal", "signal_value", *_judge())
-
-
-def _judge() -> list[Column]:
-    """The verdict columns; the first rule that holds decides."""
-    by_expression = F.col("signal") == "expression"
-    by_url = F.col("signal") == "url"
-    no_terms = F.col("first_term").isNull()
-    foreign = F.col("has_foreign")
-    custom = F.col("first_unlisted").isNotNull()
-    needs_all = F.coalesce(F.col("combinator") == "AND", F.lit(False))
-    refused = F.col("first_refused").isNotNull()
-    approved = F.col("first_approved").isNotNull()
-    yes, no, unset = F.lit(True), F.lit(False), F.lit(None).cast("boolean")
-
-    # condition, class, license named, approved, reason, term the reason is about
-    rules = [
-        (by_expression & no_terms, "unknown", None, unset, "expr_unparsed", None),
-        (by_expression & foreign, "unknown", None, unset, "term_unrecognised", "first_unlisted"),
-        (by_expression & custom, "proprietary", "first_unlisted", no, "custom_ref", "first_unlisted"),
-        (
-            by_expression & needs_all & refused,
-            "proprietary", "first_refused", no, "and_blocked", "first_refused",
+    return facts.withColumn("reason", F.expr(_REASON)).select(
+        *SIGNAL,
+        F.expr(_CLASS).alias("classification"),
+        F.expr(_LICENSE).alias("spdx_id"),
+        F.expr(_APPROVED).alias("is_osi_approved"),
+        F.when(F.col("signal") == "expression", collapse_whitespace(F.col("signal_value"))).alias(
+            "spdx_normalized"
         ),
-        (by_expression & needs_all, "open_source", "first_term", yes, "and_all_approved", None),
-        (
-            by_expression & approved,
-            "open_source", "first_approved", yes, "any_approved", "first_approved",
-        ),
-        (by_expression, "proprietary", "first_term", no, "none_approved", "first_term"),
-        (by_url & approved, "open_source", "first_term", yes, "url_known", "first_term"),
-        (by_url & refused, "proprietary", "first_term", no, "url_known", "first_term"),
-        (
-            by_url & is_vendor_eula(F.col("signal_value")),
-            "proprietary", None, no, "url_eula", None,
-        ),
-        (by_url, "unknown", None, unset, "url_unrecognised", None),
-    ]
-
-    def text(name: str | None) -> Column:
-        return F.lit(None).cast("string") if name is None else F.col(name)
+        "reason",
+        F.expr(_REASON_TERM).alias("reason_term"),
+    )
 
-    def decide(outcome, otherwise: Column) -> Column:
-        chosen = otherwise
-        for rule in reversed(rules):
-            chosen = F.when(rule[0], outcome(rule)).otherwise(chosen)
-        return chosen
 
-    return [
-        decide(lambda r: F.lit(r[1]), F.lit("unknown")).alias("classification"),
-        decide(lambda r: text(r[2]), text(None)).alias("spdx_id"),
-        decide(lambda r: r[3], unset).alias("is_osi_approved"),
-        F.when(by_expression, collapse_whitespace(F.col("signal_value"))).alias("spdx_normalized"),
-        decide(lambda r: F.lit(r[4]), F.lit("no_signal")).alias("reason"),
-        decide(lambda r: text(r[5]), text(None)).alias("reason_term"),
-    ]
+# The first rule that holds decides; all else follows from the reason.
+_REASON = """CASE
+  WHEN signal = 'none' THEN 'no_signal'
+  WHEN signal = 'url' THEN CASE
+    WHEN first_approved IS NOT NULL OR first_refused IS NOT NULL THEN 'url_known'
+    WHEN vendor_eula THEN 'url_eula'
+    ELSE 'url_unrecognised' END
+  WHEN first_term IS NULL THEN 'expr_unparsed'
+  WHEN has_foreign THEN 'term_unrecognised'
+  WHEN first_unlisted IS NOT NULL THEN 'custom_ref'
+  WHEN combinator = 'AND' AND first_refused IS NOT NULL THEN 'and_blocked'
+  WHEN combinator = 'AND' THEN 'and_all_approved'
+  WHEN first_approved IS NOT NULL THEN 'any_approved'
+  ELSE 'none_approved' END"""
+
+_CLASS = """CASE
+  WHEN reason IN ('and_all_approved', 'any_approved') THEN 'open_source'
+  WHEN reason = 'url_known' AND first_approved IS NOT NULL THEN 'open_source'
+  WHEN reason IN ('custom_ref', 'and_blocked', 'none_approved', 'url_known', 'url_eula')
+    THEN 'proprietary'
+  ELSE 'unknown' END"""
+
+_LICENSE = """CASE reason
+  WHEN 'custom_ref' THEN first_unlisted
+  WHEN 'and_blocked' THEN first_refused
+  WHEN 'and_all_approved' THEN first_term
+  WHEN 'any_approved' THEN first_approved
+  WHEN 'none_approved' THEN first_term
+  WHEN 'url_known' THEN first_term END"""
+
+_APPROVED = """CASE
+  WHEN reason IN ('and_all_approved', 'any_approved') THEN true
+  WHEN reason = 'url_known' THEN first_approved IS NOT NULL
+  WHEN reason IN ('custom_ref', 'and_blocked', 'none_approved', 'url_eula') THEN false END"""
+
+_REASON_TERM = """CASE reason
+  WHEN 'term_unrecognised' THEN first_unlisted
+  WHEN 'custom_ref' THEN first_unlisted
+  WHEN 'and_blocked' THEN first_refused
+  WHEN 'any_approved' THEN first_approved
+  WHEN 'none_approved' THEN first_term
+  WHEN 'url_known' THEN first_term END"""
+
+
+def apply_verdicts(signalled: DataFrame, verdicts: DataFrame, small: bool = False) -> DataFrame:
+    """Joins verdicts back to the rows they were judged for.
+
+    ``small`` says that the verdicts were counted and found few enough to send to
+    every task; the rows then stay where they are.  Otherwise both sides shuffle
+    on one text key.  That key is not the one the verdicts were grouped by, so
+    their side gets a shuffle of its own, without which Spark could not split a
+    hot signal.
+    """
+    key = F.concat_ws(":", "signal", F.col("vendor_eula").cast("string"), "signal_value")
+    judged = verdicts.select(key.alias("_signal_key"), *VERDICT_COLUMNS)
+    keyed = signalled.withColumn("_signal_key", key).drop("signal_value", "vendor_eula")
+    judged = F.broadcast(judged) if small else judged
+    return keyed.join(judged, "_signal_key").drop("_signal_key")
 
 
 def classify(
@@ -155,8 +204,7 @@ def classify(
 ) -> DataFrame:
     """Packages with their signal and verdict columns; every package keeps a row."""
     signalled = with_signal(packages, expression, url)
-    verdicts = signal_verdicts(signalled, licenses)
-    return signalled.join(verdicts, ["signal", "signal_value"]).drop("signal_value")
+    return apply_verdicts(signalled, signal_verdicts(distinct_signals(signalled), licenses))
 
 
 def class_tally(verdicts: DataFrame) -> DataFrame:

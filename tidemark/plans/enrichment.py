@@ -11,13 +11,23 @@ from tidemark.functions.cursors import INITIAL, decode_cursor, encode_cursor
 from tidemark.operators.cursors import rows_past
 from tidemark.operators.merge import upsert
 from tidemark.operators.quality import require_rows
-from tidemark.operators.verdicts import CLASSES, classify
+from tidemark.operators.verdicts import (
+    CLASSES,
+    apply_verdicts,
+    distinct_signals,
+    signal_verdicts,
+    with_signal,
+)
 from tidemark.plans.catalog import package_state
 from tidemark.plans.licenses import license_ref
 from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 
 SOURCE = "license_verdict"
-TABLE, BATCH = "license_verdict", "license_verdict_batch"
+TABLE, BATCH, SIGNALS = "license_verdict", "license_verdict_batch", "signal_verdict"
+
+# Distinct signals up to which their verdicts are sent to every task: a few
+# hundred bytes each.
+FEW_SIGNALS = 100_000
 _BATCH_SCHEMA = StructType([*schemas.LICENSE_VERDICT, StructField("signal", StringType())])
 
 
@@ -26,10 +36,19 @@ def license_verdicts(store: Store, at: Checkpoint | None = None) -> DataFrame:
     return store.read(TABLE, at.folders.get(TABLE, []), schemas.LICENSE_VERDICT)
 
 
-def verdict_rows(packages: DataFrame, licenses: DataFrame) -> DataFrame:
-    """Verdict table rows of packages, with the signal each rests on."""
-    declared = packages.select("package_id", "license", "license_url", "synced_at")
-    return classify(declared, licenses).select(
+def judge_signals(
+    store: Store, name: str, signalled: DataFrame, licenses: DataFrame
+) -> tuple[DataFrame, bool]:
+    """Stores the verdict of each distinct signal; also says whether they are few."""
+    store.write(SIGNALS, name, signal_verdicts(distinct_signals(signalled), licenses))
+    verdicts = store.read(SIGNALS, [name], schemas.SIGNAL_VERDICT)
+    # Counting a Parquet folder reads its footers only.
+    return verdicts, verdicts.count() <= FEW_SIGNALS
+
+
+def verdict_rows(judged: DataFrame) -> DataFrame:
+    """Verdict table rows, with the signal each rests on."""
+    return judged.select(
         "package_id",
         F.col("license").alias("license_expression"),
         "license_url",
@@ -62,9 +81,13 @@ def classify_packages(store: Store, all_packages: bool = False) -> RunResult:
         if packages.isEmpty():
             return RunResult(before.watermark, before.folders, metrics={"rows_classified": 0})
 
+        declared = packages.select("package_id", "license", "license_url", "synced_at")
+        signalled = with_signal(declared, "license", "license_url")
+        verdicts, few = judge_signals(store, run.id, signalled, licenses)
+
         seen = Observation()
         last = F.max(F.struct("source_synced_at", "package_id"))
-        rows = verdict_rows(packages, licenses).observe(
+        rows = verdict_rows(apply_verdicts(signalled, verdicts, small=few)).observe(
             seen,
             F.count(F.lit(1)).alias("rows_classified"),
             last.alias("last"),

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -109,6 +109,16 @@ class Store:
     def log_run(self, **values: Any) -> None:
         self._append("run_ledger", schemas.RUN_EVENT, event_at=_now(), **values)
 
+    def append_run_events(self, rows: DataFrame, at: datetime) -> int:
+        """Appends a row per given run, as of ``at``; returns how many."""
+        events = rows.withColumn("event_at", F.lit(at).cast("timestamp"))
+        seen = Observation()
+        counted = events.select(*schemas.RUN_EVENT.names).observe(
+            seen, F.count(F.lit(1)).alias("n")
+        )
+        counted.write.mode("append").parquet(f"{self.root}/run_ledger")
+        return seen.get["n"]
+
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)

@@ -226,15 +226,15 @@ SELECT m.reader, count(p.page) AS pages_left, count(p.page) = 0 AS caught_up
 FROM marks AS m LEFT JOIN paged AS p ON p.page_commit > m.watermark GROUP BY m.reader""")
 def caught_up_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages left for a reader that is behind and for one that has seen all."""
-    pages = _pages(spark, sf_dir)
-    log = change_log(spark, sf_dir)
-    newest = ev.latest_commit(log, F.col("commit_at"))
-    at = F.lit(CUT).cast("timestamp_ntz")
-    # The newest watermark is one row.
-    with_newest = pages.join(F.broadcast(newest))
-    counts = with_newest.agg(
-        F.count_if(F.col("page_commit") > at).alias("behind"),
-        F.count_if(F.col("page_commit") > F.col("watermark")).alias("caught_up"),
+    # The watermark a caught-up reader holds: one value, as read from a checkpoint.
+    newest = ev.latest_commit(change_log(spark, sf_dir), F.col("commit_at")).first().watermark
+    marks = {"behind": CUT, "caught_up": newest}
+    commit = F.col("page_commit")
+    counts = _pages(spark, sf_dir).agg(
+        *[
+            F.count_if(commit > F.lit(mark).cast("timestamp_ntz")).alias(reader)
+            for reader, mark in marks.items()
+        ]
     )
     return counts.unpivot([], ["behind", "caught_up"], "reader", "pages_left").withColumn(
         "caught_up", F.col("pages_left") == 0

@@ -165,26 +165,43 @@ def _flat_leaf_columns() -> list:
     ]
 
 
-@query(f"""WITH {_EVENTS}
-SELECT leaf_url, package_id AS leaf_id, version AS leaf_version, problem,
-  CASE WHEN k % 5 = 0 THEN 'MIT' END AS license_expression,
-  CASE WHEN k % 5 = 1 THEN 'https://p.example' END AS project_url,
-  CASE WHEN problem IS NULL THEN epoch_us(ts) END AS published_micros, {_LEAF_COLUMNS}
-FROM ev WHERE NOT gone AND (problem IS NULL OR problem NOT IN ('missing_leaf', 'unreadable'))
-""")
+@query(f"""WITH {_EVENTS}, leaf AS (
+  SELECT *, coalesce(problem <> 'unreadable', true) AS readable FROM ev
+  WHERE NOT gone AND coalesce(problem <> 'missing_leaf', true))
+SELECT leaf_url, problem, CASE WHEN readable THEN package_id END AS leaf_id,
+  CASE WHEN readable THEN version END AS leaf_version,
+  CASE WHEN readable AND k % 5 = 0 THEN 'MIT' END AS license_expression,
+  CASE WHEN readable AND k % 5 = 1 THEN 'https://p.example' END AS project_url,
+  CASE WHEN problem IS NULL THEN epoch_us(ts) END AS published_micros,
+  CASE WHEN readable THEN k % 4 IN (0, 1) END AS listed,
+  CASE WHEN readable AND k % 9 = 0 THEN 'Legacy,Other' END AS reasons,
+  CASE WHEN readable AND k % 6 = 0 THEN concat('alt.', CAST(k AS VARCHAR)) END
+    AS alternative_package
+FROM leaf""")
 def catalog_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readable leaves with their problem; absent flags take their defaults."""
+    """Leaves with their problem; absent flags take their defaults.
+
+    Fields of unreadable leaves are left out, as a cut text may hold some of them.
+    """
     leaves = parse_leaves(_leaf_documents(spark, sf_dir))
-    readable = leaves.filter(~F.coalesce(F.col("problem") == "unreadable", F.lit(False)))
-    return readable.select(
+    readable = F.coalesce(F.col("problem") != "unreadable", F.lit(True))
+    usable = F.col("problem").isNull()
+    return leaves.select(
         "leaf_url",
-        "leaf_id",
-        "leaf_version",
         "problem",
-        "license_expression",
-        "project_url",
-        F.unix_micros("published_at").alias("published_micros"),
-        *_flat_leaf_columns(),
+        *[
+            F.when(readable, F.col(c)).alias(c)
+            for c in (
+                "leaf_id",
+                "leaf_version",
+                "license_expression",
+                "project_url",
+                "listed",
+                "alternative_package",
+            )
+        ],
+        F.when(usable, F.unix_micros("published_at")).alias("published_micros"),
+        F.when(readable, F.array_join("deprecation_reasons", ",")).alias("reasons"),
     )
 
 

@@ -145,12 +145,16 @@ LEFT JOIN joins AS j ON j.package_id = s.package_id
 WHERE s.signal = 'expression' GROUP BY s.package_id, s.license, j.combinator""")
 def expr_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = packages(spark, sf_dir).filter(~tf.is_blank(F.col("license")))
-    expression = F.col("license")
-    terms = declared.select(
+    words = declared.select(
         "package_id",
-        tf.collapse_whitespace(expression).alias("collapsed"),
-        tf.terms_combinator(expression).alias("combinator"),
-        tf.term_words(expression).alias("list"),
+        tf.collapse_whitespace(F.col("license")).alias("collapsed"),
+        tf.plain_words(F.col("license")).alias("words"),
+    )
+    terms = words.select(
+        "package_id",
+        "collapsed",
+        tf.words_combinator(F.col("words")).alias("combinator"),
+        tf.words_terms(F.col("words")).alias("list"),
     )
     return terms.select(
         "package_id",
@@ -171,8 +175,8 @@ def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = vd.with_signal(packages(spark, sf_dir), "license", "license_url").filter(
         F.col("signal") == "expression"
     )
-    exact = signals.select("signal", F.col("license").alias("signal_value")).distinct()
-    terms = vd.signal_terms(exact, licenses(spark, sf_dir)).filter(F.col("term").isNotNull())
+    distinct = vd.distinct_signals(signals.withColumn("signal_value", F.col("license")))
+    terms = vd.signal_terms(distinct, licenses(spark, sf_dir)).filter(F.col("term").isNotNull())
     return terms.groupBy(
         "term",
         F.col("approved").isNotNull().alias("is_listed"),

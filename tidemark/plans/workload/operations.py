@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import functions as tf
@@ -94,15 +94,12 @@ def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repeated_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query(f"""SELECT check_name FROM ({_DQ}) AS report WHERE blocking AND NOT passed
-UNION ALL SELECT 'failed:' || check_name FROM ({_DQ}) AS report WHERE NOT passed""")
+@query(f"""SELECT check_name, severity, blocking AS stops_next_job
+FROM ({_DQ}) AS report WHERE NOT passed""")
 def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stops the next job, and every failed check."""
-    report = dq_report(spark, sf_dir)
-    failed = report.filter(~F.col("passed")).select(
-        F.concat(F.lit("failed:"), "check_name").alias("check_name")
-    )
-    return quality.blocking_failures(report).select("check_name").unionByName(failed)
+    """Failed checks, and whether each stops the next job."""
+    failed = dq_report(spark, sf_dir).filter(~F.col("passed"))
+    return failed.select("check_name", "severity", F.col("blocking").alias("stops_next_job"))
 
 
 # --- ledger ------------------------------------------------------------------------
@@ -273,8 +270,6 @@ def page_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The window runs over one row per day, not over events.
     """
-    from pyspark.sql import Window
-
     pages = (
         change_log(spark, sf_dir)
         .groupBy(F.to_date("commit_at").alias("page"))

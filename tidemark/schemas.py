@@ -203,6 +203,19 @@ LICENSE_VERDICT = _struct(
     source_synced_at=TS,
 )
 
+# Working table of one verdict run: each distinct signal judged once.
+SIGNAL_VERDICT = _struct(
+    signal=STR,
+    signal_value=STR,
+    vendor_eula=BOOL,
+    classification=STR,
+    spdx_id=STR,
+    is_osi_approved=BOOL,
+    spdx_normalized=STR,
+    reason=STR,
+    reason_term=STR,
+)
+
 SYNC_CHECKPOINT = _struct(
     source=STR,
     watermark=STR,

@@ -33,10 +33,14 @@ def _ddl_json(value: Column, schema, corrupt: str | None = None) -> Column:
 
 
 def parse_index(documents: DataFrame) -> DataFrame:
-    """One row per page: url, commit time and event count."""
+    """One row per page: url, commit time and event count.
+
+    The plain explode would make Spark test the list for being empty first, and
+    parse every document twice.
+    """
     doc = _ddl_json(F.col("value"), schemas.CATALOG_INDEX_DOC)
-    pages = documents.select(F.explode(doc.getField("items")).alias("page"))
-    return pages.select(
+    pages = documents.select(F.posexplode_outer(doc.getField("items")).alias("position", "page"))
+    return pages.filter(F.col("position").isNotNull()).select(
         F.col("page.`@id`").alias("page_url"),
         commit_key(F.col("page.commitTimeStamp")).alias("commit"),
         F.col("page.count").alias("event_count"),
@@ -50,9 +54,9 @@ def parse_pages(documents: DataFrame) -> DataFrame:
     refs = parsed.select(
         F.col("doc.commitTimeStamp").alias("page_commit"),
         F.col("doc.`@id`").alias("page_url"),
-        F.posexplode("doc.items").alias("position", "ref"),
+        F.posexplode_outer("doc.items").alias("position", "ref"),
     )
-    return refs.select(
+    return refs.filter(F.col("position").isNotNull()).select(
         F.struct("page_commit", "page_url", "position").alias("place"),
         F.col("ref.`@id`").alias("leaf_url"),
         F.col("ref.`@type`").alias("event_type"),

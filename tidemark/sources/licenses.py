@@ -20,8 +20,8 @@ def parse_license_list(documents: DataFrame) -> DataFrame:
     rows = lists.select(
         F.col("doc.licenseListVersion").alias("list_version"),
         parse_instant(F.col("doc.releaseDate")).alias("source_updated_at"),
-        F.explode("doc.licenses").alias("lic"),
-    )
+        F.posexplode_outer("doc.licenses").alias("position", "lic"),
+    ).filter(F.col("position").isNotNull())
     flag = {
         name: F.coalesce(F.col(f"lic.{name}"), F.lit(False))
         for name in ("isOsiApproved", "isFsfLibre", "isDeprecatedLicenseId")
