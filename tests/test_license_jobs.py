@@ -91,3 +91,51 @@ def test_enrichment(spark, store, tmp_path):
     enrichment.classify_packages(store, all_packages=True)
     assert verdicts(store)["a"].classification == "proprietary"
     assert enrichment.license_verdicts(store).filter(F.col("classified_at").isNull()).isEmpty()
+
+
+def test_many_signals_without_broadcast(spark, store, tmp_path, monkeypatch):
+    monkeypatch.setattr(enrichment, "FEW_SIGNALS", 0)
+    landing = Landing(spark, tmp_path / "landing")
+    land(landing, 1, {"a": {"licenseExpression": "MIT"}, "b": {}, "c": {"licenseUrl": "http://x.y"}})
+    catalog.sync_catalog(store, *landing.sources())
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
+    enrichment.classify_packages(store)
+    assert {k: r.reasoning for k, r in verdicts(store).items()} == {
+        "a": "any_approved: MIT", "b": "no_signal", "c": "url_unrecognised",
+    }
+
+
+def test_store_checks(spark, store, tmp_path):
+    import datetime as dt
+
+    from tidemark.plans import checks
+
+    empty = {r.check_name: r for r in checks.table_report(store).collect()}
+    assert not empty["package_state_nonempty"].passed
+    assert not empty["license_ref_osi_floor"].passed
+    assert empty["license_verdict_unknown_ratio"].passed
+
+    landing = Landing(spark, tmp_path / "landing")
+    land(landing, 1, {"a": {"licenseExpression": "MIT"}, "b": {}})
+    lost = details("z", "1.0", at(2))
+    landing.page([lost], leaves=[])
+    catalog.sync_catalog(store, *landing.sources())
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
+    enrichment.classify_packages(store)
+    failed = {r.check_name: r.measured for r in checks.table_report(store).filter("not passed").collect()}
+    assert failed == {"license_ref_osi_floor": 1.0, "catalog_rejects": 1.0}
+
+    fresh = {r.check_name: r.passed for r in checks.freshness_report(store).collect()}
+    assert set(fresh.values()) == {True} and len(fresh) == 3
+    later = F.current_timestamp() + F.expr("INTERVAL 13 HOURS")
+    fresh = {r.check_name: r.passed for r in checks.freshness_report(store, later).collect()}
+    assert fresh == {
+        "freshness_catalog": False, "freshness_license_list": True, "freshness_license_verdict": True,
+    }
+
+    store.log_run(id="lost", source=catalog.SOURCE, status="running",
+                  started_at=dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=4))
+    assert checks.fail_zombies(store) == 1
+    row = store.runs().filter("id = 'lost'").first()
+    assert row.status == "failed" and row.completed_at is not None and row.error_message
+    assert checks.fail_zombies(store) == 0

@@ -41,6 +41,18 @@ def url_index(licenses: DataFrame) -> DataFrame:
     )
 
 
+def licenses_of_urls(rows: DataFrame, url: str, licenses: DataFrame) -> DataFrame:
+    """Rows whose URL the list knows, with its ``url_key`` and ``license_id``.
+
+    Joined on a text that the index was not grouped by: its side then has a plain
+    shuffle, and Spark can split a URL that most rows share.
+    """
+    index = url_index(licenses)
+    key = F.concat(F.lit("url:"), "url_key")
+    keyed = rows.withColumn("url_key", normalize_url(F.col(url))).withColumn("_key", key)
+    return keyed.join(index.select(key.alias("_key"), "license_id"), "_key").drop("_key")
+
+
 def licenses_linking_to(licenses: DataFrame, url: Column) -> DataFrame:
     """Licenses whose links contain this very URL."""
     return licenses.filter(F.array_contains("see_also_urls", url))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.cursors import INITIAL
 from tidemark.functions.times import commit_key
-from tidemark.operators.events import after_watermark, current_state, first_pages, is_delete
+from tidemark.operators.events import after_watermark, current_state, first_pages
 from tidemark.operators.merge import mark_deleted, merge_changes, merge_few_changes
 from tidemark.operators.versions import (
     PACKAGE_KEYS,
@@ -216,11 +216,10 @@ def backfill_deletes(
         done = left if max_pages is None else min(left, max_pages)
         refs = _refs_of(chosen, pages_for(chosen))
         seen = Observation()
-        gone = is_delete(F.col("event_type"))
         observed = once(refs).observe(
-            seen, F.max("commit").alias("watermark"), F.count_if(gone).alias("deletes")
+            seen, F.max("commit").alias("watermark"), F.count_if("gone").alias("deletes")
         )
-        deletes = observed.filter(gone).select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
+        deletes = observed.filter("gone").select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
         catalog = store.checkpoint(SOURCE)
         marked = mark_deleted(stored_versions(store, catalog), deletes, VERSION_KEYS)
         store.write(VERSIONS, run.id, marked)

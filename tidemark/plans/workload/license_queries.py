@@ -305,10 +305,7 @@ def url_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p.package_id, u.url_key, u.license_id FROM packages AS p
 JOIN url_index AS u ON u.url_key = {_KEY_OF.format('p.license_url')}""")
 def url_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = packages(spark, sf_dir).select(
-        "package_id", tf.normalize_url(F.col("license_url")).alias("url_key")
-    )
-    found = declared.join(lic.url_index(licenses(spark, sf_dir)), "url_key")
+    found = lic.licenses_of_urls(packages(spark, sf_dir), "license_url", licenses(spark, sf_dir))
     return found.select("package_id", "url_key", "license_id")
 
 

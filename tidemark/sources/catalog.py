@@ -105,9 +105,20 @@ def parse_leaves(documents: DataFrame) -> DataFrame:
 
 
 def once(refs: DataFrame) -> DataFrame:
-    """A reference listed or landed several times counts once, at its last place."""
-    rest = [c for c in refs.columns if c != "place"]
-    return refs.groupBy(*rest).agg(F.max("place").alias("place"))
+    """References that count: the last of each leaf, and the last delete of each version.
+
+    References of one leaf carry the same payload, so only its last commit and
+    place matter; of a version's deletes only the last does.  ``event_key`` is
+    unique, so neither a page landed many times nor a leaf listed many times can
+    make a hot key later on.
+    """
+    gone = is_delete(F.col("event_type"))
+    version = F.concat_ws("\x00", F.lit("delete"), "package_id", "version")
+    no_url = F.concat_ws("\x00", F.lit("no url"), "package_id", "version", "commit.commit_text")
+    key = F.when(gone, version).otherwise(F.coalesce("leaf_url", no_url))
+    ref = F.struct("commit", "place", gone.alias("gone"), "leaf_url", "package_id", "version")
+    last = refs.groupBy(key.alias("event_key")).agg(F.max(ref).alias("ref"))
+    return last.select("event_key", "ref.*")
 
 
 def one_per_url(leaves: DataFrame) -> DataFrame:
@@ -126,15 +137,13 @@ def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
     missing or unusable is a reject with its ``reason``, so nothing is lost
     silently.  Deletes need no leaf.
     """
-    gone = is_delete(F.col("event_type"))
     named = once(refs).withColumnsRenamed(
         {"package_id": "ref_package_id", "version": "ref_version", "leaf_url": "ref_url"}
     )
     found = one_per_url(leaves).withColumn("found", F.lit(True))
-    joined = named.join(found, (F.col("ref_url") == F.col("leaf_url")) & ~gone, "left")
-    reason = F.when(~gone & F.col("found").isNull(), F.lit("missing_leaf")).otherwise(
-        F.col("problem")
-    )
+    joined = named.join(found, F.col("event_key") == F.col("leaf_url"), "left")
+    gone, missing = F.col("gone"), F.col("found").isNull()
+    reason = F.when(~gone & missing, F.lit("missing_leaf")).otherwise(F.col("problem"))
     return (
         joined.withColumn("reason", reason)
         .withColumn("package_id", F.coalesce("leaf_id", "ref_package_id"))
@@ -145,7 +154,7 @@ def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
             .when(F.col("reason").isNull(), F.lit("details"))
             .otherwise(F.lit("reject")),
         )
-        .drop("found", "problem", "leaf_id", "leaf_version", "event_type", "leaf_url")
+        .drop("event_key", "gone", "found", "problem", "leaf_id", "leaf_version", "leaf_url")
         .withColumnRenamed("ref_url", "leaf_url")
     )
 
