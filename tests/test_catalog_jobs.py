@@ -322,3 +322,44 @@ def test_landed_days_reads_only_the_days_needed(spark, tmp_path):
     assert [r.leaf_version for r in parse_leaves(documents).collect()] == ["2024-05-01"]
     plan = documents._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_fold_shuffles_only_the_log(spark, store, landing, monkeypatch):
+    landing.page([details(f"P{i}", "1.0", at(1)) for i in range(30)])
+    sync(store, landing)
+    catalog.fold_catalog(store, buckets=4)
+    landing.page([details("P3", "1.0", at(2)), delete("P4", "1.0", at(2)), details("Q", "1", at(2))])
+    sync(store, landing)
+    plans = []
+    write = Store.write_bucketed
+
+    def seen(self, table, name, rows, keys, buckets):
+        plans.append((table, buckets, rows._jdf.queryExecution().executedPlan().toString()))
+        write(self, table, name, rows, keys, buckets)
+
+    monkeypatch.setattr(Store, "write_bucketed", seen)
+    catalog.fold_catalog(store)
+    folders = store.checkpoint(catalog.SOURCE).folders
+    for table, buckets, plan in plans:
+        assert buckets == 4 and "Bucketed: true" in plan
+        target = plan.index("Bucketed: true")
+        # The stored side is printed first: between the join and its scan, no exchange.
+        assert "Exchange" not in plan[plan.index("SortMergeJoin") : target]
+        folder = f"{store.root}/{table}/batch={folders[table][0]}"
+        import os
+
+        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 4
+    rows = versions(store)
+    assert len(rows) == 31 and rows["P4", "1.0"].deleted_at is not None
+    assert spark.catalog.listTables() == []
+    kept = store.checkpoints().filter("source = 'catalog'").first()
+    assert (kept.watermark, kept.last_sync_status, kept.rows_synced) == (at(2), "completed", 3)
+    per_source = {r.source: r["count"] for r in store.runs().groupBy("source").count().collect()}
+    assert per_source == {"catalog": 2, "catalog_fold": 2}
+    # Another bucket count lays the tables out anew.
+    landing.page([delete("P5", "1.0", at(3))])
+    sync(store, landing)
+    catalog.fold_catalog(store, buckets=2)
+    assert plans[-1][1] == 2
+    rows = versions(store)
+    assert len(rows) == 31 and rows["P5", "1.0"].deleted_at is not None

@@ -35,7 +35,9 @@ from tidemark.sources.catalog import (
 
 SOURCE = "catalog"
 BACKFILL = "delete_backfill"
+FOLD = "catalog_fold"  # a fold is no sync: it must not make the catalog look fresh
 LOG, VERSIONS, PACKAGES = "catalog_log", "version_state", "package_state"
+BUCKETS = "buckets"  # of the stored tables, beside their folders in the checkpoint
 
 # Log rows up to which a fold only sends keys to the tables; one key is some
 # hundred bytes, so their broadcast stays in the tens of megabytes.
@@ -183,27 +185,64 @@ def rejects(store: Store) -> DataFrame:
     )
 
 
-def fold_catalog(store: Store) -> None:
-    """Stores the tables anew and empties the log; the watermark stays."""
+# --- storing the tables ---------------------------------------------------------
 
-    def work(before: Checkpoint, run: Run) -> RunResult:
+
+def _buckets(store: Store, at: Checkpoint, wanted: int | None) -> int:
+    default = store.spark.conf.get("spark.sql.shuffle.partitions")
+    return wanted or int(at.folders.get(BUCKETS, [default])[0])
+
+
+def _fold_table(
+    store: Store, at: Checkpoint, name: str, table: str, schema, keys, changes: DataFrame, n: int
+) -> None:
+    """Stores one table anew, bucketed by key.
+
+    The stored table is bucketed already, so only the log is shuffled.
+    """
+    stored = at.folders.get(table, [])
+    if stored and at.folders[BUCKETS] == [str(n)]:
+        with store.bucketed(table, stored[0], schema, keys, n) as target:
+            store.write_bucketed(table, name, merge_changes(target, changes, keys), keys, n)
+        return
+    rows = current_state(changes).select(*schema.names)
+    if stored:
+        rows = merge_changes(store.read(table, stored, schema), changes, keys)
+    store.write_bucketed(table, name, rows.repartition(n, *keys), keys, n)
+
+
+def fold_catalog(store: Store, buckets: int | None = None) -> None:
+    """Stores the tables anew and empties the log; the watermark stays.
+
+    ``buckets`` is kept from fold to fold unless given, and starts as the session's
+    number of shuffle partitions.  Choose it for tables of their full size: a
+    bucket is one task's work.
+    """
+
+    def work(own: Checkpoint, run: Run) -> RunResult:
+        before = store.checkpoint(SOURCE)
         if not before.folders.get(LOG):
-            return RunResult(before.watermark, before.folders)
-        store.write(VERSIONS, run.id, stored_versions(store, before))
-        store.write(PACKAGES, run.id, stored_packages(store, before))
-        folders = {**before.folders, VERSIONS: [run.id], PACKAGES: [run.id], LOG: []}
-        return RunResult(before.watermark, folders)
+            return RunResult(own.watermark, own.folders)
+        n, log = _buckets(store, before, buckets), catalog_log(store, before)
+        for table, schema, keys, changes in (
+            (VERSIONS, schemas.VERSION_STATE, VERSION_KEYS, version_changes(log)),
+            (PACKAGES, schemas.PACKAGE_STATE, PACKAGE_KEYS, package_changes(log)),
+        ):
+            _fold_table(store, before, run.id, table, schema, keys, changes, n)
+        folders = {VERSIONS: [run.id], PACKAGES: [run.id], LOG: [], BUCKETS: [str(n)]}
+        store.replace_folders(SOURCE, {**before.folders, **folders})
+        return RunResult(before.watermark, own.folders)
 
-    run_job(store, SOURCE, work)
+    run_job(store, FOLD, work)
 
 
 def backfill_deletes(
     store: Store, index_documents: DataFrame, pages_for: Pages, max_pages: int | None = None
 ) -> RunResult:
-    """Marks stored versions from the delete events of all pages.
+    """Folds, then marks stored versions from the delete events of all pages.
 
-    Keeps its own checkpoint and never moves the catalog's.  Only rows that exist
-    are marked, and a later re-publish is not looked at.
+    Keeps its own checkpoint and never moves the catalog's watermark.  Only rows
+    that exist are marked, and a later re-publish is not looked at.
     """
 
     def work(before: Checkpoint, run: Run) -> RunResult:
@@ -211,21 +250,22 @@ def backfill_deletes(
         new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
         chosen = first_pages(new, "commit", max_pages)
         left = new.count()
-        if left == 0:
+        catalog = store.checkpoint(SOURCE)
+        if left == 0 or not catalog.folders.get(VERSIONS):
             return RunResult(before.watermark, before.folders)
         done = left if max_pages is None else min(left, max_pages)
-        refs = _refs_of(chosen, pages_for(chosen))
         seen = Observation()
-        observed = once(refs).observe(
+        observed = once(_refs_of(chosen, pages_for(chosen))).observe(
             seen, F.max("commit").alias("watermark"), F.count_if("gone").alias("deletes")
         )
         deletes = observed.filter("gone").select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
-        catalog = store.checkpoint(SOURCE)
-        marked = mark_deleted(stored_versions(store, catalog), deletes, VERSION_KEYS)
-        store.write(VERSIONS, run.id, marked)
-        store.write(PACKAGES, run.id, stored_packages(store, catalog))
-        folders = {**catalog.folders, VERSIONS: [run.id], PACKAGES: [run.id], LOG: []}
-        store.commit(SOURCE, catalog.watermark, folders, "completed", 0)
+        n = _buckets(store, catalog, None)
+        with store.bucketed(
+            VERSIONS, catalog.folders[VERSIONS][0], schemas.VERSION_STATE, VERSION_KEYS, n
+        ) as target:
+            marked = mark_deleted(target, deletes, VERSION_KEYS)
+            store.write_bucketed(VERSIONS, run.id, marked, VERSION_KEYS, n)
+        store.replace_folders(SOURCE, {**catalog.folders, VERSIONS: [run.id]})
         newest = seen.get["watermark"]
         return RunResult(
             before.watermark if newest is None else newest.commit_text,
@@ -236,4 +276,5 @@ def backfill_deletes(
             metrics={"pages_remaining": left - done},
         )
 
+    fold_catalog(store)
     return run_job(store, BACKFILL, work)

@@ -12,9 +12,11 @@ idempotent.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -32,6 +34,8 @@ from tidemark.operators.ledger import current_checkpoints, current_runs
 class Checkpoint:
     watermark: str = INITIAL
     folders: dict[str, list[str]] = field(default_factory=dict)
+    status: str = "completed"
+    rows: int = 0
 
 
 @dataclass
@@ -63,6 +67,40 @@ class Store:
         paths = [f"{self.root}/{table}/batch={name}" for name in names]
         return reader.parquet(*paths).select(*schema.names)
 
+    def write_bucketed(
+        self, table: str, name: str, rows: DataFrame, keys: Sequence[str], buckets: int
+    ) -> None:
+        """Writes one folder bucketed and sorted by key.
+
+        Rows already partitioned by the keys into as many parts give one file per
+        bucket.  Spark buckets tables only, so one is named for the time of the write.
+        """
+        handle = self._handle(table, name)
+        rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option(
+            "path", f"{self.root}/{table}/batch={name}"
+        ).saveAsTable(handle)
+        self.spark.sql(f"DROP TABLE {handle}")
+
+    @contextmanager
+    def bucketed(
+        self, table: str, name: str, schema: StructType, keys: Sequence[str], buckets: int
+    ) -> Iterator[DataFrame]:
+        """A folder as a bucketed table: joins on the keys need no shuffle of it."""
+        handle, columns = self._handle(table, name), ", ".join(keys)
+        self.spark.sql(
+            f"CREATE TABLE {handle} ({schema.toDDL()}) USING parquet "
+            f"CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {buckets} BUCKETS "
+            f"LOCATION '{self.root}/{table}/batch={name}'"
+        )
+        try:
+            yield self.spark.table(handle)
+        finally:
+            self.spark.sql(f"DROP TABLE {handle}")
+
+    def _handle(self, table: str, name: str) -> str:
+        digest = hashlib.sha256(f"{self.root}/{table}/{name}".encode()).hexdigest()
+        return f"tidemark_{table}_{digest[:16]}"
+
     def _rows(self, table: str, schema: StructType) -> DataFrame:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -85,7 +123,8 @@ class Store:
         row = self.checkpoints().filter(F.col("source") == source).first()
         if row is None:
             return Checkpoint()
-        return Checkpoint(row.watermark, json.loads(row.metadata or "{}"))
+        folders = json.loads(row.metadata or "{}")
+        return Checkpoint(row.watermark, folders, row.last_sync_status, row.rows_synced)
 
     def commit(
         self, source: str, watermark: str, folders: dict[str, list[str]], status: str, rows: int
@@ -101,6 +140,11 @@ class Store:
             metadata=json.dumps(folders),
         )
 
+    def replace_folders(self, source: str, folders: dict[str, list[str]]) -> None:
+        """Names other folders for a source and leaves its progress as it is."""
+        at = self.checkpoint(source)
+        self.commit(source, at.watermark, folders, at.status, at.rows)
+
     # --- runs ----------------------------------------------------------------
 
     def runs(self) -> DataFrame:
