@@ -1,15 +1,16 @@
 """License verdicts: open_source, proprietary or unknown.
 
 A verdict depends only on the declared signal: the license expression if there
-is one, else the canonical license URL.  Millions of packages share few signals,
-so each distinct signal is judged once and the verdicts are joined back.  Every
-step is a join or a grouped aggregate: neither the license list nor the distinct
-signals have to fit anywhere, and small ones are broadcast by Spark.
+is one, else the license URL.  Millions of packages share few signals, so each
+distinct signal is parsed and judged once and the verdicts are joined back; rows
+only get a label.  Every step is a join or a grouped aggregate: neither the
+license list nor the distinct signals have to fit anywhere, and small ones are
+broadcast by Spark.
 
 Skew: distinct signals are combined before their shuffle.  Rows that have no key
-for a join get one of their own, so they spread instead of meeting at null.  The
-join back and the term lookup have plain shuffles on both sides, which lets
-adaptive execution split a hot signal or term.
+for a join get one of their own, so they spread instead of meeting at null.  All
+joins have plain shuffles on both sides (a grouped side is joined on a text it
+was not grouped by), which lets adaptive execution split a hot key.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from tidemark.functions.license_text import (
     words_terms,
 )
 from tidemark.functions.payload import signal_label
-from tidemark.functions.strings import strip_whitespace
 from tidemark.functions.urls import is_vendor_eula, normalize_url
 from tidemark.operators.licenses import url_index
 
@@ -39,26 +39,18 @@ VERDICT_COLUMNS = (
 )
 
 
-SIGNAL = ["signal", "signal_value", "vendor_eula"]
+SIGNAL = ["signal", "signal_value"]
 
 
 def with_signal(packages: DataFrame, expression: str, url: str) -> DataFrame:
-    """Adds what a verdict rests on.
-
-    ``signal`` is expression, url or none; ``signal_value`` the expression's text or
-    the URL's canonical form; ``vendor_eula`` whether the URL is a vendor's own.
-    """
-    label = signal_label(F.col(expression), F.col(url))
-    labelled = packages.withColumn("signal", label)
-    by_url = F.col("signal") == "url"
-    value = F.when(F.col("signal") == "expression", strip_whitespace(F.col(expression))).when(
-        by_url, normalize_url(F.col(url))
-    )
-    return labelled.withColumns(
-        {
-            "signal_value": F.coalesce(value, F.lit("")),
-            "vendor_eula": F.coalesce(by_url & is_vendor_eula(F.col(url)), F.lit(False)),
-        }
+    """Adds what a verdict rests on: ``signal`` is expression, url or none, and
+    ``signal_value`` the declared text as it stands."""
+    labelled = packages.withColumn("signal", signal_label(F.col(expression), F.col(url)))
+    return labelled.withColumn(
+        "signal_value",
+        F.when(F.col("signal") == "expression", F.col(expression))
+        .when(F.col("signal") == "url", F.col(url))
+        .otherwise(F.lit("")),
     )
 
 
@@ -71,6 +63,10 @@ def _own_key(key: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("\x00"), F.col("signal"), F.col("signal_value")))
 
 
+def _url_text(url_key: Column) -> Column:
+    return F.concat(F.lit("url:"), url_key)
+
+
 def _first(position: Column, value: Column, where: Column) -> Column:
     return F.min(F.when(where, F.struct(position, value)))
 
@@ -82,17 +78,22 @@ def signal_terms(signals: DataFrame, licenses: DataFrame) -> DataFrame:
     names none keeps one row with a null ``term``.  The list holds each id once.
     """
     by_expression = F.col("signal") == "expression"
-    url = F.when((F.col("signal") == "url") & (F.col("signal_value") != ""), F.col("signal_value"))
-    parsed = signals.withColumns(
-        {
-            "words": F.when(by_expression, plain_words(F.col("signal_value"))),
-            "url_key": _own_key(url),
-        }
-    ).withColumns(
-        {"terms": words_terms(F.col("words")), "combinator": words_combinator(F.col("words"))}
+    url_key = F.when(F.col("signal") == "url", normalize_url(F.col("signal_value")))
+    parsed = (
+        signals.withColumns(
+            {"words": F.when(by_expression, plain_words(F.col("signal_value"))), "url_key": url_key}
+        )
+        .withColumns(
+            {"terms": words_terms(F.col("words")), "combinator": words_combinator(F.col("words"))}
+        )
+        .withColumn(
+            "url_text", _own_key(F.when(F.col("url_key") != "", _url_text(F.col("url_key"))))
+        )
     )
-    index = url_index(licenses).withColumnRenamed("license_id", "url_license")
-    named = parsed.join(index, "url_key", "left")
+    index = url_index(licenses).select(
+        _url_text(F.col("url_key")).alias("url_text"), F.col("license_id").alias("url_license")
+    )
+    named = parsed.join(index, "url_text", "left")
     terms = named.select(
         *SIGNAL,
         "combinator",
@@ -122,7 +123,10 @@ def signal_verdicts(signals: DataFrame, licenses: DataFrame) -> DataFrame:
             _first(at, term, listed & ~approved).getField("term").alias("first_refused"),
         )
     )
-    return facts.withColumn("reason", F.expr(_REASON)).select(
+    judged = facts.withColumn("vendor_eula", is_vendor_eula(F.col("signal_value"))).withColumn(
+        "reason", F.expr(_REASON)
+    )
+    return judged.select(
         *SIGNAL,
         F.expr(_CLASS).alias("classification"),
         F.expr(_LICENSE).alias("spdx_id"),
@@ -188,9 +192,9 @@ def apply_verdicts(signalled: DataFrame, verdicts: DataFrame, small: bool = Fals
     their side gets a shuffle of its own, without which Spark could not split a
     hot signal.
     """
-    key = F.concat_ws(":", "signal", F.col("vendor_eula").cast("string"), "signal_value")
+    key = F.concat_ws(":", "signal", "signal_value")
     judged = verdicts.select(key.alias("_signal_key"), *VERDICT_COLUMNS)
-    keyed = signalled.withColumn("_signal_key", key).drop("signal_value", "vendor_eula")
+    keyed = signalled.withColumn("_signal_key", key).drop("signal_value")
     judged = F.broadcast(judged) if small else judged
     return keyed.join(judged, "_signal_key").drop("_signal_key")
 

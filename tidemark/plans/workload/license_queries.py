@@ -175,7 +175,7 @@ def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = vd.with_signal(packages(spark, sf_dir), "license", "license_url").filter(
         F.col("signal") == "expression"
     )
-    distinct = vd.distinct_signals(signals.withColumn("signal_value", F.col("license")))
+    distinct = vd.distinct_signals(signals)
     terms = vd.signal_terms(distinct, licenses(spark, sf_dir)).filter(F.col("term").isNotNull())
     return terms.groupBy(
         "term",

@@ -207,7 +207,6 @@ LICENSE_VERDICT = _struct(
 SIGNAL_VERDICT = _struct(
     signal=STR,
     signal_value=STR,
-    vendor_eula=BOOL,
     classification=STR,
     spdx_id=STR,
     is_osi_approved=BOOL,
