@@ -304,6 +304,7 @@ def test_stream_equals_batch(spark, store, landing, tmp_path):
         )
         assert table(store).count() == table(other).count()
     assert store.checkpoint(catalog.SOURCE).watermark == at(5)
+    assert store.runs().filter("status = 'completed'").count() == 3  # one per batch
 
 
 def test_landed_days_reads_only_the_days_needed(spark, tmp_path):

@@ -32,9 +32,9 @@ def plain_words(expression: Column) -> Column:
     A single blank when there are none or the expression is unreadable.
     """
     words = F.array_join(F.regexp_extract_all(expression, F.lit(_WORD), F.lit(0)), " ")
-    return (
-        F.when(expression.rlike(_FOREIGN) | (words == ""), F.lit(" "))
-        .when(expression.isNotNull(), F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), _EXCEPTION, ""))
+    spaced = F.concat(F.lit(" "), words, F.lit(" "))
+    return F.when(expression.rlike(_FOREIGN) | (words == ""), F.lit(" ")).when(
+        expression.isNotNull(), F.regexp_replace(spaced, _EXCEPTION, "")
     )
 
 

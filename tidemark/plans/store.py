@@ -87,6 +87,8 @@ class Store:
     ) -> Iterator[DataFrame]:
         """A folder as a bucketed table: joins on the keys need no shuffle of it."""
         handle, columns = self._handle(table, name), ", ".join(keys)
+        # A job that died here may have left the name in a shared catalog.
+        self.spark.sql(f"DROP TABLE IF EXISTS {handle}")
         self.spark.sql(
             f"CREATE TABLE {handle} ({schema.toDDL()}) USING parquet "
             f"CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {buckets} BUCKETS "

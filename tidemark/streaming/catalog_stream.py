@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.catalog import LOG, SOURCE, Leaves, append_events, is_after
-from tidemark.plans.store import Store
+from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 from tidemark.sources.catalog import parse_leaves, parse_pages
 
+STREAMED = "streamed"  # the stream's last batch, beside the folders in the checkpoint
+
 
 def stream_pages(
     store: Store,
@@ -35,23 +37,25 @@ def stream_pages(
     def ingest(documents: DataFrame, batch_id: int) -> None:
         refs = parse_pages(documents)
         name = f"stream-{stream}-{batch_id:012d}"
-        before = store.checkpoint(SOURCE)
-        if name in before.folders.get("streamed", []):
-            return
-        seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
-        folders = {
-            **before.folders,
-            LOG: [*before.folders.get(LOG, []), name],
-            "streamed": [name],
-        }
-        newest = seen["watermark"]
-        watermark = before.watermark
-        # Files land in any order; the watermark never goes back.
-        if newest is not None and is_after(spark, newest.commit_text, watermark):
-            watermark = newest.commit_text
-        store.commit(
-            SOURCE, watermark, folders, "completed", seen["details"] + seen["deletes"]
-        )
+
+        def work(before: Checkpoint, run: Run) -> RunResult:
+            if name in before.folders.get(STREAMED, []):
+                return RunResult(before.watermark, before.folders)
+            seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
+            log = [*before.folders.get(LOG, []), name]
+            newest, watermark = seen["watermark"], before.watermark
+            # Files land in any order; the watermark never goes back.
+            if newest is not None and is_after(spark, newest.commit_text, watermark):
+                watermark = newest.commit_text
+            return RunResult(
+                watermark,
+                {**before.folders, LOG: log, STREAMED: [name]},
+                inserted=seen["details"],
+                deleted=seen["deletes"],
+                metrics=seen,
+            )
+
+        run_job(store, SOURCE, work)
 
     return (
         reader.load(landing)
