@@ -170,9 +170,12 @@ def test_fractions_order_by_instant(store, landing):
 
 def test_rejects_are_kept(store, landing):
     good, lost, bad, nodate = (details(p, "1.0", at(1)) for p in ("G", "L", "B", "N"))
+    undated, gone = details("U", "1.0", "zz"), delete("G", "1.0", "zz")
     landing.page(
-        [good, lost, bad, nodate],
+        [good, lost, bad, nodate, undated, gone],
+        commit=at(1),
         leaves=[
+            leaf_of(undated),
             leaf_of(good),
             {"@id": bad["@id"], "id": "B", "published": "2024-01-01"},
             leaf_of(nodate, published="some day"),
@@ -180,10 +183,15 @@ def test_rejects_are_kept(store, landing):
         ],
     )
     result = sync(store, landing)
-    assert result.metrics["rejects"] == 3
+    assert result.metrics["rejects"] == 5
+    assert result.watermark == at(1)
     assert set(versions(store)) == {("G", "1.0")}
+    assert versions(store)["G", "1.0"].deleted_at is None
     reasons = {r.package_id: r.reason for r in catalog.rejects(store).collect()}
-    assert reasons == {"L": "missing_leaf", "B": "missing_field", "N": "bad_published"}
+    assert reasons == {
+        "L": "missing_leaf", "B": "missing_field", "N": "bad_published", "U": "bad_commit",
+        "G": "bad_commit",
+    }
 
 
 def test_leaf_identity_counts_and_copies_do_not(spark, store, landing):

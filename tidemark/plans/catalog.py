@@ -48,6 +48,12 @@ def _watermark(text: str) -> Column | None:
     return None if text == INITIAL else commit_key(F.lit(text))
 
 
+def _newest() -> Column:
+    """The next watermark: the last commit that can be read, of any kind of event."""
+    readable = F.col("commit.commit_at").isNotNull()
+    return F.max(F.when(readable, F.col("commit"))).alias("watermark")
+
+
 def is_after(spark: SparkSession, commit: str, watermark: str) -> bool:
     """Whether a commit time lies after a watermark; never a comparison of texts."""
     if watermark == INITIAL:
@@ -67,9 +73,10 @@ Leaves = Callable[[DataFrame], DataFrame]
 
 
 def landed_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Documents landed in ``day=YYYY-MM-DD`` folders, only of the rows' commit days.
+    """Documents landed in folders ``day=YYYY-MM-DD`` by their commit, one per line.
 
-    The list of days is bounded by the calendar, not by the batch.
+    Reads the days of the given rows only.  The list of days is bounded by the
+    calendar, not by the batch.
     """
     day = F.to_date("commit.commit_at").cast("string")
     days = [row.day for row in rows.select(day.alias("day")).distinct().collect()]
@@ -84,7 +91,7 @@ def append_events(store: Store, name: str, refs: DataFrame, leaves: DataFrame) -
     kind = F.col("kind")
     observed = events.observe(
         seen,
-        F.max("commit").alias("watermark"),
+        _newest(),
         F.count_if(kind == "details").alias("details"),
         F.count_if(kind == "delete").alias("deletes"),
         F.count_if(kind == "reject").alias("rejects"),
@@ -256,9 +263,10 @@ def backfill_deletes(
         done = left if max_pages is None else min(left, max_pages)
         seen = Observation()
         observed = once(_refs_of(chosen, pages_for(chosen))).observe(
-            seen, F.max("commit").alias("watermark"), F.count_if("gone").alias("deletes")
+            seen, _newest(), F.count_if("gone").alias("deletes")
         )
-        deletes = observed.filter("gone").select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
+        dated = F.col("gone") & F.col("commit.commit_at").isNotNull()
+        deletes = observed.filter(dated).select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
         n = _buckets(store, catalog, None)
         with store.bucketed(
             VERSIONS, catalog.folders[VERSIONS][0], schemas.VERSION_STATE, VERSION_KEYS, n

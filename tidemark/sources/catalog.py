@@ -133,9 +133,9 @@ def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
     """Every reference as an event of one ``kind``: details, delete or reject.
 
     Details carry their leaf and take their identity from it; the reference's own
-    stays in ``ref_package_id`` and ``ref_version``.  A reference whose leaf is
-    missing or unusable is a reject with its ``reason``, so nothing is lost
-    silently.  Deletes need no leaf.
+    stays in ``ref_package_id`` and ``ref_version``.  A reference whose commit time
+    cannot be read, or whose leaf is missing or unusable, is a reject with its
+    ``reason``, so nothing is lost silently.  Deletes need no leaf.
     """
     named = once(refs).withColumnsRenamed(
         {"package_id": "ref_package_id", "version": "ref_version", "leaf_url": "ref_url"}
@@ -143,16 +143,20 @@ def catalog_events(refs: DataFrame, leaves: DataFrame) -> DataFrame:
     found = one_per_url(leaves).withColumn("found", F.lit(True))
     joined = named.join(found, F.col("event_key") == F.col("leaf_url"), "left")
     gone, missing = F.col("gone"), F.col("found").isNull()
-    reason = F.when(~gone & missing, F.lit("missing_leaf")).otherwise(F.col("problem"))
+    reason = (
+        F.when(F.col("commit.commit_at").isNull(), F.lit("bad_commit"))
+        .when(~gone & missing, F.lit("missing_leaf"))
+        .otherwise(F.col("problem"))
+    )
     return (
         joined.withColumn("reason", reason)
         .withColumn("package_id", F.coalesce("leaf_id", "ref_package_id"))
         .withColumn("version", F.coalesce("leaf_version", "ref_version"))
         .withColumn(
             "kind",
-            F.when(gone, F.lit("delete"))
-            .when(F.col("reason").isNull(), F.lit("details"))
-            .otherwise(F.lit("reject")),
+            F.when(F.col("reason").isNotNull(), F.lit("reject"))
+            .when(gone, F.lit("delete"))
+            .otherwise(F.lit("details")),
         )
         .drop("event_key", "gone", "found", "problem", "leaf_id", "leaf_version", "leaf_url")
         .withColumnRenamed("ref_url", "leaf_url")
