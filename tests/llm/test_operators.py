@@ -170,6 +170,12 @@ def test_bpe_round_trip(docs):
         assert r["n_tokens"] * 4 == len(r["ids"])
 
 
+def test_decode(docs):
+    coded = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
+    for text, decoded in bpe.decode(coded, PATH, public_tokenizers.PATTERN).select("row.text", "decoded").collect():
+        assert bytes(decoded) == (text or "").encode()
+
+
 def test_bpe_of_nothing(empty):
     assert bpe.encode_and_decode(empty, PATH, public_tokenizers.PATTERN).count() == 0
 
@@ -180,7 +186,7 @@ def test_merges_of_long_pieces(library):
     for n in (1, 2, 3, 50, 3000):
         for letters in ("a", "ab", "abcdefgh é"):
             piece = "".join(rng.choice(letters) for _ in range(n)).encode()
-            assert bpe.merge(piece, ranks) == library._core_bpe.encode_single_piece(piece)
+            assert bpe.merge(piece, ranks) == bpe._merge_long(piece, ranks) == library._core_bpe.encode_single_piece(piece)
 
 
 # -- 3 -----------------------------------------------------------------------

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,10 @@ from tidemark.llm.common import settled
 #: Characters of a chunk, and of the overlap with the next one.
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
-#: Pieces whose ids a Python worker remembers; beyond it forgets them all.
-REMEMBERED = 1 << 18
+#: Pieces whose ids a Python worker remembers, twice.
+REMEMBERED = 1 << 17
+#: Bytes up to which a piece is merged by looking through all its pairs.
+SHORT = 64
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -38,14 +42,30 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a piece: of all neighbouring parts, the pair of lowest rank is joined, the leftmost first, as long as one has a rank.
-
-    A linked list and a heap of pairs, so a long piece costs n log n.
-    """
-    from heapq import heapify, heappop, heappush
-
+    """Ids of a piece: of all neighbouring parts, the pair of lowest rank is joined, the leftmost first, as long as one has a rank."""
     if piece in ranks:
         return [ranks[piece]]
+    return (_merge_short if len(piece) <= SHORT else _merge_long)(piece, ranks)
+
+
+def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Looks through all pairs each time, which is quickest for words."""
+    rank, none = ranks.get, 1 << 32
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs and (lowest := min(pairs)) < none:
+        i = pairs.index(lowest)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+    return [ranks[p] for p in parts]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Keeps the pairs in a heap, so a long piece costs n log n."""
     n = len(piece)
     end = list(range(1, n + 1))  # where the part starting here ends; 0: no part starts here
     prev = list(range(-1, n - 1))
@@ -67,28 +87,36 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec(dict):
-    """Little-endian ids of each piece of text, made when first asked for."""
+    """Little-endian ids of each piece of text, made when first asked for.
+
+    Pieces asked for lately are remembered: when the table is full it becomes
+    the old one, and what is asked for again moves back.
+    """
 
     def __init__(self, vocabulary: bytes, pattern: str):
         super().__init__()
         self.ranks = read_ranks(vocabulary)
         self.split = regex.compile(pattern).findall
-        size = max(self.ranks.values(), default=-1) + 1
-        self.tokens = [b""] * size
+        self.old: dict[str, bytes] = {}
+        self.tokens = np.full(max(self.ranks.values(), default=-1) + 1, b"", object)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        ids = self[piece] = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("I", merge(piece.encode("utf-8", "surrogatepass"), self.ranks)).tobytes()
+        self[piece] = ids
         return ids
 
     def encode(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
 
 
 @functools.cache
@@ -131,13 +159,22 @@ def stitch(chunks: list[tuple[list[str], int]], split: Callable[[str], list[str]
     return whole
 
 
-def _ids(held: Broadcast[bytes], pattern: str):
-    @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
+CODED = "ids binary, decoded binary"
+
+
+def _both(c: Codec, pieces: list[list[str]], back: bool) -> pd.DataFrame:
+    """The ids of each text, and what they decode to if asked for."""
+    ids = [c.encode(p) for p in pieces]
+    return pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids] if back else None}, dtype=object)
+
+
+def _coded(held: Broadcast[bytes], pattern: str, back: bool):
+    @F.pandas_udf(CODED)
+    def coded(texts: pd.Series) -> pd.DataFrame:
         c = codec(held.value, pattern)
-        return pd.Series([c.encode(c.split(t)) if t else b"" for t in texts], dtype=object)
+        return _both(c, (c.split(t) for t in texts), back)
 
-    return ids
+    return coded
 
 
 def _pieces(pattern: str):
@@ -149,42 +186,41 @@ def _pieces(pattern: str):
     return pieces
 
 
-def _stitched(held: Broadcast[bytes], pattern: str):
-    @F.pandas_udf("binary")
-    def stitched(chunks: pd.Series) -> pd.Series:
-        c, out = codec(held.value, pattern), []
-        for rows in chunks:
-            parts = []
-            for r in rows:
-                edges = np.concatenate([[0], np.cumsum(np.asarray(r["sizes"], np.int64))]).tolist()
-                parts.append(([r["chunk"][a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], int(r["start"])))
-            out.append(c.encode(stitch(parts, c.split)))
-        return pd.Series(out, dtype=object)
+def _stitched(held: Broadcast[bytes], pattern: str, back: bool):
+    @F.pandas_udf(CODED)
+    def stitched(chunks: pd.Series) -> pd.DataFrame:
+        c = codec(held.value, pattern)
+
+        def texts():
+            for rows in chunks:
+                parts = []
+                for r in rows:
+                    edges = np.concatenate([[0], np.cumsum(np.asarray(r["sizes"], np.int64))]).tolist()
+                    parts.append(([r["chunk"][a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], int(r["start"])))
+                yield stitch(parts, c.split)
+
+        return _both(c, texts(), back)
 
     return stitched
 
 
-def decoder(held: Broadcast[bytes], pattern: str):
-    """A column function: the bytes that little-endian 32-bit ids stand for."""
+def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
+    """Adds `decoded`, the bytes that a column of little-endian 32-bit ids stands for."""
+    held = _shared(coded, path)
 
     @F.pandas_udf("binary")
-    def decode(ids: pd.Series) -> pd.Series:
+    def back(column: pd.Series) -> pd.Series:
         c = codec(held.value, pattern)
-        return pd.Series([c.decode(x or b"") for x in ids], dtype=object)
+        return pd.Series([c.decode(x or b"") for x in column], dtype=object)
 
-    return decode
+    return coded.withColumn("decoded", back(ids))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """`row` and `ids`: the ids of each text as little-endian 32-bit integers.
-
-    A text within one chunk is encoded where it was read.  A longer one is dealt
-    out by chunk; only its chunks' pieces are gathered to be stitched.
-    """
+def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int, back: bool) -> DataFrame:
     held = _shared(docs, path)
     text = F.coalesce(F.col("row.text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"))
-    short = rows.filter(F.char_length(text) <= chunk).select("row", _ids(held, pattern)(text).alias("ids"))
+    short = rows.filter(F.char_length(text) <= chunk).select("row", _coded(held, pattern, back)(text).alias("coded"))
     # stored with a number, as the chunks of equal rows must not be mixed up
     long = settled(
         rows.filter(F.char_length(text) > chunk).withColumn("number", F.monotonically_increasing_id()), "bpe-long"
@@ -199,17 +235,23 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     whole = (
         chunks.groupBy(F.col("number").alias("_number"))
         .agg(F.array_sort(F.collect_list(F.struct("start", "chunk", "sizes"))).alias("chunks"))
-        .select("_number", _stitched(held, pattern)("chunks").alias("ids"))
+        .select("_number", _stitched(held, pattern, back)("chunks").alias("coded"))
     )
-    joined = long.join(whole, F.col("number") == F.col("_number")).select("row", "ids")
-    return short.unionByName(joined)
+    joined = long.join(whole, F.col("number") == F.col("_number")).select("row", "coded")
+    return short.unionByName(joined).select("row", "coded.*")
+
+
+def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """`row` and `ids`: the ids of each text as little-endian 32-bit integers.
+
+    A text within one chunk is encoded where it was read.  A longer one is dealt
+    out by chunk; only its chunks' pieces are gathered to be stitched.
+    """
+    return _encoded(docs, path, pattern, chunk, overlap, False).select("row", "ids")
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """`row`, ids, n_tokens and decoded (bytes)."""
-    return encode(docs, path, pattern).select(
-        "row",
-        "ids",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        decoder(_shared(docs, path), pattern)("ids").alias("decoded"),
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """`row`, ids, n_tokens and decoded (bytes), the ids turned back where they were made."""
+    return _encoded(docs, path, pattern, chunk, overlap, True).select(
+        "row", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "decoded"
     )
