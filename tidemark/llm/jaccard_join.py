@@ -3,14 +3,16 @@
 A document's set holds the hashes of its distinct 5-word shingles.  Two sets
 that link share a token among the first n - ceil(t n) + 1 of each, whatever the
 global order.  Order one puts tokens of frequent sketch cells last and brings
-documents together by prefix token; orders two and three (ascending and
-descending hash) must agree, each with the overlap that its prefixes still allow, before
-a pair is verified on whole sets.
+documents together by prefix token.  Among the tokens so shared, orders two and
+three (ascending and descending hash) must each find a common one in prefixes
+made as short as the link still allows; pairs that all orders agree on are
+verified on whole sets.
 
-Equal sets are one node.  A first round links documents to the first document
-of their token's run only, which joins a group of near copies without listing
-its pairs; a second round lists the pairs of a run that are still in different
-components.  No link between components is lost, as every such pair is tested.
+Equal sets are one node.  First rounds test documents against a few documents of
+their tokens' runs only, chosen anew each round, which joins a group of near
+copies without listing its pairs; the last round lists the pairs of a run that
+are still in different components.  No link between components is lost, as
+every such pair is tested.
 
 Defined results: null or blank text has an empty set and links with nothing;
 fewer than five words are one shingle.  Rows equal in doc_id and text are alike.
@@ -38,6 +40,11 @@ PERCENT = 75
 #: Cells of the frequency sketch behind order one; it has this size whatever the input.
 SKETCH_BITS = 21
 SKETCH_PARTS = 32
+#: Rounds of guesses, and hubs that a set is tested against in each.
+TURNS = 3
+HUBS = 8
+#: Up to so many rows of 16 bytes are sent to all tasks to find documents; more are joined by a shuffle.
+SENT_ROWS = 1 << 18
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -149,7 +156,7 @@ def set_table(docs: DataFrame) -> DataFrame:
 
 
 def shared_prefixes(docs: DataFrame) -> DataFrame:
-    """token, a, n, hub and hub_n: prefix tokens under order one that several sets hold, with the first of those sets."""
+    """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), and the place of the token among the `held` ones of a."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs))  # 2 ** SKETCH_BITS bytes
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +179,10 @@ def shared_prefixes(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("text").cast("binary")).mapInArrow(prefixes, "token long, a long, n int")
     dealt = rows.repartition("token").sortWithinPartitions("token", "a")
-    return settled(dealt.mapInArrow(_several, "token long, a long, n int, hub long, hub_n int"), "shingle-prefixes")
+    several = settled(dealt.mapInArrow(_several, "token long, a long, n int"), "shingle-runs")
+    own = Window.partitionBy("a")
+    placed = several.withColumn("place", F.row_number().over(own.orderBy("token")) - 1).withColumn("held", F.count(F.lit(1)).over(own).cast("int"))
+    return settled(placed, "shingle-prefixes")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -200,20 +210,22 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, a, n = token[fresh], a[fresh], n[fresh]
         if not len(token):
             continue
-        at = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        size = np.diff(np.append(at, len(token)))
-        hub = np.repeat(at, size)
-        keep = np.repeat(size > 1, size)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (token, a, n, a[hub], n[hub])], ["token", "a", "n", "hub", "hub_n"]
-        )
+        new = np.r_[True, token[1:] != token[:-1]]
+        keep = ~(new & np.r_[new[1:], True])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, a, n)], ["token", "a", "n"])
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a run in different components whose sizes allow a link, with the number of tokens shared here."""
-    for token, label, a, n in _runs(batches):
+    """Pairs of a run in different components that orders two (up) or three (down) allow to link.
+
+    A link takes `least` common ones among the tokens that two prefixes share
+    with others.  So in any order one of them is among the first held - least + 1
+    of either: a prefix of the prefix, in the order of the hashes and against it.
+    """
+    for token, label, a, n, place, held in _runs(batches):
         if not len(token):
             continue
+        n, place, held = n.astype(np.int64), place.astype(np.int64), held.astype(np.int64)
         end = np.searchsorted(token, token, "right")
         # rows of a run lie by component: what follows the own component is to be paired
         last = np.r_[(token[1:] != token[:-1]) | (label[1:] != label[:-1]), True]
@@ -222,12 +234,16 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(step < end)
         while len(at):
             x, y = at, step[at]
-            ok = 100 * np.minimum(n[x], n[y]).astype(np.int64) >= PERCENT * np.maximum(n[x], n[y]).astype(np.int64)
-            x, y = x[ok], y[ok]
-            swap = a[x] > a[y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            larger = np.maximum(n[x], n[y])
+            least = np.maximum(1, need(n[x], n[y]) - (larger - prefix_size(larger)))
+            ok = 100 * np.minimum(n[x], n[y]) >= PERCENT * larger
+            up = ok & (place[x] + least <= held[x]) & (place[y] + least <= held[y])
+            down = ok & (place[x] + 1 >= least) & (place[y] + 1 >= least) & (np.minimum(held[x], held[y]) >= least)
+            either = up | down
+            x, y, up, down = x[either], y[either], up[either], down[either]
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(a[x]), pa.array(n[x]), pa.array(a[y]), pa.array(n[y])], ["a", "n", "b", "b_n"])
+                low, high = np.minimum(a[x], a[y]), np.maximum(a[x], a[y])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (low, high, up, down)], ["a", "b", "up", "down"])
             step[at] += 1
             at = at[step[at] < end[at]]
 
@@ -236,13 +252,13 @@ def _prefix(n: Column) -> Column:
     return n - F.ceil(PERCENT * n / 100) + 1
 
 
-def _allowed(n: Column, m: Column, common: Column) -> Column:
-    """Whether the prefixes' `common` tokens leave room for a link.
+def _missing(n: Column, m: Column) -> Column:
+    """So many tokens two prefixes must share at least for a link to be possible.
 
     The other common tokens come after the prefix that ends first, so they are
     no more than what follows the larger set's prefix.
     """
-    return common + F.greatest(n, m) - _prefix(F.greatest(n, m)) >= F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+    return F.ceil(PERCENT * (n + m) / (100 + PERCENT)) - (F.greatest(n, m) - _prefix(F.greatest(n, m)))
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,6 +294,9 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("r1", "r2")).alias("one"))
         .select("one.r1", "one.r2")
     )
+    ones = settled(ones, "shingle-wanted")
+    if ones.count() <= SENT_ROWS:
+        ones = F.broadcast(ones)
     read = docs.select(*row_hashes(), F.col("text").cast("binary").alias("text")).join(ones, ["r1", "r2"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,34 +318,74 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, r1, r2 (row hashes), n_shingles, group_id and component_id of every document."""
-    sets = set_table(docs)
-    shared = shared_prefixes(docs)
-    to_hub = (
-        shared.filter("a <> hub")
-        .groupBy(F.col("hub").alias("a"), F.col("hub_n").alias("n"), F.col("a").alias("b"), F.col("n").alias("b_n"))
-        .agg(F.count(F.lit(1)).alias("common"))
-        .filter(100 * F.least("n", "b_n") >= PERCENT * F.greatest("n", "b_n"))
-        # a first guess only: half of the prefix; the second round tests what it leaves apart
-        .filter(2 * F.col("common") >= _prefix(F.least("n", "b_n")))
+def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Adds the component of each set; a set without links is its own."""
+    labels = components(links).withColumnRenamed("node", "_node")
+    return shared.join(labels, F.col("a") == F.col("_node"), "left").select(
+        "token", F.coalesce("label", "a").alias("label"), "a", "n", "place", "held"
     )
-    first = verified(docs, sets, to_hub)
-    labels = components(first).withColumnRenamed("node", "_node")
-    labelled = (
-        shared.join(labels, F.col("a") == F.col("_node"), "left")
-        .select("token", F.coalesce("label", "a").alias("label"), "a", "n")
-        .repartition("token")
-        .sortWithinPartitions("token", "label", "a")
+
+
+def hub_pairs(labelled: DataFrame, turn: int) -> DataFrame:
+    """Guesses: each set with the HUBS hubs of other components that it shares most runs with, as far as sizes allow a link.
+
+    A run's hubs are the set of whose prefix others hold most (the one that
+    others were copied from, say), give or take a little in later turns, and
+    another one.  A hub has only a part of the runs that it
+    shares with a set, so an eighth of what a link takes will do.  What is not
+    guessed is listed in full later.
+    """
+    random = F.pmod(F.xxhash64(F.lit(turn), "a"), F.lit(1 << 20)) / float(1 << 20)
+    one = F.struct(F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
+    runs = (
+        labelled.groupBy(F.col("token").alias("_token"))
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by(one, F.col("held") / _prefix(F.col("n")) + random * (0.1 * turn)).alias("x"), F.max_by(one, random).alias("y"))
+        .filter("lo <> hi")
     )
-    apart = (
-        labelled.mapInArrow(_cross_pairs, "a long, n int, b long, b_n int")
+    counted = (
+        labelled.join(runs, F.col("token") == F.col("_token"))
+        .select("a", "n", "label", F.explode(F.array("x", "y")).alias("hub"))
+        .select("a", "n", "label", "hub.*")
+        .filter("label <> b_label")
+        .filter(100 * F.least("n", "b_n") >= PERCENT * F.greatest("n", "b_n"))
         .groupBy("a", "n", "b", "b_n")
         .agg(F.count(F.lit(1)).alias("common"))
-        .filter(_allowed(F.col("n"), F.col("b_n"), F.col("common")))
+        .filter(8 * F.col("common") >= _missing(F.col("n"), F.col("b_n")))
+    )
+    best = Window.partitionBy("a").orderBy(F.col("common").desc(), "b")
+    return (
+        counted.withColumn("turn", F.row_number().over(best))
+        .filter(F.col("turn") <= HUBS)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
+def all_pairs(labelled: DataFrame) -> DataFrame:
+    """All pairs of sets in different components that share prefix tokens under each of the orders."""
+    dealt = labelled.repartition("token").sortWithinPartitions("token", "label", "a")
+    return (
+        dealt.mapInArrow(_cross_pairs, "a long, b long, up boolean, down boolean")
+        .groupBy("a", "b")
+        .agg(F.max("up").alias("up"), F.max("down").alias("down"))
+        .filter("up and down")
     )
-    second = verified(docs, sets, apart)
-    joined = components(first.union(second)).withColumnRenamed("node", "_node")
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, r1, r2 (row hashes), n_shingles, group_id and component_id of every document."""
+    sets = set_table(docs)
+    shared = shared_prefixes(docs)
+    labelled = shared.withColumn("label", F.col("a"))
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    for turn in range(TURNS):
+        found = verified(docs, sets, hub_pairs(labelled, turn))
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        labelled = _labelled(shared, links)
+    links = links.union(verified(docs, sets, all_pairs(labelled)))
+    joined = components(links).withColumnRenamed("node", "_node")
     of_set = sets.join(joined, F.col("digest") == F.col("_node"), "left").withColumn("group_id", F.coalesce("label", "digest"))
     ids = of_set.filter("group_id is not null").groupBy(F.col("group_id").alias("_group")).agg(F.min("doc_id").alias("smallest"))
     return of_set.join(ids, F.col("group_id") == F.col("_group"), "left").select(
