@@ -27,7 +27,8 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par", "au", "sur", "pas", "avec"],
 }
 # What a character can be; what is left over is the last class.
-CHARACTER_CLASSES = ["a-z", "A-Z", r"^\x00-\x7F", "0-9", r"\x20\x09-\x0D", r""".,;:!?'"()\-"""]
+BLANK_CLASS = r"\x20\x09-\x0D"
+CHARACTER_CLASSES = ["a-z", BLANK_CLASS, r"^\x00-\x7F", "A-Z", r""".,;:!?'"()\-""", "0-9"]
 SYMBOLS = r"#*$%&|<>"
 
 MIN_WORDS = 50
@@ -36,48 +37,63 @@ MAX_WORD_DISTANCE = 0.33
 MIN_REFERENCE_WORDS = 2000
 
 
-def others(members: str) -> str:
-    """Pattern of the characters outside a class given as the inside of brackets."""
-    return f"[{members[1:]}]+" if members.startswith("^") else f"[^{members}]+"
+def _stripped(df: DataFrame) -> DataFrame:
+    """Adds `left0`, `left1` ...: the text without the first class of characters, without the first two, and so on.
+
+    Most characters go in the first step, so counting the classes by what each
+    step takes costs little more than one pass over the text.
+    """
+    before = "text"
+    for i, members in enumerate(CHARACTER_CLASSES):
+        df = df.withColumn(f"left{i}", F.regexp_replace(F.col(before), f"[{members}]+", ""))
+        before = f"left{i}"
+    return df
 
 
 def base_measures(text: Column, ws: Column, repeats: Column) -> list[Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    blanks = CHARACTER_CLASSES.index(BLANK_CLASS)
+    before = F.char_length(f"left{blanks - 1}") - F.char_length(f"left{blanks}")
     return [
         F.size(ws).cast("long").alias("n_words"),
-        F.char_length(F.regexp_replace(text, BLANKS, "")).cast("long").alias("word_chars"),
-        F.char_length(F.regexp_replace(text, others(SYMBOLS), "")).cast("long").alias("n_symbols"),
+        (F.char_length(text) - before).cast("long").alias("word_chars"),
+        # symbols belong to the last class, so none has been stripped
+        F.char_length(F.regexp_replace(f"left{len(CHARACTER_CLASSES) - 1}", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeats.alias("n_repeat_words"),
     ]
 
 
 def histograms(text: Column, lang: Column, ws: Column) -> list[Column]:
-    """Counts of the character classes, and of the common words of `lang` and all others."""
-    counts = [F.char_length(F.regexp_replace(text, others(c), "")) for c in CHARACTER_CLASSES]
-    rest = F.char_length(text) - reduce(Column.__add__, counts)
-    listed = sorted({w for ws_ in COMMON_WORDS.values() for w in ws_})
-    hits = F.filter(F.transform(ws, F.lower), lambda w: w.isin(listed))
+    """Counts of the character classes, and what is needed to count the common words of `lang`."""
+    sizes = [F.char_length(text), *(F.char_length(f"left{i}") for i in range(len(CHARACTER_CLASSES)))]
+    counts = [a - b for a, b in zip(sizes, sizes[1:], strict=False)]
+    forms = sorted({f for ws_ in COMMON_WORDS.values() for w in ws_ for f in (w, w.capitalize())})
+    hits = F.transform(F.filter(ws, lambda w: w.isin(forms)), F.lower)
     # one blank on either side of each hit, so that a word counts once for each place
     joined = F.concat(F.lit(" "), F.array_join(hits, "  "), F.lit(" "))
     mine = F.coalesce(
         *(F.when(lang == k, F.array(*map(F.lit, v))) for k, v in COMMON_WORDS.items()), F.array().cast("array<string>")
     )
     return [
-        F.array(*counts, rest).alias("char_counts"),
+        F.array(*counts, sizes[-1]).alias("char_counts"),
         joined.alias("joined"),
         mine.alias("mine"),
     ]
 
 
-def word_counts(joined: Column, mine: Column, n_words: Column) -> Column:
-    found = F.transform(
+def word_counts(joined: Column, mine: Column) -> Column:
+    """How often each word of `mine` stands in `joined`."""
+    return F.transform(
         mine,
         lambda w: (
-            (F.char_length(joined) - F.char_length(F.replace(joined, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
-            / (F.char_length(w) + 2)
+            (F.octet_length(joined) - F.octet_length(F.replace(joined, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
+            / (F.octet_length(w) + 2)
         ).cast("int"),
     )
+
+
+def _with_rest(found: Column, n_words: Column) -> Column:
     return F.concat(found, F.array(n_words.cast("int") - F.aggregate(found, F.lit(0), lambda a, x: a + x)))
 
 
@@ -91,7 +107,7 @@ def js_distance(counts: Column, reference: Column) -> Column:
         return F.when(x > 0, x * F.log2(F.lit(2.0) * x / (x + y))).otherwise(F.lit(0.0))
 
     def share(xs: Column) -> Column:
-        return F.transform(xs, lambda x: x / total(xs))
+        return F.zip_with(xs, F.array_repeat(total(xs), F.size(xs)), lambda x, t: x / t)
 
     terms = F.zip_with(share(counts), share(reference), lambda x, y: half(x, y) + half(y, x))
     return F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2))
@@ -104,14 +120,20 @@ def _features(docs: DataFrame) -> DataFrame:
     )
 
 
+def _counted(features: DataFrame, *more: Column) -> DataFrame:
+    text, lang, ws = F.col("text"), F.col("lang"), F.col("ws")
+    counted = _stripped(features).select("row", "lang", F.size(ws).alias("size"), *more, *histograms(text, lang, ws))
+    # two steps, as what is used twice in one step is made twice
+    found = counted.withColumn("found", word_counts(F.col("joined"), F.col("mine")))
+    return found.withColumn("word_counts", _with_rest(F.col("found"), F.col("size")))
+
+
 def language_references(docs: DataFrame) -> DataFrame:
     """One row for each listed language: its summed histograms over all documents of at least MIN_WORDS words."""
     counted = (
-        _features(docs)
-        .filter(F.col("lang").isin(*COMMON_WORDS))
-        .select("lang", F.size("ws").alias("n_words"), *histograms(F.col("text"), F.col("lang"), F.col("ws")))
-        .filter(F.col("n_words") >= MIN_WORDS)
-        .select("lang", "n_words", "char_counts", word_counts(F.col("joined"), F.col("mine"), F.col("n_words")).alias("word_counts"))
+        _counted(_features(docs).filter(F.col("lang").isin(*COMMON_WORDS)))
+        .filter(F.col("size") >= MIN_WORDS)
+        .withColumnRenamed("size", "n_words")
     )
     n_chars, n_common = len(CHARACTER_CLASSES) + 1, len(next(iter(COMMON_WORDS.values()))) + 1
     sums = counted.groupBy("lang").agg(
@@ -144,7 +166,7 @@ def repeated_words(ws: DataFrame) -> DataFrame:
         "tri",
         F.when(
             F.size(F.array_distinct(tri)) < F.size(tri),
-            F.array_sort(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            F.sort_array(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     twice = F.filter(
@@ -160,12 +182,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     The references have one row for each listed language, so they are broadcast.
     """
-    text, lang, ws = F.col("text"), F.col("lang"), F.col("ws")
-    measured = (
-        repeated_words(_features(docs))
-        .select("row", "lang", *base_measures(text, ws, F.col("n_repeat_words")), *histograms(text, lang, ws))
-        .withColumn("word_counts", word_counts(F.col("joined"), F.col("mine"), F.col("n_words")))
-    )
+    text, ws = F.col("text"), F.col("ws")
+    measured = _counted(repeated_words(_features(docs)), *base_measures(text, ws, F.col("n_repeat_words")))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = (
         measured.join(F.broadcast(language_references(docs)), F.col("lang") == F.col("ref_lang"), "left")

@@ -106,9 +106,9 @@ JOIN (SELECT start, min(node) AS component_id FROM reach GROUP BY start) r ON r.
 
 def _quality_sql() -> str:
     """The rules again: windows by joins, histograms by unnested words, distances by sums over bins."""
-    patterns = [quality.others(c).replace("'", "''") for c in quality.CHARACTER_CLASSES]
-    chars = [f"length(regexp_replace(t, '{x}', '', 'g'))" for x in patterns]
-    listed = ", ".join(f"('{k}', '{w}')" for k, ws in quality.COMMON_WORDS.items() for w in ws)
+    patterns = [f"[{c}]".replace("'", "''") for c in quality.CHARACTER_CLASSES]
+    chars = [f"len(regexp_extract_all(t, '{x}'))" for x in patterns]
+    listed = ", ".join(f"('{k}', '{w}')" for k, ws in quality.COMMON_WORDS.items() for x in ws for w in (x, x.capitalize()))
     char_rows = " UNION ALL ".join(
         [f"SELECT rid, lang, 'c' AS kind, '{i}' AS bin, {c} AS n FROM d" for i, c in enumerate(chars)]
         + [f"SELECT rid, lang, 'c', 'rest', length(t) - {' - '.join(chars)} FROM d"]
@@ -129,7 +129,7 @@ base AS (
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
   FROM w LEFT JOIN dup ON dup.rid = w.rid LEFT JOIN repeats ON repeats.rid = w.rid
 ), listed(lang, w) AS (VALUES {listed}),
-hits AS (SELECT rid, word.lang, lower(word.w) AS bin, count(*) AS n FROM word JOIN listed ON listed.lang = word.lang AND listed.w = lower(word.w) GROUP BY ALL),
+hits AS (SELECT rid, word.lang, lower(word.w) AS bin, count(*) AS n FROM word JOIN listed ON listed.lang = word.lang AND listed.w = word.w GROUP BY ALL),
 bins AS (
   {char_rows}
   UNION ALL SELECT rid, lang, 'w', bin, n FROM hits
