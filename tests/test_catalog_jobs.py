@@ -206,9 +206,7 @@ def test_leaf_identity_counts_and_copies_do_not(spark, store, landing):
     assert identity_mismatches(catalog.catalog_log(store)).count() == 1
 
 
-@pytest.mark.parametrize("few", [0, 10_000])
-def test_any_cut_gives_the_same_tables(spark, tmp_path, monkeypatch, few):
-    monkeypatch.setattr(catalog, "FEW_CHANGES", few)
+def test_any_cut_gives_the_same_tables(spark, tmp_path):
     events = []
     for minute in range(12):
         package, version = "AB"[minute % 2], f"{minute % 3}.0"

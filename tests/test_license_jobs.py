@@ -93,8 +93,7 @@ def test_enrichment(spark, store, tmp_path):
     assert enrichment.license_verdicts(store).filter(F.col("classified_at").isNull()).isEmpty()
 
 
-def test_many_signals_without_broadcast(spark, store, tmp_path, monkeypatch):
-    monkeypatch.setattr(enrichment, "FEW_SIGNALS", 0)
+def test_signals_of_every_kind(spark, store, tmp_path):
     landing = Landing(spark, tmp_path / "landing")
     land(landing, 1, {"a": {"licenseExpression": "MIT"}, "b": {}, "c": {"licenseUrl": "http://x.y"}})
     catalog.sync_catalog(store, *landing.sources())

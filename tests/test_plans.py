@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidemark.plans.workload import QUERIES
 from tidemark.operators import verdicts as vd
 from tidemark.plans.workload import documents
 from tidemark.sources import catalog_events, parse_leaves, parse_license_list, parse_pages
@@ -28,7 +29,7 @@ def long_plans(spark):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in JOBS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in JOBS])
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     for node in ("Python", "Pandas", "Cartesian", "NestedLoop"):

@@ -36,8 +36,15 @@ def after_watermark(rows: DataFrame, commit: Column, watermark: Column | None) -
 
 
 def first_pages(pages: DataFrame, commit: str, max_pages: int | None) -> DataFrame:
-    """The oldest pages of a run; None takes them all, and then needs no order."""
-    return pages if max_pages is None else pages.orderBy(commit).limit(max_pages)
+    """The oldest pages of a run; None takes them all, and then needs no order.
+
+    Pages that tie with the last one are taken too: the next run asks for later
+    commits only.
+    """
+    if max_pages is None:
+        return pages
+    ranked = pages.withColumn("_rank", F.rank().over(Window.orderBy(commit)))
+    return ranked.filter(F.col("_rank") <= max_pages).drop("_rank")
 
 
 def net_changes(

@@ -183,19 +183,17 @@ _REASON_TERM = """CASE reason
   WHEN 'url_known' THEN first_term END"""
 
 
-def apply_verdicts(signalled: DataFrame, verdicts: DataFrame, small: bool = False) -> DataFrame:
+def apply_verdicts(signalled: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Joins verdicts back to the rows they were judged for.
 
-    ``small`` says that the verdicts were counted and found few enough to send to
-    every task; the rows then stay where they are.  Otherwise both sides shuffle
-    on one text key.  That key is not the one the verdicts were grouped by, so
-    their side gets a shuffle of its own, without which Spark could not split a
-    hot signal.
+    Verdicts of measured small size go to every task.  Otherwise both sides
+    shuffle on one text key.  That key is not the one the verdicts were grouped
+    by, so their side gets a shuffle of its own, without which Spark could not
+    split a hot signal.
     """
     key = F.concat_ws(":", "signal", "signal_value")
     judged = verdicts.select(key.alias("_signal_key"), *VERDICT_COLUMNS)
     keyed = signalled.withColumn("_signal_key", key).drop("signal_value")
-    judged = F.broadcast(judged) if small else judged
     return keyed.join(judged, "_signal_key").drop("_signal_key")
 
 

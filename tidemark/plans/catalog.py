@@ -16,7 +16,7 @@ from tidemark import schemas
 from tidemark.functions.cursors import INITIAL
 from tidemark.functions.times import commit_key
 from tidemark.operators.events import after_watermark, current_state, first_pages
-from tidemark.operators.merge import mark_deleted, merge_changes, merge_few_changes
+from tidemark.operators.merge import mark_deleted, merge_changes
 from tidemark.operators.versions import (
     PACKAGE_KEYS,
     VERSION_KEYS,
@@ -27,6 +27,7 @@ from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 from tidemark.sources.catalog import (
     catalog_events,
     once,
+    page_states,
     parse_index,
     parse_leaves,
     parse_pages,
@@ -37,12 +38,9 @@ SOURCE = "catalog"
 BACKFILL = "delete_backfill"
 FOLD = "catalog_fold"  # a fold is no sync: it must not make the catalog look fresh
 LOG, VERSIONS, PACKAGES = "catalog_log", "version_state", "package_state"
+SHOWN = 5  # pages that an error names
 BUCKETS = "buckets"  # of the stored tables, beside their folders in the checkpoint
 
-# Log rows up to which a fold only sends keys to the tables; one key is some
-# hundred bytes, so their broadcast stays in the tens of megabytes.
-FEW_CHANGES = 200_000
-
 
 def _watermark(text: str) -> Column | None:
     return None if text == INITIAL else commit_key(F.lit(text))
@@ -68,6 +66,23 @@ def _refs_of(pages: DataFrame, page_documents: DataFrame) -> DataFrame:
     return refs.join(urls, F.col("place.page_url") == F.col("_page"), "left_semi")
 
 
+def require_dated(pages: DataFrame) -> None:
+    """Fails on index entries without a URL or a readable commit time: no run would ever read their pages."""
+    bad = pages.filter(F.col("page_url").isNull() | F.col("commit.commit_at").isNull())
+    named = [row.page_url for row in bad.select("page_url").limit(SHOWN).collect()]
+    if named:
+        raise ValueError(f"index entries without a URL or a readable commit time: {named}")
+
+
+def require_landed(chosen: DataFrame, page_documents: DataFrame) -> None:
+    """Fails if a chosen page has not landed or cannot be read, before the watermark passes it."""
+    whole = page_states(page_documents).filter("readable").select(F.col("page_url").alias("_page"))
+    missing = chosen.join(whole, F.col("page_url") == F.col("_page"), "left_anti")
+    named = [row.page_url for row in missing.select("page_url").limit(SHOWN).collect()]
+    if named:
+        raise LookupError(f"pages not landed or not readable: {named}")
+
+
 Pages = Callable[[DataFrame], DataFrame]
 Leaves = Callable[[DataFrame], DataFrame]
 
@@ -78,7 +93,9 @@ def landed_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     Reads the days of the given rows only.  The list of days is bounded by the
     calendar, not by the batch.
     """
-    day = F.to_date("commit.commit_at").cast("string")
+    # the folders' days are UTC, whatever the session's zone is
+    since = F.expr("unix_micros(commit.commit_at) div 86400000000")
+    day = F.when(since.isNotNull(), F.date_from_unix_date(since.cast("int"))).cast("string")
     days = [row.day for row in rows.select(day.alias("day")).distinct().collect()]
     documents = read_documents(spark, path, one_per_file=False)
     return documents.filter(F.col("day").cast("string").isin(days)).drop("day")
@@ -117,13 +134,16 @@ def sync_catalog(
 
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
+        require_dated(pages)
         new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
         chosen = first_pages(new, "commit", max_pages)
         left = new.count()
         if left == 0:
             return RunResult(before.watermark, before.folders, metrics={"pages_remaining": 0})
-        done = left if max_pages is None else min(left, max_pages)
-        refs = _refs_of(chosen, pages_for(chosen))
+        done = left if max_pages is None else chosen.count()
+        landed = pages_for(chosen)
+        require_landed(chosen, landed)
+        refs = _refs_of(chosen, landed)
         seen = append_events(store, run.id, refs, parse_leaves(leaves_for(refs)))
         newest = seen["watermark"]
         folders = {**before.folders, LOG: [*before.folders.get(LOG, []), run.id]}
@@ -155,10 +175,7 @@ def _merged(store: Store, at: Checkpoint, table: str, schema, keys, changes: Dat
         return store.read(table, stored, schema)
     if not stored:
         return current_state(changes).select(*columns)
-    # Counting a Parquet folder reads its footers only.
-    few = catalog_log(store, at).count() <= FEW_CHANGES
-    merge = merge_few_changes if few else merge_changes
-    return merge(store.read(table, stored, schema), changes, keys).select(*columns)
+    return merge_changes(store.read(table, stored, schema), changes, keys).select(*columns)
 
 
 def stored_versions(store: Store, at: Checkpoint | None = None) -> DataFrame:

@@ -25,9 +25,6 @@ from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 SOURCE = "license_verdict"
 TABLE, BATCH, SIGNALS = "license_verdict", "license_verdict_batch", "signal_verdict"
 
-# Distinct signals up to which their verdicts are sent to every task: a few
-# hundred bytes each.
-FEW_SIGNALS = 100_000
 _BATCH_SCHEMA = StructType([*schemas.LICENSE_VERDICT, StructField("signal", StringType())])
 
 
@@ -38,12 +35,10 @@ def license_verdicts(store: Store, at: Checkpoint | None = None) -> DataFrame:
 
 def judge_signals(
     store: Store, name: str, signalled: DataFrame, licenses: DataFrame
-) -> tuple[DataFrame, bool]:
-    """Stores the verdict of each distinct signal; also says whether they are few."""
+) -> DataFrame:
+    """Stores the verdict of each distinct signal."""
     store.write(SIGNALS, name, signal_verdicts(distinct_signals(signalled), licenses))
-    verdicts = store.read(SIGNALS, [name], schemas.SIGNAL_VERDICT)
-    # Counting a Parquet folder reads its footers only.
-    return verdicts, verdicts.count() <= FEW_SIGNALS
+    return store.read(SIGNALS, [name], schemas.SIGNAL_VERDICT)
 
 
 def verdict_rows(judged: DataFrame) -> DataFrame:
@@ -83,11 +78,11 @@ def classify_packages(store: Store, all_packages: bool = False) -> RunResult:
 
         declared = packages.select("package_id", "license", "license_url", "synced_at")
         signalled = with_signal(declared, "license", "license_url")
-        verdicts, few = judge_signals(store, run.id, signalled, licenses)
+        verdicts = judge_signals(store, run.id, signalled, licenses)
 
         seen = Observation()
         last = F.max(F.struct("source_synced_at", "package_id"))
-        rows = verdict_rows(apply_verdicts(signalled, verdicts, small=few)).observe(
+        rows = verdict_rows(apply_verdicts(signalled, verdicts)).observe(
             seen,
             F.count(F.lit(1)).alias("rows_classified"),
             last.alias("last"),

@@ -22,6 +22,22 @@ def is_new_edition(edition: str, stored: str) -> bool:
     return stored == INITIAL or edition != stored
 
 
+def edition_version(edition: DataFrame) -> str:
+    """The version of the one list that the rows come from; fails on rows of several, or without or with repeated ids."""
+    found = edition.agg(
+        F.count_if(F.col("list_version").isNull()).alias("unversioned"),
+        F.count_distinct("list_version").alias("versions"),
+        F.count_if(F.col("license_id").isNull()).alias("unnamed"),
+        (F.count("license_id") - F.count_distinct("license_id")).alias("repeated"),
+        F.min("list_version").alias("version"),
+    ).first()
+    if found.unversioned or found.versions != 1:
+        raise ValueError(f"license list: {found.versions} versions, {found.unversioned} rows without one")
+    if found.unnamed or found.repeated:
+        raise ValueError(f"license list {found.version}: {found.unnamed} rows without an id, {found.repeated} repeated ids")
+    return found.version
+
+
 def refreshed_licenses(stored: DataFrame, edition: DataFrame) -> DataFrame:
     """Rewrites every license of the edition; licenses dropped upstream stay."""
     return upsert(stored, edition, ["license_id"])
@@ -38,7 +54,7 @@ def sync_licenses(store: Store, list_documents: DataFrame) -> RunResult:
     def work(before: Checkpoint, run: Run) -> RunResult:
         edition = parse_license_list(list_documents)
         require_rows(edition, "license list")
-        version = edition.agg(F.max("list_version").alias("v")).first().v
+        version = edition_version(edition)
         profile = list_profile(edition).first().asDict()
         if not is_new_edition(version, before.watermark):
             return RunResult(before.watermark, before.folders, metrics={"rewritten": False})

@@ -205,7 +205,7 @@ class Run:
             rows_deleted=result.deleted,
             pages_processed=result.pages,
             watermark_after=result.watermark,
-            error_message=None if error is None else str(error)[:2000],
+            error_message=None if error is None else str(error),
             error_details=None if error is None else json.dumps({"type": type(error).__name__}),
             last_heartbeat_at=at,
         )

@@ -26,17 +26,32 @@ _VERSION = """CASE p_partkey % 15
   WHEN 13 THEN ''
 END"""
 
-_LABEL = "[0-9A-Za-z.-]+"
-_SEMVER = rf"^(\d+)(\.(\d+))?(\.(\d+))?(-({_LABEL}))?(\+{_LABEL})?$"
 
-
-@query(rf"""WITH v AS (SELECT p_partkey, trim({_VERSION}) AS version FROM part)
+# Cut at the first plus, what is before it at the first hyphen, and what is
+# before that at the dots; every part is tested by itself.
+@query(f"""WITH v AS (SELECT p_partkey, trim({_VERSION}) AS version FROM part),
+built AS (SELECT *, strpos(version, '+') AS plus FROM v),
+based AS (
+  SELECT p_partkey, version, plus, CASE WHEN plus > 0 THEN left(version, plus - 1) ELSE version END AS base FROM built
+), labelled AS (SELECT *, strpos(base, '-') AS hyphen FROM based),
+parted AS (
+  SELECT *, string_split(CASE WHEN hyphen > 0 THEN left(base, hyphen - 1) ELSE base END, '.') AS numbers,
+    CASE WHEN hyphen > 0 THEN substr(base, hyphen + 1) END AS label,
+    CASE WHEN plus > 0 THEN substr(version, plus + 1) END AS build
+  FROM labelled
+), tested AS (
+  SELECT *, len(numbers) <= 3
+    AND len(list_filter(numbers, lambda x: x = '' OR length(translate(x, '0123456789', '')) > 0)) = 0
+    AND coalesce(regexp_full_match(label, '[.0-9A-Za-z-]+'), true)
+    AND coalesce(regexp_full_match(build, '[.0-9A-Za-z-]+'), true) AS good
+  FROM parted
+)
 SELECT p_partkey, version,
-       TRY_CAST(regexp_extract(version, '{_SEMVER}', 1) AS INTEGER) AS major,
-       TRY_CAST(regexp_extract(version, '{_SEMVER}', 3) AS INTEGER) AS minor,
-       TRY_CAST(regexp_extract(version, '{_SEMVER}', 5) AS INTEGER) AS patch,
-       nullif(regexp_extract(version, '{_SEMVER}', 7), '') AS prerelease
-FROM v""")
+       CASE WHEN good THEN TRY_CAST(numbers[1] AS INTEGER) END AS major,
+       CASE WHEN good THEN TRY_CAST(numbers[2] AS INTEGER) END AS minor,
+       CASE WHEN good THEN TRY_CAST(numbers[3] AS INTEGER) END AS patch,
+       CASE WHEN good THEN label END AS prerelease
+FROM tested""")
 def semver_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", F.expr(_VERSION).alias("version"))
     return part.select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
 from tidemark.functions.payload import variant_text
@@ -47,13 +48,33 @@ def parse_index(documents: DataFrame) -> DataFrame:
     )
 
 
+def _landed_url(documents: DataFrame) -> Column:
+    """The URL that the landing job wrote beside a document, where it did."""
+    return F.col("url") if "url" in documents.columns else F.lit(None).cast("string")
+
+
+def page_states(documents: DataFrame) -> DataFrame:
+    """page_url, and whether the whole page could be read."""
+    schema = StructType([*schemas.CATALOG_PAGE_DOC, StructField(schemas.CORRUPT, StringType())])
+    doc = _ddl_json(F.col("value"), schema, schemas.CORRUPT)
+    pages = documents.select(_landed_url(documents).alias("url"), doc.alias("doc"))
+    readable = F.col(f"doc.{schemas.CORRUPT}").isNull() & F.col("doc.items").isNotNull()
+    return pages.select(
+        F.coalesce(F.col("doc.`@id`"), F.col("url")).alias("page_url"), F.coalesce(readable, F.lit(False)).alias("readable")
+    )
+
+
 def parse_pages(documents: DataFrame) -> DataFrame:
-    """One row per event reference, with its place in the catalog."""
+    """One row per event reference, with its place in the catalog.
+
+    A page names its own URL; a ``url`` column of the documents stands in where it
+    does not.
+    """
     doc = _ddl_json(F.col("value"), schemas.CATALOG_PAGE_DOC)
-    parsed = documents.select(doc.alias("doc"))
+    parsed = documents.select(_landed_url(documents).alias("url"), doc.alias("doc"))
     refs = parsed.select(
         F.col("doc.commitTimeStamp").alias("page_commit"),
-        F.col("doc.`@id`").alias("page_url"),
+        F.coalesce(F.col("doc.`@id`"), F.col("url")).alias("page_url"),
         F.posexplode_outer("doc.items").alias("position", "ref"),
     )
     return refs.filter(F.col("position").isNotNull()).select(
@@ -72,7 +93,7 @@ def parse_leaves(documents: DataFrame) -> DataFrame:
     A leaf names its own URL; a ``url`` column of the documents, where the landing
     job wrote one, stands in for leaves that cannot be read.
     """
-    landed_url = F.col("url") if "url" in documents.columns else F.lit(None).cast("string")
+    landed_url = _landed_url(documents)
     doc = _ddl_json(F.col("value"), schemas.LEAF_DOC, schemas.CORRUPT)
     leaves = documents.withColumn("doc", doc)
     published = parse_instant(F.col("doc.published"))
