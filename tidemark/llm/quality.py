@@ -184,6 +184,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """
     text, ws = F.col("text"), F.col("ws")
     measured = _counted(repeated_words(_features(docs)), *base_measures(text, ws, F.col("n_repeat_words")))
+    # a filter on the results must not be pushed into the steps above: it would
+    # repeat them for every element that they look at
+    names = [c for c in measured.columns if c not in ("row", "lang", "joined", "mine", "found")]
+    held = F.explode(F.array(F.struct(*names))).alias("held")
+    measured = measured.select("row", "lang", held).select("row", "lang", "held.*")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = (
         measured.join(F.broadcast(language_references(docs)), F.col("lang") == F.col("ref_lang"), "left")
