@@ -132,6 +132,22 @@ def test_components(spark):
     assert found == {i: 0 for i in range(61)} | {100: 100, 103: 100, 105: 100}
 
 
+def test_signatures_bound_common_tokens():
+    rng = np.random.default_rng(3)
+    for size in (1, 20, 300):
+        sets = [np.unique(rng.integers(0, 4 * size, size).astype(np.uint64) * jaccard_join.FACTORS[0]) for _ in range(40)]
+        words = [np.zeros(len(sets), np.uint64) for _ in jaccard_join.SIGNATURE]
+        for row, tokens in enumerate(sets):
+            for token in tokens.tolist():
+                words[token >> 6 & 3][row] |= np.uint64(1 << (token & 63))
+        held = np.array([len(x) for x in sets])
+        x, y = (c.ravel() for c in np.mgrid[: len(sets), : len(sets)])
+        most = jaccard_join._most_common(held, [w.view(np.int64) for w in words], x, y)
+        common = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)]
+        assert (most >= common).all()
+        assert (most[x == y] == held).all()
+
+
 def test_prefix_filter_loses_no_link():
     """Sets right at the threshold pass all filters."""
     rng = np.random.default_rng(1)

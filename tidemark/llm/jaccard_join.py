@@ -5,8 +5,9 @@ that link share a token among the first n - ceil(t n) + 1 of each, whatever the
 global order.  Order one puts tokens of frequent sketch cells last and brings
 documents together by prefix token.  Among the tokens so shared, orders two and
 three (ascending and descending hash) must each find a common one in prefixes
-made as short as the link still allows; pairs that all orders agree on are
-verified on whole sets.
+made as short as the link still allows, and bit signatures of them must leave
+room for as many common ones as a link takes; pairs that all orders agree on
+are verified on whole sets.
 
 Equal sets are one node.  First rounds test documents against a few documents of
 their tokens' runs only, chosen anew each round, which joins a group of near
@@ -43,6 +44,8 @@ SKETCH_PARTS = 32
 #: Rounds of guesses, and hubs that a set is tested against in each.
 TURNS = 3
 HUBS = 8
+#: Words of 64 bits in the signature of a set's shared prefix tokens.
+SIGNATURE = [f"s{i}" for i in range(4)]
 #: Up to so many rows of 16 bytes are sent to all tasks to find documents; more are joined by a shuffle.
 SENT_ROWS = 1 << 18
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -156,7 +159,7 @@ def set_table(docs: DataFrame) -> DataFrame:
 
 
 def shared_prefixes(docs: DataFrame) -> DataFrame:
-    """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), and the place of the token among the `held` ones of a."""
+    """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), the place of the token among the `held` ones of a, and their signature."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs))  # 2 ** SKETCH_BITS bytes
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +184,11 @@ def shared_prefixes(docs: DataFrame) -> DataFrame:
     dealt = rows.repartition("token").sortWithinPartitions("token", "a")
     several = settled(dealt.mapInArrow(_several, "token long, a long, n int"), "shingle-runs")
     own = Window.partitionBy("a")
-    placed = several.withColumn("place", F.row_number().over(own.orderBy("token")) - 1).withColumn("held", F.count(F.lit(1)).over(own).cast("int"))
-    return settled(placed, "shingle-prefixes")
+    bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
+    in_word = F.shiftright("token", 6).bitwiseAND(len(SIGNATURE) - 1)
+    signature = {s: F.bit_or(F.when(in_word == i, bit).otherwise(F.lit(0).cast("long"))).over(own) for i, s in enumerate(SIGNATURE)}
+    placed = several.withColumns({"held": F.count(F.lit(1)).over(own).cast("int"), **signature})
+    return settled(placed.withColumn("place", F.row_number().over(own.orderBy("token")) - 1), "shingle-prefixes")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -215,14 +221,25 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, a, n)], ["token", "a", "n"])
 
 
+def _most_common(held: np.ndarray, signature: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """An upper bound of the held tokens that rows x and y have in common."""
+    only_x, only_y = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    for word in signature:
+        only_x += np.bitwise_count((word[x] & ~word[y]).view(np.uint64))
+        only_y += np.bitwise_count((word[y] & ~word[x]).view(np.uint64))
+    return np.minimum(held[x] - only_x, held[y] - only_y)
+
+
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a run in different components that orders two (up) or three (down) allow to link.
 
     A link takes `least` common ones among the tokens that two prefixes share
     with others.  So in any order one of them is among the first held - least + 1
     of either: a prefix of the prefix, in the order of the hashes and against it.
+    A bit of one signature that the other lacks stands for a held token that is
+    not common, so signatures bound the common ones from above.
     """
-    for token, label, a, n, place, held in _runs(batches):
+    for token, label, a, n, place, held, *signature in _runs(batches):
         if not len(token):
             continue
         n, place, held = n.astype(np.int64), place.astype(np.int64), held.astype(np.int64)
@@ -239,7 +256,8 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ok = 100 * np.minimum(n[x], n[y]) >= PERCENT * larger
             up = ok & (place[x] + least <= held[x]) & (place[y] + least <= held[y])
             down = ok & (place[x] + 1 >= least) & (place[y] + 1 >= least) & (np.minimum(held[x], held[y]) >= least)
-            either = up | down
+            either = np.flatnonzero(up | down)
+            either = either[_most_common(held, signature, x[either], y[either]) >= least[either]]
             x, y, up, down = x[either], y[either], up[either], down[either]
             if len(x):
                 low, high = np.minimum(a[x], a[y]), np.maximum(a[x], a[y])
@@ -322,7 +340,7 @@ def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Adds the component of each set; a set without links is its own."""
     labels = components(links).withColumnRenamed("node", "_node")
     return shared.join(labels, F.col("a") == F.col("_node"), "left").select(
-        "token", F.coalesce("label", "a").alias("label"), "a", "n", "place", "held"
+        "token", F.coalesce("label", "a").alias("label"), "a", "n", "place", "held", *SIGNATURE
     )
 
 
@@ -363,7 +381,8 @@ def hub_pairs(labelled: DataFrame, turn: int) -> DataFrame:
 
 def all_pairs(labelled: DataFrame) -> DataFrame:
     """All pairs of sets in different components that share prefix tokens under each of the orders."""
-    dealt = labelled.repartition("token").sortWithinPartitions("token", "label", "a")
+    rows = labelled.select("token", "label", "a", "n", "place", "held", *SIGNATURE)
+    dealt = rows.repartition("token").sortWithinPartitions("token", "label", "a")
     return (
         dealt.mapInArrow(_cross_pairs, "a long, b long, up boolean, down boolean")
         .groupBy("a", "b")
