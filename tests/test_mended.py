@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from landing import Landing, at, details, license_list
+from landing import Landing, at, delete, details, license_list
 from tidemark.functions.times import parse_instant
 from tidemark.plans import catalog, licenses
+from tidemark.plans.store import CommitConflict, rebased
+from tidemark.streaming.catalog_stream import stream_pages
 
 MIT = {"licenseId": "MIT", "name": "MIT", "isOsiApproved": True}
 
@@ -123,3 +125,85 @@ def test_errors_are_stored_whole(store):
     with pytest.raises(RuntimeError):
         run_job(store, "job", work)
     assert store.runs().filter("status = 'failed'").first().error_message.count("x") == 5000
+
+
+def during(monkeypatch, store, happens):
+    """Lets something happen once, in the middle of the next bucketed write."""
+    write, left = store.write_bucketed, [happens]
+
+    def meanwhile(*args):
+        if left:
+            left.pop()()
+        write(*args)
+
+    monkeypatch.setattr(store, "write_bucketed", meanwhile)
+
+
+def test_a_sync_inside_a_fold_is_kept(store, landing, monkeypatch):
+    landing.page([details("a", "1.0", at(1))])
+    catalog.sync_catalog(store, *landing.sources())
+    landing.page([details("b", "1.0", at(2))])
+    during(monkeypatch, store, lambda: catalog.sync_catalog(store, *landing.sources()))
+    catalog.fold_catalog(store)
+    assert names(store) == {"a", "b"}
+    assert store.checkpoint(catalog.SOURCE).watermark == at(2)
+    catalog.fold_catalog(store)
+    assert names(store) == {"a", "b"}
+
+
+def test_a_sync_inside_a_backfill_is_kept(store, landing, monkeypatch):
+    landing.page([details("a", "1.0", at(1))])
+    catalog.sync_catalog(store, *landing.sources())
+    catalog.fold_catalog(store)
+    landing.page([details("b", "1.0", at(2)), delete("a", "1.0", at(2))])
+    during(monkeypatch, store, lambda: catalog.sync_catalog(store, *landing.sources()))
+    index, pages, _ = landing.sources()
+    assert catalog.backfill_deletes(store, index, pages).deleted == 1
+    assert names(store) == {"a", "b"}
+    gone = catalog.version_state(store).filter("deleted_at is not null").select("package_id").collect()
+    assert [r.package_id for r in gone] == ["a"]
+
+
+def test_a_fold_inside_a_fold_fails_the_later_one(store, landing, monkeypatch):
+    landing.page([details("a", "1.0", at(1))])
+    catalog.sync_catalog(store, *landing.sources())
+    during(monkeypatch, store, lambda: catalog.fold_catalog(store))
+    with pytest.raises(CommitConflict):
+        catalog.fold_catalog(store)
+    assert names(store) == {"a"}
+
+
+def test_a_backfill_needs_its_pages(store, landing):
+    landing.page([details("a", "1.0", at(1))])
+    catalog.sync_catalog(store, *landing.sources())
+    page_files(landing)[0].unlink()
+    index, pages, _ = landing.sources()
+    with pytest.raises(LookupError, match="not landed"):
+        catalog.backfill_deletes(store, index, pages)
+
+
+def test_folders_change_from_where_they_stand():
+    log, table = "catalog_log", "version_state"
+    assert rebased({log: ["a"]}, {log: ["a", "b"]}, {log: ["c"]}) == {log: ["c", "b"]}
+    assert rebased({log: ["a"]}, {log: [], table: ["t"]}, {log: ["a", "b"]}) == {log: ["b"], table: ["t"]}
+    assert rebased({table: ["t"]}, {table: ["u"]}, {table: ["t"], log: ["a"]}) == {table: ["u"], log: ["a"]}
+    with pytest.raises(CommitConflict):
+        rebased({table: ["t"]}, {table: ["u"]}, {table: ["v"]})
+
+
+def test_a_page_cut_short_fails_the_stream(store, landing, tmp_path):
+    landing.page([details("a", "1.0", at(1))])
+    page = page_files(landing)[0]
+    whole = page.read_text()
+    page.write_text(whole[:-40])
+
+    def run():
+        stream = stream_pages(store, str(landing.root / "pages"), lambda refs: landing.read("leaves"), str(tmp_path / "offsets"))
+        stream.awaitTermination()
+
+    with pytest.raises(Exception, match="not readable"):
+        run()
+    assert names(store) == set()
+    page.write_text(whole)
+    run()
+    assert names(store) == {"a"}

@@ -83,6 +83,14 @@ def require_landed(chosen: DataFrame, page_documents: DataFrame) -> None:
         raise LookupError(f"pages not landed or not readable: {named}")
 
 
+def require_readable(page_documents: DataFrame) -> None:
+    """Fails if any landed page cannot be read whole; blank lines are no pages."""
+    bad = page_states(page_documents.filter(F.trim("value") != "")).filter(~F.col("readable"))
+    named = [row.page_url for row in bad.select("page_url").limit(SHOWN).collect()]
+    if named:
+        raise LookupError(f"pages not readable: {named}")
+
+
 Pages = Callable[[DataFrame], DataFrame]
 Leaves = Callable[[DataFrame], DataFrame]
 
@@ -254,7 +262,7 @@ def fold_catalog(store: Store, buckets: int | None = None) -> None:
         ):
             _fold_table(store, before, run.id, table, schema, keys, changes, n)
         folders = {VERSIONS: [run.id], PACKAGES: [run.id], LOG: [], BUCKETS: [str(n)]}
-        store.replace_folders(SOURCE, {**before.folders, **folders})
+        store.change_folders(SOURCE, before.folders, {**before.folders, **folders})
         return RunResult(before.watermark, own.folders)
 
     run_job(store, FOLD, work)
@@ -271,15 +279,18 @@ def backfill_deletes(
 
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
+        require_dated(pages)
         new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
         chosen = first_pages(new, "commit", max_pages)
         left = new.count()
         catalog = store.checkpoint(SOURCE)
         if left == 0 or not catalog.folders.get(VERSIONS):
             return RunResult(before.watermark, before.folders)
-        done = left if max_pages is None else min(left, max_pages)
+        done = left if max_pages is None else chosen.count()
+        landed = pages_for(chosen)
+        require_landed(chosen, landed)
         seen = Observation()
-        observed = once(_refs_of(chosen, pages_for(chosen))).observe(
+        observed = once(_refs_of(chosen, landed)).observe(
             seen, _newest(), F.count_if("gone").alias("deletes")
         )
         dated = F.col("gone") & F.col("commit.commit_at").isNotNull()
@@ -290,7 +301,7 @@ def backfill_deletes(
         ) as target:
             marked = mark_deleted(target, deletes, VERSION_KEYS)
             store.write_bucketed(VERSIONS, run.id, marked, VERSION_KEYS, n)
-        store.replace_folders(SOURCE, {**catalog.folders, VERSIONS: [run.id]})
+        store.change_folders(SOURCE, catalog.folders, {**catalog.folders, VERSIONS: [run.id]})
         newest = seen.get["watermark"]
         return RunResult(
             before.watermark if newest is None else newest.commit_text,

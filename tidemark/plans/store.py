@@ -8,6 +8,12 @@ A job writes its folders first and the checkpoint row naming them last.  A job
 that dies in between leaves folders no checkpoint names, and its retry starts
 from the old checkpoint: delivery is at least once, and every write is keyed or
 idempotent.
+
+A commit changes the folders that stand when it is made, not those its job
+began with, so what another job committed in between stays.  Two jobs that
+replace one table conflict, and the later one fails.  Parquet has no
+compare-and-swap: only the moment between that last look and the append of the
+checkpoint row is unguarded.
 """
 
 from __future__ import annotations
@@ -30,6 +36,10 @@ from tidemark.functions.cursors import INITIAL
 from tidemark.operators.ledger import current_checkpoints, current_runs
 
 
+#: Entries of a checkpoint to which jobs append folders of their own.
+LOGS = ("catalog_log", "streamed")
+
+
 @dataclass(frozen=True)
 class Checkpoint:
     watermark: str = INITIAL
@@ -50,6 +60,31 @@ class RunResult:
     metrics: dict[str, Any] = field(default_factory=dict)
 
 
+class CommitConflict(RuntimeError):
+    """Another job replaced a table that this one was replacing; run it again."""
+
+
+def rebased(
+    before: dict[str, list[str]], after: dict[str, list[str]], now: dict[str, list[str]]
+) -> dict[str, list[str]]:
+    """The folders that stand now, changed as a job changed those it began with.
+
+    A log's folders are removed and added one by one; any other entry is
+    replaced as a whole.
+    """
+    out = dict(now)
+    for table in {*before, *after}:
+        old, new, current = (folders.get(table, []) for folders in (before, after, now))
+        if new == old:
+            continue
+        gone = [name for name in old if name not in new]
+        if current != old and (table not in LOGS or not set(gone) <= set(current)):
+            raise CommitConflict(f"{table}: {current} stand, the job began with {old}")
+        kept = [name for name in current if name not in gone] if table in LOGS else []
+        out[table] = kept + [name for name in new if name not in kept and (table not in LOGS or name not in old)]
+    return out
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -142,10 +177,12 @@ class Store:
             metadata=json.dumps(folders),
         )
 
-    def replace_folders(self, source: str, folders: dict[str, list[str]]) -> None:
+    def change_folders(
+        self, source: str, before: dict[str, list[str]], after: dict[str, list[str]]
+    ) -> None:
         """Names other folders for a source and leaves its progress as it is."""
         at = self.checkpoint(source)
-        self.commit(source, at.watermark, folders, at.status, at.rows)
+        self.commit(source, at.watermark, rebased(before, after, at.folders), at.status, at.rows)
 
     # --- runs ----------------------------------------------------------------
 
@@ -219,7 +256,7 @@ def run_job(store: Store, source: str, work: Work, external_run_id: str | None =
 
     Read the checkpoint, open a run, work, settle the run, move the checkpoint
     last.  A failure settles the run as failed and leaves the checkpoint where
-    the run began.
+    it stands.
     """
     before = store.checkpoint(source)
     run = Run(
@@ -235,10 +272,12 @@ def run_job(store: Store, source: str, work: Work, external_run_id: str | None =
     run.heartbeat()
     try:
         result = work(before, run)
+        result.folders = rebased(before.folders, result.folders, store.checkpoint(source).folders)
     except Exception as error:
         failed = RunResult(before.watermark, before.folders, status="failed")
         run.settle(failed, error)
-        store.commit(source, before.watermark, before.folders, "failed", 0)
+        now = store.checkpoint(source)
+        store.commit(source, now.watermark, now.folders, "failed", 0)
         raise
     run.settle(result)
     rows = result.inserted + result.updated + result.deleted

@@ -7,11 +7,11 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.catalog import LOG, SOURCE, Leaves, append_events, is_after
+from tidemark.plans.catalog import LOG, SOURCE, Leaves, append_events, is_after, require_readable
 from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 from tidemark.sources.catalog import parse_leaves, parse_pages
 
-STREAMED = "streamed"  # the stream's last batch, beside the folders in the checkpoint
+STREAMED = "streamed"  # the last batch of each stream, beside the folders in the checkpoint
 
 
 def stream_pages(
@@ -26,7 +26,8 @@ def stream_pages(
 
     ``leaves_for`` returns leaf documents holding those of a batch of references,
     so a batch reads its own days of leaves and not the whole landing area.  The log
-    folder is named by stream and batch: a replayed batch overwrites itself.
+    folder is named by stream and batch: a replayed batch overwrites itself.  A page
+    that cannot be read fails its batch before anything is stored.
     """
     spark = store.spark
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
@@ -41,6 +42,8 @@ def stream_pages(
         def work(before: Checkpoint, run: Run) -> RunResult:
             if name in before.folders.get(STREAMED, []):
                 return RunResult(before.watermark, before.folders)
+            require_readable(documents)
+            others = [n for n in before.folders.get(STREAMED, []) if not n.startswith(f"stream-{stream}-")]
             seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
             log = [*before.folders.get(LOG, []), name]
             newest, watermark = seen["watermark"], before.watermark
@@ -49,7 +52,7 @@ def stream_pages(
                 watermark = newest.commit_text
             return RunResult(
                 watermark,
-                {**before.folders, LOG: log, STREAMED: [name]},
+                {**before.folders, LOG: log, STREAMED: [*others, name]},
                 inserted=seen["details"],
                 deleted=seen["deletes"],
                 metrics=seen,
