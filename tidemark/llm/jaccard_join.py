@@ -104,18 +104,13 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, seen = np.zeros(1 << SKETCH_BITS, np.uint16), set()
-    for batch in batches:
-        for _, _, tokens in _sets(batch, seen, 0):
-            cells = _cells(tokens)  # ascending, as the tokens are
-            at = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
-            many = np.diff(np.append(at, len(cells)))
-            here = counts[cells[at]]
-            counts[cells[at]] = here + np.minimum(many, 65535 - here.astype(np.int64)).astype(np.uint16)
-    if seen:
-        parts = np.split(counts, SKETCH_PARTS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts])], ["part", "counts"])
+def _add(counts: np.ndarray, tokens: np.ndarray) -> None:
+    """Counts the cells of a set's tokens, which ascend; a full cell stays full."""
+    cells = _cells(tokens)
+    at = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+    many = np.diff(np.append(at, len(cells)))
+    here = counts[cells[at]]
+    counts[cells[at]] = here + np.minimum(many, 65535 - here.astype(np.int64)).astype(np.uint16)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,39 +123,60 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels)], ["part", "levels"])
 
 
-def frequency_levels(docs: DataFrame) -> np.ndarray:
+def frequency_levels(parts: DataFrame) -> np.ndarray:
     """For each cell of token hashes, the binary logarithm of how often tokens of the cell occur, over all documents."""
-    parts = (
-        docs.select(F.col("text").cast("binary"))
-        .mapInArrow(_sketch, "part int, counts binary")
-        .repartition(SKETCH_PARTS, "part")
+    summed = (
+        parts.repartition(SKETCH_PARTS, "part")
         .mapInArrow(_summed, "part int, levels binary")
         .collect()  # SKETCH_PARTS rows, 2 ** SKETCH_BITS bytes in all
     )
-    by_part = {r["part"]: np.frombuffer(r["levels"], np.uint8) for r in parts}
+    by_part = {r["part"]: np.frombuffer(r["levels"], np.uint8) for r in summed}
     empty = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint8)
     return np.concatenate([by_part.get(i, empty) for i in range(SKETCH_PARTS)])
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """doc_id, r1, r2 (row hashes), digest and n of every document; digest is null and n 0 where the set is empty."""
+_SETS = pa.schema([("doc_id", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("digest", pa.int64()), ("n", pa.int64())])
+_PARTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
+
+
+def _rows(columns: dict[str, list | pa.Array], size: int) -> pa.RecordBatch:
+    """A batch of the sets' and the sketch's columns; those not given are null."""
+    fields = [*_SETS, *_PARTS]
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(size, f.type) if f.name not in columns else pa.array(columns[f.name], f.type) for f in fields], [f.name for f in fields]
+    )
+
+
+def set_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets and, from the same pass, the tasks' sketches of token frequencies.
+
+    Sets: doc_id, r1, r2 (row hashes), digest and n of every document; digest is
+    null and n 0 where the set is empty.  Sketches: part and counts.
+    """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen = np.zeros(1 << SKETCH_BITS, np.uint16), set()
         for batch in batches:
             digest, n = [None] * len(batch), [0] * len(batch)
             for i, d, tokens in _sets(batch, None, 3):
                 digest[i], n[i] = d, len(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(digest, pa.int64()), pa.array(n, pa.int64())], ["doc_id", "r1", "r2", "digest", "n"]
-            )
+                if d not in seen:
+                    seen.add(d)
+                    _add(counts, tokens)
+            yield _rows({"doc_id": batch.column(0), "r1": batch.column(1), "r2": batch.column(2), "digest": digest, "n": n}, len(batch))
+        if seen:
+            for part, held in enumerate(np.split(counts, SKETCH_PARTS)):
+                yield _rows({"part": [part], "counts": [held.tobytes()]}, 1)
 
     rows = docs.select(F.col("doc_id").cast("long"), *row_hashes(), F.col("text").cast("binary"))
-    return settled(rows.mapInArrow(digests, "doc_id long, r1 long, r2 long, digest long, n long"), "shingle-sets")
+    schema = "doc_id long, r1 long, r2 long, digest long, n long, part int, counts binary"
+    stored = settled(rows.mapInArrow(digests, schema), "shingle-sets")
+    return stored.filter("part is null").select(_SETS.names), stored.filter("part is not null").select(_PARTS.names)
 
 
-def shared_prefixes(docs: DataFrame) -> DataFrame:
+def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), the place of the token among the `held` ones of a, and their signature."""
-    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs))  # 2 ** SKETCH_BITS bytes
+    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(sketches))  # 2 ** SKETCH_BITS bytes
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -393,8 +409,8 @@ def all_pairs(labelled: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, r1, r2 (row hashes), n_shingles, group_id and component_id of every document."""
-    sets = set_table(docs)
-    shared = shared_prefixes(docs)
+    sets, sketches = set_table(docs)
+    shared = shared_prefixes(docs, sketches)
     labelled = shared.withColumn("label", F.col("a"))
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
