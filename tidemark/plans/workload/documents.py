@@ -6,13 +6,16 @@ the catalog's pages.  A few leaves are unusable or missing on purpose.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import current_state
 from tidemark.operators.licenses import list_profile
 from tidemark.operators.versions import package_changes, version_changes
-from tidemark.plans import catalog
+from tidemark.plans import catalog, enrichment
+from tidemark.plans import licenses as list_refresh
 from tidemark.plans.store import Store
 from tidemark.plans.workload.registry import query, table
 from tidemark.plans.workload.standins import licenses
@@ -333,19 +336,24 @@ def license_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _license_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _list_texts(
+    spark: SparkSession, sf_dir: str, version: str = "3.10", approved: str = "is_osi_approved"
+) -> DataFrame:
     nation = F.col("s_nationkey")
     entry = F.struct(
         F.col("license_id").alias("licenseId"),
         "name",
-        F.when(nation < 20, F.col("is_osi_approved")).alias("isOsiApproved"),
+        F.when(nation < 20, F.expr(approved)).alias("isOsiApproved"),
         F.col("is_fsf_libre").alias("isFsfLibre"),
         F.when(nation < 10, F.col("reference_url")).alias("reference"),
         F.when(nation >= 5, F.col("see_also_urls")).alias("seeAlso"),
     )
-    document = F.struct(F.lit("3.10").alias("licenseListVersion"), F.array(entry).alias("licenses"))
-    texts = licenses(spark, sf_dir).select(F.to_json(document).alias("value"))
-    return parse_license_list(texts)
+    document = F.struct(F.lit(version).alias("licenseListVersion"), F.array(entry).alias("licenses"))
+    return licenses(spark, sf_dir).select("license_id", F.to_json(document).alias("value"))
+
+
+def _license_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_license_list(_list_texts(spark, sf_dir))
 
 
 @query("""SELECT count(*) AS license_count,
@@ -353,3 +361,58 @@ def _license_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_list_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = list_profile(_license_documents(spark, sf_dir))
     return profile.select("license_count", "osi_count")
+
+
+# In the later edition a seventh of the licenses is missing and approval is dealt anew.
+@query("""SELECT license_id, name, CAST(approved AS BOOLEAN) AS is_osi_approved, approved = 'true' AS raw_approved,
+  n_links FROM (
+  SELECT concat('Lic-', CAST(s_suppkey AS VARCHAR), '.0') AS license_id, s_name AS name,
+    CASE WHEN s_nationkey >= 20 THEN 'false'
+         WHEN s_suppkey % 7 = 0 THEN CAST(s_acctbal >= 3000 AS VARCHAR)
+         ELSE CAST(s_acctbal < 3000 AS VARCHAR) END AS approved,
+    CAST(1 + CASE WHEN s_nationkey % 3 <> 0 THEN 1 ELSE 0 END
+           + CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER)
+      * CASE WHEN s_nationkey >= 5 THEN 1 ELSE 0 END AS n_links
+  FROM supplier) AS l""")
+def license_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refresh job on stored tables: an edition, the next one, and that one again with other flags."""
+    store = Store(spark, shared_dir(spark, "license-job"))
+    number = F.regexp_extract("license_id", r"(\d+)", 1).cast("long")
+    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.9"))
+    later = _list_texts(spark, sf_dir, "3.10", "not is_osi_approved").filter(number % 7 != 0)
+    list_refresh.sync_licenses(store, later)
+    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.10"))
+    return list_refresh.license_ref(store).select(
+        "license_id",
+        "name",
+        "is_osi_approved",
+        (F.get_json_object("raw_metadata", "$.isOsiApproved") == "true").alias("raw_approved"),
+        F.size("see_also_urls").alias("n_links"),
+    )
+
+
+@query(f"""WITH {_EVENTS}
+SELECT package_id, CASE WHEN k % 5 = 0 THEN 'open_source' ELSE 'unknown' END AS classification,
+  CASE WHEN k % 5 = 0 THEN 'MIT' END AS spdx_id,
+  CASE WHEN k % 5 = 0 THEN 'any_approved: MIT' ELSE 'no_signal' END AS reasoning FROM (
+  SELECT *, row_number() OVER (PARTITION BY package_id ORDER BY ts DESC) AS rk
+  FROM ev WHERE NOT gone AND problem IS NULL) AS r WHERE rk = 1""")
+def enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict job on stored tables, run after half the pages and again after the rest."""
+    store = Store(spark, shared_dir(spark, "enrich-job"))
+    mit = {"licenseListVersion": "1", "licenses": [{"licenseId": "MIT", "isOsiApproved": True}]}
+    lists = _list_texts(spark, sf_dir, "1").select("value")
+    list_refresh.sync_licenses(store, lists.union(spark.createDataFrame([(json.dumps(mit),)], "value string")))
+    index = _index_documents(spark, sf_dir)
+    for limit in (15, None):
+        catalog.sync_catalog(
+            store,
+            index,
+            lambda pages: _page_documents(spark, sf_dir),
+            lambda refs: _leaf_documents(spark, sf_dir),
+            max_pages=limit,
+        )
+        enrichment.classify_packages(store)
+    return enrichment.license_verdicts(store).select(
+        "package_id", "classification", "spdx_id", "reasoning"
+    )
