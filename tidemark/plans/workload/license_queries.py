@@ -130,8 +130,11 @@ _VERDICT_COLUMNS = [
 _SELECTED = ", ".join(_VERDICT_COLUMNS)
 
 
-def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vd.classify(packages(spark, sf_dir), licenses(spark, sf_dir))
+def _verdicts(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+    """Verdicts of the packages whose signal is as asked; the others are left out before any is parsed."""
+    signalled = vd.with_signal(packages(spark, sf_dir), "license", "license_url")
+    chosen = signalled.filter(only).drop(*vd.SIGNAL)
+    return vd.classify(chosen, licenses(spark, sf_dir))
 
 
 # --- terms -------------------------------------------------------------------------
@@ -189,13 +192,13 @@ def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_VERDICTS} SELECT {_SELECTED} FROM verdicts WHERE signal = 'expression'")
 def classify_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = _verdicts(spark, sf_dir).filter(F.col("signal") == "expression")
+    verdicts = _verdicts(spark, sf_dir, "signal = 'expression'")
     return verdicts.select(*_VERDICT_COLUMNS)
 
 
 @query(f"{_VERDICTS} SELECT {_SELECTED} FROM verdicts WHERE signal <> 'expression'")
 def classify_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = _verdicts(spark, sf_dir).filter(F.col("signal") != "expression")
+    verdicts = _verdicts(spark, sf_dir, "signal <> 'expression'")
     return verdicts.select(*_VERDICT_COLUMNS)
 
 
