@@ -227,6 +227,41 @@ def test_scores_match_a_plain_sum(docs):
         assert (r["mean_log_probability"] is None) == (not classes)
 
 
+@pytest.mark.parametrize("frequent", [1 << 16, 20])
+def test_each_word_has_a_probability_of_its_own(spark, docs, frequent, monkeypatch):
+    """The class's probability times the word's share of the class; unseen words share what is left."""
+    monkeypatch.setattr(pseudo_likelihood, "FREQUENT", frequent)
+    texts = [(r[1] or "").encode() for r in awkward_rows()]
+    counts = collections.Counter(w for t in texts for w in t.lower().split())
+    classes = {w: int(pseudo_likelihood.word_classes(w)[0]) for w in counts}
+    sizes = collections.Counter()
+    for w, n in counts.items():
+        sizes[classes[w]] += n
+    values, words = pseudo_likelihood.train(docs), pseudo_likelihood.word_table(docs)
+    assert sorted(r["n"] for r in words.collect()) == sorted(counts.values())
+
+    def check(frame):
+        columns = ("row.text", "n_words", "pseudo_log_likelihood")
+        whole = collected(pseudo_likelihood.score(frame, values, words).select(*columns))
+        coarse = collected(pseudo_likelihood.score(frame, values).select(*columns))
+        for (text, n_words, got), (_, _, base) in zip(whole, coarse, strict=True):
+            ws = (text or "").encode().lower().split()
+            shares = [np.log(counts.get(w, pseudo_likelihood.UNSEEN) / (sizes[int(pseudo_likelihood.word_classes(w)[0])] + pseudo_likelihood.UNSEEN)) for w in ws]
+            assert n_words == len(ws)
+            assert got == pytest.approx(base + sum(shares), rel=1e-6, abs=1e-6)
+        return {r[0]: r[2] for r in whole}
+
+    check(docs)
+    # gibberish of the same class scores below the word that it stands for
+    gibberish = next(x for x in map("zq{}".format, range(10**6)) if pseudo_likelihood.word_classes(x.encode())[0] == classes[b"w7"])
+    found = check(spark.createDataFrame([(1, "w1 w7 w2"), (2, f"w1 {gibberish} w2")], "doc_id long, text string"))
+    assert found["w1 w7 w2"] > found[f"w1 {gibberish} w2"] + 1
+    got = collected(pseudo_likelihood.pseudo_likelihood(docs).select("row.text", "pseudo_log_likelihood"))
+    want = collected(pseudo_likelihood.score(docs, values, words).select("row.text", "pseudo_log_likelihood"))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], rel=1e-6)
+
+
 def test_gradients():
     """A step goes downhill, as the numeric slope says."""
     rng = np.random.default_rng(0)

@@ -6,8 +6,14 @@ its own rows, the copies are averaged weighted by their examples, and the next
 round goes on from there.  A document's score is the sum, over all its words, of
 the logarithm of the probability that the network gives the word when masked.
 
-Words are hashed to a fixed number of classes; a class has a group and a member,
-so a probability takes two short softmaxes instead of one long one.
+The network sees words as a fixed number of classes; a class has a group and a
+member, so a probability takes two short softmaxes instead of one long one.  A
+word's probability is that of its class times its share of the class, by a table
+that counts every word of all documents and grows with them.  The words above a
+`FREQUENT`-th of all are dealt to every task, the others meet the table in a join.
+Words are told apart by 64-bit hashes.  A word that the table lacks has the share
+that `UNSEEN` occurrences would have, so the shares of a class and of its unseen
+words sum to one.
 
 Defined results: null or blank text has no words and scores 0.  Words are cut at
 ASCII blanks, A-Z in lower case.  Rows of equal text score alike.  Without any
@@ -16,6 +22,7 @@ words in the table the network stays as it began.  Extra columns stay in `row`.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import binaries
+from tidemark.llm.common import settled
 
 GROUPS = 32
 CLASSES = GROUPS * GROUPS
@@ -40,13 +48,29 @@ RATE = 0.1
 BATCH = 2048
 #: Parts that averaged weights are dealt in.
 PARTS = 16
+#: Occurrences that all unseen words of a class count as.
+UNSEEN = 0.5
+#: Words of more than one in so many occurrences are looked up without a join; there are fewer of them than this.
+FREQUENT = 1 << 16
+#: Distinct words that a task counts before it hands them on.
+COUNTED = 1 << 18
 
 Model = list[np.ndarray]
+#: Hashes of the frequent words in order, the logarithms of their counts, and those of the classes' counts.
+Known = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def word_classes(raw: bytes) -> np.ndarray:
+def word_hashes(raw: bytes) -> np.ndarray:
     found = raw.lower().split()
-    return (np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)) % np.uint64(CLASSES)).astype(np.int32)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
+def _classes(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(CLASSES)).astype(np.int32)
+
+
+def word_classes(raw: bytes) -> np.ndarray:
+    return _classes(word_hashes(raw))
 
 
 def new_model() -> Model:
@@ -219,36 +243,139 @@ def train(docs: DataFrame) -> np.ndarray:
     return values
 
 
-def score(docs: DataFrame, values: np.ndarray) -> DataFrame:
-    """`row`, n_words, pseudo_log_likelihood (natural logarithm) and its mean for each word (null without words)."""
-    held = docs.sparkSession.sparkContext.broadcast(values)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[bytes] = Counter()
 
-    @F.pandas_udf("n_words long, total double")
+    def rows() -> pa.RecordBatch:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts.values(), pa.int64())], ["word", "n"])
+
+    for batch in batches:
+        for data in binaries(batch.column(0)):
+            counts.update(data.tobytes().lower().split())
+            if len(counts) >= COUNTED:
+                yield rows()
+                counts.clear()
+    if counts:
+        yield rows()
+
+
+def word_table(docs: DataFrame) -> DataFrame:
+    """word (hash) and n, its occurrences in all documents; stored."""
+    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(_counted, "word long, n long")
+    return settled(found.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def known_words(words: DataFrame) -> Known:
+    """What every task looks up itself: fewer than FREQUENT words, and the classes."""
+    sizes = np.zeros(CLASSES)
+    for r in words.groupBy(F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("class")).agg(F.sum("n").alias("n")).collect():
+        sizes[r["class"]] = r["n"]
+    frequent = words.filter(F.col("n") * FREQUENT > F.lit(int(sizes.sum()))).collect()
+    hashes = np.array([r["word"] for r in frequent], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.log([frequent[i]["n"] for i in order]), np.log(sizes + UNSEEN)
+
+
+def _found(known: Known, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are frequent ones, and the places of these among them."""
+    at = np.searchsorted(known[0], hashes)
+    hit = at < len(known[0])
+    hit[hit] = known[0][at[hit]] == hashes[hit]
+    return hit, at[hit]
+
+
+def _rare(held):
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2, words, counts, size = batch.column(0), batch.column(1), [], [], []
+            for data in binaries(batch.column(2)):
+                hashes = word_hashes(data.tobytes())
+                word, n = np.unique(hashes[~_found(held.value, hashes)[0]], return_counts=True)
+                words.append(word.view(np.int64))
+                counts.append(n)
+                size.append(len(word))
+            if sum(size):
+                owner = pa.array(np.repeat(np.arange(len(size)), size))
+                yield pa.RecordBatch.from_arrays(
+                    [k1.take(owner), k2.take(owner), pa.array(np.concatenate(words)), pa.array(np.concatenate(counts), pa.int64())],
+                    ["k1", "k2", "word", "n"],
+                )
+
+    return rare
+
+
+def _rare_counts(docs: DataFrame, words: DataFrame, held) -> DataFrame:
+    """k1, k2 (128 bits of a text) and the mean logarithm of the counts of its words that are not frequent.
+
+    A mean, so that rows of equal text need not be told apart; summed as
+    decimals, so that the order of the rows changes nothing.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rare = docs.select(
+        F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(3), text).alias("k2"), text.cast("binary").alias("text")
+    ).mapInArrow(_rare(held), "k1 long, k2 long, word long, n long")
+    table = words.select(F.col("word").alias("_word"), F.col("n").alias("count"))
+    log = F.log(F.coalesce(F.col("count").cast("double"), F.lit(UNSEEN)))
+    return (
+        rare.join(table, F.col("word") == F.col("_word"), "left")
+        .groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+        .agg((F.sum((log * F.col("n")).cast("decimal(20,9)")).cast("double") / F.sum("n")).alias("log_count"))
+    )
+
+
+def score(docs: DataFrame, values: np.ndarray, words: DataFrame | None = None) -> DataFrame:
+    """`row`, n_words, pseudo_log_likelihood (natural logarithm) and its mean for each word (null without words).
+
+    Of the words themselves by the table `words`; without one, of their classes only.
+    """
+    context = docs.sparkSession.sparkContext
+    held = context.broadcast(values)
+    known = context.broadcast(known_words(words)) if words is not None else None
+
+    @F.pandas_udf("n_words long, n_rare long, total double")
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shaped(held.value)
         for series in texts:
-            classes = [word_classes(t or b"") for t in series]
-            size, total = np.array([len(c) for c in classes], np.int64), np.zeros(len(classes))
+            hashes = [word_hashes(t or b"") for t in series]
+            size, total = np.array([len(h) for h in hashes], np.int64), np.zeros(len(hashes))
+            n_rare = np.zeros(len(hashes), np.int64)
             at = 0
-            while at < len(classes):  # some thousand words at a time
+            while at < len(hashes):  # some thousand words at a time
                 end = max(at + 1, int(np.searchsorted(np.cumsum(size[at:]), 1 << 15)) + at)
-                word, near = windows(classes[at:end])
+                word, near = windows([_classes(h) for h in hashes[at:end]])
                 owner = np.repeat(np.arange(end - at), size[at:end])
+                whole = np.concatenate(hashes[at:end])
                 for i in range(0, len(word), 1 << 15):
-                    part = log_probabilities(model, near[i : i + (1 << 15)], word[i : i + (1 << 15)]).astype(np.float64)
-                    total[at:end] += np.bincount(owner[i : i + (1 << 15)], part, end - at)
+                    some = slice(i, i + (1 << 15))
+                    part = log_probabilities(model, near[some], word[some]).astype(np.float64)
+                    if known is not None:
+                        hit, place = _found(known.value, whole[some])
+                        part -= known.value[2][word[some]]
+                        part[hit] += known.value[1][place]
+                        n_rare[at:end] += np.bincount(owner[some][~hit], minlength=end - at)
+                    total[at:end] += np.bincount(owner[some], part, end - at)
                 at = end
-            yield pd.DataFrame({"n_words": size, "total": total})
-
-    scored = docs.select(F.struct("*").alias("row"), scores(F.col("text").cast("binary")).alias("s"))
+            yield pd.DataFrame({"n_words": size, "n_rare": n_rare, "total": total})
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    scored = docs.select(
+        F.struct("*").alias("row"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(3), text).alias("k2"),
+        scores(F.col("text").cast("binary")).alias("s"),
+    )
+    total = F.col("s.total")
+    if words is not None:
+        rare = _rare_counts(docs, words, known)
+        scored = scored.join(rare, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
+        total += F.coalesce(F.col("log_count") * F.col("s.n_rare"), F.lit(0.0))
     return scored.select(
         "row",
         "s.n_words",
-        F.col("s.total").alias("pseudo_log_likelihood"),
-        F.when(F.col("s.n_words") > 0, F.col("s.total") / F.col("s.n_words")).alias("mean_log_probability"),
+        total.alias("pseudo_log_likelihood"),
+        F.when(F.col("s.n_words") > 0, total / F.col("s.n_words")).alias("mean_log_probability"),
     )
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    """Trains on all documents and scores them."""
-    return score(docs, train(docs))
+    """Trains on all documents, counts their words and scores them."""
+    return score(docs, train(docs), word_table(docs))
