@@ -262,6 +262,23 @@ def test_each_word_has_a_probability_of_its_own(spark, docs, frequent, monkeypat
     assert [g[1] for g in got] == pytest.approx([w[1] for w in want], rel=1e-6)
 
 
+def test_every_word_is_a_target_once(docs, monkeypatch):
+    """Over all turns and slices, with its window; slices grow with the input."""
+    for seed, n in itertools.product((0, 4, 11), range(15)):
+        classes = np.arange(n, dtype=np.int32)
+        word, near = pseudo_likelihood.windows([classes])
+        seen = [x for t in range(pseudo_likelihood.MASK_EVERY) for x in zip(*map(np.ndarray.tolist, pseudo_likelihood.targets(classes, seed, t)), strict=True)]
+        assert sorted(seen) == sorted(zip(word.tolist(), near.tolist(), strict=True))
+    monkeypatch.setattr(pseudo_likelihood, "SLICE_BYTES", 60000)
+    rows, slices = pseudo_likelihood.encoded(docs)
+    assert slices > 2 and {r["slice"] for r in rows.collect()} <= set(range(slices))
+    start, seen = pseudo_likelihood.flat(pseudo_likelihood.new_model()), 0
+    for i, turn in itertools.product(range(slices), range(pseudo_likelihood.MASK_EVERY)):
+        found = pseudo_likelihood.copies(rows.filter(F.col("slice") == i), start, turn).filter("part = 0").collect()
+        seen += sum(r["examples"] for r in found)
+    assert seen == sum(len((r[1] or "").encode().split()) for r in awkward_rows())
+
+
 def test_gradients():
     """A step goes downhill, as the numeric slope says."""
     rng = np.random.default_rng(0)

@@ -1,9 +1,11 @@
 """LM scoring by masked pseudo-likelihood.
 
 A small network predicts a masked word from the two words before it and the two
-after it.  It is trained in numpy on all documents: every task trains a copy on
-its own rows, the copies are averaged weighted by their examples, and the next
-round goes on from there.  A document's score is the sum, over all its words, of
+after it.  It is trained in numpy on every word of all documents: each word is a
+target in one of MASK_EVERY turns over the table.  A turn takes the table in slices
+of bounded size; every task trains a copy on its rows of a slice, the copies are
+averaged weighted by their examples, and the next slice goes on from there, so
+rounds grow with the input.  A document's score is the sum, over all its words, of
 the logarithm of the probability that the network gives the word when masked.
 
 The network sees words as a fixed number of classes; a class has a group and a
@@ -34,16 +36,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import binaries
 from tidemark.llm.common import settled
+from tidemark.session import shared_dir
 
 GROUPS = 32
 CLASSES = GROUPS * GROUPS
 #: The neighbours that predict a word, as distances to it.
 WINDOW = (-2, -1, 1, 2)
 WIDTH = 16
-#: Rounds of training; each document counts in one of them.
-ROUNDS = 2
-#: One in so many words of a document is masked for training, as usual for masked models.
+#: One in so many words of a document is masked in a turn, as usual for masked models; in as many turns each word is once.
 MASK_EVERY = 6
+#: Bytes of text between two averagings.
+SLICE_BYTES = 256 << 20
 RATE = 0.1
 BATCH = 2048
 #: Parts that averaged weights are dealt in.
@@ -51,7 +54,7 @@ PARTS = 16
 #: Occurrences that all unseen words of a class count as.
 UNSEEN = 0.5
 #: Words of more than one in so many occurrences are looked up without a join; there are fewer of them than this.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 1 << 18
 
@@ -107,6 +110,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(1, keepdims=True))
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(group.astype(np.uint8), kind="stable")
     edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
@@ -131,12 +140,12 @@ def train_step(model: Model, memory: Model, near: np.ndarray, word: np.ndarray)
     h = _hidden(model, near)
     group, member = word // GROUPS, word % GROUPS
     rows = np.arange(len(word))
-    d_group = np.exp(_log_softmax(h @ model[2] + model[3]))
+    d_group = _softmax(h @ model[2] + model[3])
     d_group[rows, group] -= 1
     d_h = d_group @ model[2].T
     grads = [None, None, h.T @ d_group, d_group.sum(0), np.zeros_like(model[4]), np.zeros_like(model[5])]
     for g, at in _by_group(group):
-        d = np.exp(_log_softmax(h[at] @ model[4][g] + model[5][g]))
+        d = _softmax(h[at] @ model[4][g] + model[5][g])
         d[np.arange(len(at)), member[at]] -= 1
         d_h[at] += d @ model[4][g].T
         grads[4][g], grads[5][g] = h[at].T @ d, d.sum(0)
@@ -166,7 +175,16 @@ def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], np.stack([line[at + k] for k in WINDOW], 1)
 
 
-def _trainer(start: np.ndarray):
+def targets(classes: np.ndarray, seed: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a text that are masked in a turn, and the window of each; over MASK_EVERY turns every word once."""
+    reach = max(map(abs, WINDOW))
+    edge = np.full(reach, CLASSES, np.int32)
+    line = np.concatenate([edge, classes, edge])
+    at = np.arange((seed + turn) % MASK_EVERY, len(classes), MASK_EVERY) + reach
+    return line[at], np.stack([line[at + k] for k in WINDOW], 1)
+
+
+def _trainer(start: np.ndarray, turn: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen, part = shaped(start), 0, 0
         memory = [np.zeros_like(p) for p in model]
@@ -184,15 +202,13 @@ def _trainer(start: np.ndarray):
         for batch in batches:
             part = batch.column(0)[0].as_py() if len(batch) else part
             for seed, data in zip(batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
-                classes = word_classes(data.tobytes())
-                if not len(classes):
-                    continue
-                word, near = windows([classes])
                 # every text gives its share of masked words, from a place of its own on
-                pick = np.arange(min(seed % MASK_EVERY, len(word) - 1), len(word), MASK_EVERY)
-                held.append((word[pick], near[pick]))
-                count += len(pick)
-                seen += len(pick)
+                word, near = targets(data.view(np.int16).astype(np.int32), seed, turn)
+                if not len(word):
+                    continue
+                held.append((word, near))
+                count += len(word)
+                seen += len(word)
                 if count >= 8 * BATCH:
                     steps(False)
         if seen:
@@ -224,22 +240,46 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([mean])], ["part", "weights"])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        classes = [word_classes(data.tobytes()).astype(np.int16).tobytes() for data in binaries(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.binary())], ["slice", "seed", "classes"])
+
+
+def encoded(docs: DataFrame) -> tuple[DataFrame, int]:
+    """slice, seed and the class numbers of each text's words, stored by slice; and how many slices there are.
+
+    Rows are dealt to slices by their place, so that copies of a text spread too.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = max(1, -(-size // SLICE_BYTES))
+    placed = docs.select(
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)).cast("int").alias("seed"), F.col("text").cast("binary").alias("text")
+    )
+    dealt = placed.select(F.floor(F.col("seed") / 64 % slices).cast("int").alias("slice"), "seed", "text")
+    path = shared_dir(docs.sparkSession, "word-classes")
+    dealt.mapInArrow(_encoded, "slice int, seed int, classes binary").write.partitionBy("slice").parquet(path)
+    return docs.sparkSession.read.schema("seed int, classes binary, slice int").parquet(path), slices
+
+
+def copies(rows: DataFrame, values: np.ndarray, turn: int) -> DataFrame:
+    """The weights of each task's copy after a turn over `rows`, in PARTS, and the examples it has seen."""
+    return rows.select(F.spark_partition_id().alias("task"), "seed", "classes").mapInArrow(
+        _trainer(values, turn), "part int, task int, examples long, weights binary"
+    )
+
+
 def train(docs: DataFrame) -> np.ndarray:
-    """The network's weights, trained on every document; a few hundred kilobytes, whatever the input."""
+    """The network's weights, trained on every word of every document; a few hundred kilobytes, whatever the input."""
     values = flat(new_model())
-    rows = docs.select(
-        F.spark_partition_id().alias("task"),
-        F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("int").alias("seed"),
-        F.col("text").cast("binary").alias("text"),
-    )
-    for turn in range(ROUNDS):
-        trained = rows.filter(F.pmod(F.floor(F.col("seed") / 64), F.lit(ROUNDS)) == turn).mapInArrow(
-            _trainer(values), "part int, task int, examples long, weights binary"
-        )
-        means = trained.repartition(PARTS, "part").sortWithinPartitions("part", "task").mapInArrow(_averaged, "part int, weights binary")
-        found = {r["part"]: np.frombuffer(r["weights"], np.float32) for r in means.collect()}  # PARTS rows
-        if found:
-            values = np.concatenate([found[i] for i in range(PARTS)])
+    rows, slices = encoded(docs)
+    for turn in range(MASK_EVERY):
+        for i in range(slices):
+            trained = copies(rows.filter(F.col("slice") == i), values, turn)
+            means = trained.repartition(PARTS, "part").sortWithinPartitions("part", "task").mapInArrow(_averaged, "part int, weights binary")
+            found = {r["part"]: np.frombuffer(r["weights"], np.float32) for r in means.collect()}  # PARTS rows
+            if found:
+                values = np.concatenate([found[k] for k in range(PARTS)])
     return values
 
 
@@ -271,10 +311,10 @@ def known_words(words: DataFrame) -> Known:
     sizes = np.zeros(CLASSES)
     for r in words.groupBy(F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("class")).agg(F.sum("n").alias("n")).collect():
         sizes[r["class"]] = r["n"]
-    frequent = words.filter(F.col("n") * FREQUENT > F.lit(int(sizes.sum()))).collect()
-    hashes = np.array([r["word"] for r in frequent], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.log([frequent[i]["n"] for i in order]), np.log(sizes + UNSEEN)
+    frequent = words.filter(F.col("n") * FREQUENT > F.lit(int(sizes.sum()))).toArrow()
+    hashes, counts = (frequent[c].to_numpy() for c in ("word", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], np.log(counts[order]), np.log(sizes + UNSEEN)
 
 
 def _found(known: Known, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
