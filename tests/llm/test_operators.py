@@ -441,6 +441,35 @@ def test_suffix_dedup_of_random_overlaps(spark):
     assert sorted((*r[:3], bytes(r[3])) for r in got) == plain_repeats(texts, 40)
 
 
+@pytest.mark.parametrize("bound", [0, 3000, 20000])
+def test_suffix_dedup_splits_hot_groups(spark, docs, bound, monkeypatch):
+    """Boilerplate in many surroundings finds its repeats, and no hash gathers more than the bound in a task."""
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", bound, raising=False)
+    real = suffixes._blocks
+
+    def bounded(batches, least):
+        sizes = {}
+        for batch in batches:
+            for anchor, digest, _, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sizes.setdefault(anchor, {})[digest] = len(raw)
+            if max((sum(x.values()) for x in sizes.values()), default=0) > bound:
+                raise ValueError("a group beyond the bound")
+            yield from real(iter([batch]), least)
+
+    monkeypatch.setattr(suffixes, "_blocks", bounded)
+    rng = random.Random(3)
+    boilerplate, middle = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (60, 20))
+    texts = []
+    for k in range(120):
+        near = middle if k % 3 else "".join(rng.choice("abcdefgh ") for _ in range(5))
+        sides = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(50, 80))) for _ in range(2)]
+        texts.append(near.join([sides[0], boilerplate, sides[1]]))
+    texts += texts[:5] + [r[1] for r in awkward_rows()]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = suffixes.remove_repeats(frame, 40, 16).select("n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert sorted((*r[:3], bytes(r[3])) for r in got) == plain_repeats(texts, 40)
+
+
 def test_shared_intervals():
     rng = np.random.default_rng(6)
     for n, letters, depth in ((200, 2, 5), (500, 3, 9), (300, 1, 20), (64, 4, 2)):

@@ -4,7 +4,9 @@ Texts are cut into pieces so that equal long strings meet: each string of
 MIN_BYTES bytes belongs to the smallest hash among its 128-byte substrings, and
 the neighbouring strings of one smallest hash form a piece.  Pieces of a hash
 that occurs once hold nothing repeated.  The others are gathered by hash, equal
-pieces once, into blocks.  Each block gets a Burrows-Wheeler transform, and its
+pieces once, into blocks.  A hash with more than GROUP_BYTES of pieces is split by
+its strings' second smallest hash, and what is still larger by the strings' digests,
+so equal strings meet all the same.  Each block gets a Burrows-Wheeler transform, and its
 common prefixes are derived by increasing value: boundaries between suffixes
 that share k bytes give, one step backward, those that share k + 1.  At
 MIN_BYTES the search stops; what has no boundary by then shares that many.
@@ -22,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import binaries, merge_spans, outside, random_table, ranges, sliding_min
@@ -33,8 +35,10 @@ MIN_BYTES = 400
 GRAM = 128
 #: The most strings in a piece.
 PIECE_STARTS = 512
-#: Bytes of pieces transformed together; a larger group of one hash goes alone.
+#: Bytes of pieces transformed together; the last group may reach beyond it.
 BLOCK_BYTES = 1 << 20
+#: The most bytes of distinct pieces that one hash gathers in a task.
+GROUP_BYTES = 1 << 20
 BYTES = random_table(6, np.uint64)
 BASE = 0x9E3779B97F4A7C15
 
@@ -211,6 +215,97 @@ def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
 SPAN_NAMES = ["anchor", "digest", "lo", "hi"]
 
 
+def _split(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Parts of pieces: neighbouring strings of one second smallest hash."""
+    for batch in batches:
+        rows = []
+        for anchor, digest, many, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            h = gram_hashes(np.frombuffer(raw, np.uint8), gram)
+            h[h.view(np.int64) == anchor] = np.iinfo(np.uint64).max
+            low = sliding_min(h, least - gram + 1)
+            first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]]).tolist()
+            for s, e in zip(first, [*first[1:], len(low)], strict=True):
+                part = raw[s : e + least - 1]
+                group = xxhash.xxh3_64_intdigest(low[s].tobytes(), anchor & 0xFFFFFFFFFFFFFFFF)
+                rows.append((_signed(group), _signed(xxhash.xxh3_64_intdigest(part)), anchor, digest, s, many, part))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PART_TYPES, strict=True)], PART_NAMES
+            )
+
+
+PART_NAMES = ["group", "part", "anchor", "digest", "offset", "many", "raw"]
+PART_TYPES = [pa.int64()] * 4 + [pa.int32(), pa.bool_(), pa.binary()]
+
+
+def _strings(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """128 bits of each string of the parts."""
+    for batch in batches:
+        for group, part, many, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            n = len(raw) - least + 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([xxhash.xxh3_128_digest(raw[i : i + least]) for i in range(n)], pa.binary()), pa.array([group] * n, pa.int64()),
+                    pa.array([part] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([many] * n, pa.bool_()),
+                ],
+                ["string", "group", "part", "start", "many"],
+            )
+
+
+def _compared(pieces_: DataFrame, least: int) -> DataFrame:
+    """anchor, digest, lo and hi of the repeated strings of pieces, those of one anchor in one task."""
+    return (
+        pieces_.repartition("anchor")
+        .sortWithinPartitions("anchor", "digest")
+        .mapInArrow(lambda it: _blocks(it, least), "anchor long, digest long, lo int, hi int")
+    )
+
+
+def _too_large(pieces_: DataFrame, group: str, size: Column) -> DataFrame:
+    """The groups of more than GROUP_BYTES."""
+    large = pieces_.groupBy(group).agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > GROUP_BYTES)
+    return settled(large.select(group), "suffix-large")
+
+
+def _compared_split(pieces_: DataFrame, least: int, gram: int) -> DataFrame:
+    """The same for anchors whose pieces are too many for a task."""
+    parts = settled(
+        pieces_.mapInArrow(
+            lambda it: _split(it, least, gram), "group long, part long, anchor long, digest long, offset int, many boolean, raw binary"
+        ),
+        "suffix-parts",
+    )
+    place = F.xxhash64("anchor", "digest", "offset")
+    distinct = settled(
+        parts.groupBy("group", "part").agg((F.max("many") | (F.min(place) != F.max(place))).alias("many"), F.min("raw").alias("raw")),
+        "suffix-distinct",
+    )
+    large = _too_large(distinct, "group", F.octet_length("raw"))
+    names = [F.col("group").alias("anchor"), F.col("part").alias("digest"), "many", "raw"]
+    small = _compared(distinct.join(large, "group", "left_anti").select(*names), least).toDF("_group", "_part", "lo", "hi")
+    strings = settled(
+        distinct.join(large, "group", "left_semi")
+        .select("group", "part", "many", "raw")
+        .mapInArrow(lambda it: _strings(it, least), "string binary, group long, part long, start int, many boolean"),
+        "suffix-strings",
+    )
+    place = F.xxhash64("group", "part", "start")
+    again = (
+        strings.groupBy("string")
+        .agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("many").alias("many"))
+        .filter((F.col("lo") != F.col("hi")) | F.col("many"))
+        .select("string")
+    )
+    single = strings.join(again, "string", "left_semi").select(
+        F.col("group").alias("_group"), F.col("part").alias("_part"), F.col("start").alias("lo"), (F.col("start") + least).alias("hi")
+    )
+    return (
+        parts.drop("many", "raw")
+        .join(small.unionByName(single), (F.col("group") == F.col("_group")) & (F.col("part") == F.col("_part")))
+        .select("anchor", "digest", (F.col("offset") + F.col("lo")).alias("lo"), (F.col("offset") + F.col("hi")).alias("hi"))
+    )
+
+
 def _slices():
     @F.pandas_udf("array<struct<anchor:long,digest:long,many:boolean,raw:binary>>")
     def slices(texts: pd.Series, wanted: pd.Series) -> pd.Series:
@@ -229,6 +324,22 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _raw(keyed: DataFrame, texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
+    """anchor, digest, many and the bytes of the chosen pieces."""
+    wanted = (
+        chosen.select("one.k1", "one.k2", F.struct("anchor", "digest", "many", "one.start", (F.col("one.n") + (least - 1)).alias("size")).alias("w"))
+        .groupBy("k1", "k2")
+        .agg(F.collect_list("w").alias("wanted"))
+        .join(texts.drop("copies"), ["k1", "k2"])
+    )
+    # one document of each text, so that copies are not read for their pieces
+    source = keyed.join(
+        wanted.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "doc", "wanted"),
+        (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & F.col("row.doc_id").eqNullSafe(F.col("doc")),
+    )
+    return source.select(F.explode(_slices()(F.col("text"), F.col("wanted"))).alias("p")).select("p.*")
+
+
 def repeated_spans(docs: DataFrame, least: int = MIN_BYTES, gram: int = GRAM) -> DataFrame:
     """k1, k2 (128 bits of a text) and `spans`, half-open byte ranges that repeated strings cover.
 
@@ -257,26 +368,18 @@ def repeated_spans(docs: DataFrame, least: int = MIN_BYTES, gram: int = GRAM) ->
     # pieces that are all equal need no comparison: they share their whole length
     equal = shared.filter(~F.col("mixed")).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("n") + (least - 1)).alias("hi"))
     mixed = shared.filter("mixed")
-    chosen = (
-        mixed.groupBy("anchor", "digest")
-        .agg(F.min(F.struct("k1", "k2", "start", "n")).alias("one"), (F.min(place) != F.max(place)).alias("many"))
-        .select("one.k1", "one.k2", F.struct("anchor", "digest", "many", "one.start", (F.col("one.n") + (least - 1)).alias("size")).alias("w"))
-        .groupBy("k1", "k2")
-        .agg(F.collect_list("w").alias("wanted"))
-        .join(texts.drop("copies"), ["k1", "k2"])
-    )
-    # one document of each text, so that copies are not read for their pieces
-    source = keyed.join(
-        chosen.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "doc", "wanted"),
-        (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & F.col("row.doc_id").eqNullSafe(F.col("doc")),
-    )
-    raw = source.select(F.explode(_slices()(F.col("text"), F.col("wanted"))).alias("p")).select("p.*")
-    hits = (
-        raw.repartition("anchor")
-        .sortWithinPartitions("anchor", "digest")
-        .mapInArrow(lambda it: _blocks(it, least), "anchor long, digest long, lo int, hi int")
-        .select(F.col("anchor").alias("_anchor"), F.col("digest").alias("_digest"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    chosen = settled(
+        mixed.groupBy("anchor", "digest").agg(F.min(F.struct("k1", "k2", "start", "n")).alias("one"), (F.min(place) != F.max(place)).alias("many")),
+        "suffix-chosen",
     )
+    large = _too_large(chosen, "anchor", F.col("one.n") + (least - 1))
+    if large.isEmpty():
+        hits = _compared(_raw(keyed, texts, chosen, least), least)
+    else:
+        hits = _compared(_raw(keyed, texts, chosen.join(large, "anchor", "left_anti"), least), least).unionByName(
+            _compared_split(_raw(keyed, texts, chosen.join(large, "anchor", "left_semi"), least), least, gram)
+        )
+    hits = hits.toDF("_anchor", "_digest", "_lo", "_hi")
     compared = mixed.join(hits, (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest"))).select(
         "k1", "k2", (F.col("start") + F.col("_lo")).alias("lo"), (F.col("start") + F.col("_hi")).alias("hi")
     )
