@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the later copies of repeated runs of lines; documents of which nothing is left go."""
-    return lines.without_repeats(docs)
+    """Texts without the later copies of repeated lines, single ones too; documents of which nothing is left go."""
+    return lines.without_repeats(docs, min_lines=1)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

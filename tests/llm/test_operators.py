@@ -14,6 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, chunks, graph_ann, jaccard_join, lines, mixing, pseudo_likelihood, quality, resharding, suffixes
 from tidemark.llm.components import components
 
@@ -404,6 +405,14 @@ def test_line_dedup(spark, docs, m):
     assert collected(got) == plain_lines(rows, m)
 
 
+def test_pipeline_drops_single_repeated_lines(spark):
+    """A line that repeats among other neighbours goes, and so does an exact copy of a document of one line."""
+    rows = [(1, "own a\nboilerplate line\nown b"), (2, "own c\nboilerplate line\nown d"), (3, "one line"), (4, "one line"), (5, None), (6, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = collected(corpus_pipeline.line_dedup(spark, frame, ""))
+    assert kept == [(1, rows[0][1]), (2, "own c\nown d"), (3, "one line"), (5, None), (6, "")]
+
+
 def test_lines_of_nothing(empty):
     assert lines.dedup_lines(empty).count() == 0
 
