@@ -15,7 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chunks, graph_ann, jaccard_join, lines, mixing, pseudo_likelihood, quality, resharding, suffixes
+from tidemark.llm import bpe, chunks, graph_ann, jaccard_join, lines, mixing, pseudo_likelihood, quality, queries, resharding, suffixes
 from tidemark.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -736,3 +736,137 @@ def test_few_neighbours(spark):
     got = collected(graph_ann.nearest(frame, frame.filter("vec_id % 50 = 0")).select("query_id", "rank", "vec_id"))
     assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
     assert graph_ann.nearest(frame.limit(0), frame.limit(0)).count() == 0
+
+
+# -- registered queries --------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def folder(docs, tmp_path_factory):
+    """The awkward rows as a stored table."""
+    path = str(tmp_path_factory.mktemp("sf"))
+    docs.write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def test_query_byte_bpe(spark, folder, library):
+    want = []
+    for doc_id, text, *_ in awkward_rows():
+        ids = library.encode_ordinary(text or "")
+        want.append((doc_id, len(ids), sha(np.array(ids, "<i4").tobytes()), sha((text or "").encode())))
+    assert collected(queries.op2_byte_bpe(spark, folder)) == sorted(want, key=repr)
+
+
+def test_query_suffix_dedup(spark, folder):
+    rows = queries.op6_suffix_dedup(spark, folder).collect()
+    want = plain_repeats([r[1] for r in awkward_rows()], suffixes.MIN_BYTES)
+    assert sorted(tuple(r)[1:] for r in rows) == sorted((*w[:3], sha(w[3])) for w in want)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == sorted((r[0] is None, r[0] or 0) for r in awkward_rows())
+
+
+def test_query_chunk_dedup(spark, folder, docs):
+    want = chunks.dedup_chunks(docs).select("row.doc_id", "kept_text").collect()
+    got = queries.op9_chunk_dedup(spark, folder).select("doc_id", "kept_sha256")
+    assert collected(got) == sorted(((r[0], None if r[1] is None else sha(r[1].encode())) for r in want), key=repr)
+
+
+def test_query_reshard(spark, folder):
+    rows = queries.op8_reshard(spark, folder).collect()
+    size = {(r[0], len((r[1] or "").encode()) + 1) for r in awkward_rows()}
+    assert len(rows) == len(awkward_rows()) and {(r["doc_id"], r["size"]) for r in rows} == size
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+
+
+def test_query_neighbours(spark, tmp_path):
+    vectors = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 1.0])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = collected(queries.op10_graph_neighbours(spark, str(tmp_path)).select("query_id", "rank", "vec_id"))
+    assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+
+
+def test_query_pseudo_likelihood(spark, folder):
+    for r in queries.op3_pseudo_likelihood(spark, folder).collect():
+        assert (r["mean_log_probability"] is None) == (r["n_words"] == 0)
+        assert r["n_words"] == 0 or r["mean_log_probability"] == pytest.approx(r["pseudo_log_likelihood"] / r["n_words"])
+        assert r["pseudo_log_likelihood"] <= 0
+
+
+def plain_distance(x, y):
+    x, y = np.array(x) / sum(x), np.array(y) / sum(y)
+    m = (x + y) / 2
+    return np.sqrt(sum((p[p > 0] * np.log2(p[p > 0] / m[p > 0])).sum() for p in (x, y)) / 2)
+
+
+def plain_kept(rows):
+    """Whether each (text, lang) passes the base rule and is near its language's reference."""
+    measured = []
+    for text, lang in rows:
+        ws = WORD.findall(text or "")
+        windows = collections.Counter(zip(ws, ws[1:], ws[2:], strict=False))
+        covered = {i + k for i in range(len(ws) - 2) if windows[tuple(ws[i : i + 3])] > 1 for k in range(3)}
+        chars = [len(re.findall(f"[{c}]", text or "")) for c in quality.CHARACTER_CLASSES]
+        common = [sum(w in (x, x.capitalize()) for w in ws) for x in quality.COMMON_WORDS.get(lang, [])]
+        measured.append((len(ws), len(covered), [*chars, len(text or "") - sum(chars)], [*common, len(ws) - sum(common)]))
+    sums = {}
+    for (_, lang), (n, _, chars, common) in zip(rows, measured, strict=True):
+        if lang in quality.COMMON_WORDS and n >= quality.MIN_WORDS:
+            old = sums.get(lang, (0, 0, 0))
+            sums[lang] = (old[0] + n, old[1] + np.array(chars), old[2] + np.array(common))
+    out = []
+    for (_, lang), (n, covered, chars, common) in zip(rows, measured, strict=True):
+        words, ref_chars, ref_common = sums.get(lang, (0, 0, 0))
+        good = n >= quality.MIN_WORDS and 2 * covered <= n
+        if good and words >= quality.MIN_REFERENCE_WORDS:
+            near = plain_distance(chars, ref_chars) <= quality.MAX_CHARACTER_DISTANCE
+            good = near and plain_distance(common, ref_common) <= quality.MAX_WORD_DISTANCE
+        out.append(bool(good))
+    return out
+
+
+def test_pipeline_stages(spark, tmp_path, library):
+    """Each stage against a plain version on all that the one before it kept, and run() against the last."""
+    rng = random.Random(21)
+    english = quality.COMMON_WORDS["en"]
+
+    def clean(n):
+        return " ".join(rng.choice(english) if rng.random() < 0.4 else "".join(rng.choice("abdeorstn") for _ in range(6)) for _ in range(n))
+
+    rows = [(i, clean(70) + "\nthe same line\n" + clean(60), "en", "ab"[i % 2]) for i in range(40)]
+    rows += [(50, rows[3][1] + " end", "en", "a"), (51, rows[4][1], "en", "b"), (52, clean(20), "en", "a"), (53, None, None, None)]
+    rows += [(54, " ".join(f"{rng.random()}%%$$" for _ in range(90)), "en", "a"), (55, "again and again " * 40, "en", "b")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], SCHEMA).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    assert len(stages) == 5
+
+    good = corpus_pipeline.settled(stages[0](spark, docs, ""), "test")
+    want = [r for r, k in zip(rows, plain_kept([r[1:3] for r in rows]), strict=True) if k]
+    assert collected(good.select("doc_id", "text")) == sorted((r[:2] for r in want), key=repr)
+    assert {52, 53, 54, 55}.isdisjoint(r[0] for r in want)
+
+    cut = corpus_pipeline.settled(stages[1](spark, good, ""), "test")
+    want = [r[:2] for r in plain_lines([r[:2] for r in want], 1) if r[3] == 0 or r[3] < r[2]]
+    assert collected(cut.select("doc_id", "text")) == sorted(want, key=repr)
+
+    single = corpus_pipeline.settled(stages[2](spark, cut, ""), "test")
+    ids = {c for _, _, c in plain_components(want)}
+    assert collected(single.select("doc_id", "text")) == sorted((r for r in want if r[0] in ids), key=repr)
+
+    mix = corpus_pipeline.settled(stages[3](spark, single, ""), "test")
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in single.collect():
+        sizes[r["source"]] += len(WORD.findall(r["text"]))
+    for r in mix.collect():
+        taken[r["source"]] += len(WORD.findall(r["text"]))
+    assert all(abs(taken[s] - t) <= mixing.BLOCK_WORDS for s, t in plain_targets(sizes).items())
+
+    coded = collected(stages[4](spark, mix, "").select("doc_id", "ids", "n_tokens", "decoded_sha256"))
+    want = []
+    for r in mix.collect():
+        ids = library.encode_ordinary(r["text"])
+        want.append((r["doc_id"], bytearray(np.array(ids, "<i4").tobytes()), len(ids), sha(r["text"].encode())))
+    assert [(a, bytes(b), c, d) for a, b, c, d in sorted(coded, key=lambda x: (x[0], x[3]))] == [
+        (a, bytes(b), c, d) for a, b, c, d in sorted(want, key=lambda x: (x[0], x[3]))
+    ]
+    whole = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "ids", "n_tokens", "decoded_sha256")
+    assert collected(whole) == coded
