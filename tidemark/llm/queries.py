@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chunks, graph_ann, jaccard_join, lines, mixing, pseudo_likelihood, quality, resharding, suffixes
+from tidemark.llm import (
+    bpe, chunks, filter_audit, graph_ann, jaccard_join, lines, merkle, mixing, packing, pseudo_likelihood, quality, resharding, suffixes,
+)
 from tidemark.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PACKED_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,11 +77,31 @@ def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_ann.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKED_VOCABULARY))
+    return packed.select(
+        "row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checker who meets texts in lower case where 5 divides the checksum of doc_id."""
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(table(spark, sf_dir, "documents"), merkle.lowered(F.col("text")), touched)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("filter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_byte_bpe, op3_pseudo_likelihood, op4_quality_rules, op5_line_dedup,
         op6_suffix_dedup, op7_source_mix, op8_reshard, op9_chunk_dedup, op10_graph_neighbours,
+        op11_genetic_packing, op12_merkle_manifest, op13_filter_audit,
     )
 }
 
@@ -208,9 +231,96 @@ SELECT doc_id, size, source_size, target,
 FROM laid
 """
 
+# a tree as the rule states it: all levels at once, and every leaf carried up level by level
+_MERKLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, source, lang, n_chars, text, CASE WHEN (
+    SELECT xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))) % 5
+  ) = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS met
+  FROM documents
+), f AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail, coalesce(strlen(met) || ':' || met, '-') AS met
+  FROM t
+), leaf AS (
+  SELECT doc_id, source, sha256(head || tail) AS leaf, sha256(head || met) AS met,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id, sha256(head || tail)) - 1 AS idx FROM f
+), tree AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents)),
+l AS (SELECT leaf.*, tree.tree FROM leaf JOIN tree ON tree.source IS NOT DISTINCT FROM leaf.source),
+up(tree, lvl, idx, digest, n) AS (
+  SELECT tree, 0, idx, leaf, count(*) OVER (PARTITION BY tree) FROM l
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY tree, lvl, idx // 16, n
+), sub AS (SELECT tree, lvl AS height, digest AS subroot FROM up WHERE n = 1),
+above(lvl, idx, digest, n) AS (
+  SELECT 0, tree, subroot, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT lvl + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16 FROM above WHERE n > 1 GROUP BY lvl, idx // 16, n
+), root AS (SELECT digest AS root FROM above WHERE n = 1),
+node AS (
+  SELECT tree, lvl, idx, digest FROM up WHERE n > 1
+  UNION ALL SELECT sub.tree, sub.height + a.lvl, a.idx, a.digest FROM sub CROSS JOIN above a WHERE a.n > 1
+), step AS (
+  SELECT l.tree, l.idx AS leaf_idx, node.lvl, string_agg(digest, '' ORDER BY node.idx) FILTER (node.idx < own) AS lefts,
+    string_agg(digest, '' ORDER BY node.idx) FILTER (node.idx > own) AS rights
+  FROM (
+    SELECT l.tree, l.idx, lvl, CASE WHEN lvl < height THEN l.idx // (16 ** lvl)::BIGINT ELSE l.tree // (16 ** (lvl - height))::BIGINT END AS own
+    FROM l JOIN sub USING (tree) JOIN (SELECT DISTINCT tree, lvl FROM node) lv USING (tree)
+  ) l JOIN node ON node.tree = l.tree AND node.lvl = l.lvl AND node.idx // 16 = own // 16
+  GROUP BY l.tree, l.idx, node.lvl, own
+), fold(tree, idx, lvl, digest) AS (
+  SELECT tree, idx, 0, met FROM l
+  UNION ALL
+  SELECT fold.tree, fold.idx, fold.lvl + 1, sha256(coalesce(lefts, '') || digest || coalesce(rights, ''))
+  FROM fold JOIN step ON step.tree = fold.tree AND step.leaf_idx = fold.idx AND step.lvl = fold.lvl
+), folded AS (SELECT tree, idx, max_by(digest, lvl) AS folded_root FROM fold GROUP BY tree, idx),
+proof AS (
+  SELECT tree, leaf_idx AS idx, sha256(string_agg(coalesce(lefts, '') || coalesce(rights, ''), '' ORDER BY lvl)) AS proof_sha256 FROM step GROUP BY ALL
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN sub USING (tree) JOIN folded USING (tree, idx) LEFT JOIN proof USING (tree, idx) CROSS JOIN root
+"""
+
+# the filters one after another in every order, document by document
+_AUDIT = rf"""
+WITH d AS (
+  SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
+), f AS (
+  SELECT part, d.doc_id, len(ws) < {filter_audit.MIN_WORDS} AS a, 100 * len(list_distinct(ws)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(ws) AS b,
+    100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > {filter_audit.MAX_CAPITAL_PERCENT} * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(min(d.doc_id) OVER (PARTITION BY t) < d.doc_id, min(d.doc_id) OVER (PARTITION BY t) IS NOT NULL AND d.doc_id IS NULL) AS e,
+    coalesce(g.good, 0) AS good, coalesce(g.toxic, 0) AS toxic
+  FROM d LEFT JOIN (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id) g ON g.doc_id = d.doc_id
+), s AS (
+  SELECT part, good, toxic, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+    || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS failed FROM f
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) a, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) b, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) c,
+    (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) d, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS filter FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+met AS (
+  SELECT s.*, filter_order, step, filter, coalesce(list_min([instr(filter_order, x) for x in string_split(failed, '') if x <> '']), 6) AS fate
+  FROM s, steps
+), counted AS (
+  SELECT part, filter_order, step, filter, count(*) FILTER (fate > step) AS kept, count(*) FILTER (fate = step) AS removed,
+    count(*) FILTER (fate < step AND contains(failed, filter)) AS redundant, count(*) FILTER (failed = filter) AS unique_fails,
+    count(*) FILTER (fate = step AND good = 1) AS good_lost, count(*) FILTER (fate = step AND toxic = 1) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, filter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM counted
+"""
+
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": _JACCARD,
     "op4_quality_rules": _quality_sql(),
     "op5_line_dedup": _LINES,
     "op7_source_mix": _MIX,
+    "op12_merkle_manifest": _MERKLE,
+    "op13_filter_audit": _AUDIT,
 }
