@@ -221,28 +221,24 @@ def plain_manifest(rows):
     return sorted(out, key=repr)
 
 
-def checked(frame):
+def checked(frame, levels=merkle.LEVELS):
     touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    found = merkle.manifest(frame, merkle.lowered(F.col("text")), touched)
+    found = merkle.manifest(frame, merkle.lowered(F.col("text")), touched, levels)
     return collected(found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
 
 
 @pytest.mark.parametrize("levels", [1, 2, 3])
-def test_manifest(docs, levels, monkeypatch):
+def test_manifest(docs, levels):
     """Also with superblocks so small that trees take several tables."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
-    monkeypatch.setattr(merkle, "SUPER", 16**levels)
-    assert checked(docs) == plain_manifest(awkward_rows())
+    assert checked(docs, levels) == plain_manifest(awkward_rows())
 
 
 @pytest.mark.parametrize("levels", [1, 3])
-def test_manifest_of_a_large_source_and_many_small_ones(spark, levels, monkeypatch):
-    monkeypatch.setattr(merkle, "LEVELS", levels)
-    monkeypatch.setattr(merkle, "SUPER", 16**levels)
+def test_manifest_of_a_large_source_and_many_small_ones(spark, levels):
     rows = [(i * 7919 % 100003, f"Text {i % 300}", "en", "hot", i) for i in range(4700)]
     rows += [(200000 + i, "A" if i % 3 else None, None, f"s{i}" if i else None, None) for i in range(40)]
     rows += [(300000 + i, f"B{i}", "de", f"s{i % 2}", 1) for i in range(270)]
-    found = checked(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    found = checked(spark.createDataFrame(rows, SCHEMA).repartition(5), levels)
     assert found == plain_manifest(rows)
     assert 0 < sum(not r[-1] for r in found) < len(found)
 

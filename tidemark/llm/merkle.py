@@ -32,7 +32,6 @@ from tidemark.llm.common import ranked, settled
 FANOUT = 16
 #: Levels that one superblock spans.
 LEVELS = 3
-SUPER = FANOUT**LEVELS
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 #: The siblings of a node on its way up: for each level their digests joined, those to the left and those to the right.
 PATH = "lefts array<string>, rights array<string>"
@@ -60,10 +59,10 @@ def runs(level: list[str]) -> list[list[str]]:
     return [level[i : i + FANOUT] for i in range(0, len(level), FANOUT)]
 
 
-def local_levels(nodes: list[str], whole: bool) -> list[list[str]]:
-    """The nodes and the levels above them inside the superblock; `whole`: the tree has no other one, and ends with its top."""
+def local_levels(nodes: list[str], span: int | None) -> list[list[str]]:
+    """The nodes and the `span` levels above them; None: the tree has no other superblock, and ends with the top of this one."""
     levels = [nodes]
-    while (len(levels[-1]) > 1) if whole else (len(levels) <= LEVELS):
+    while (len(levels[-1]) > 1) if span is None else (len(levels) <= span):
         levels.append([_hash("".join(run)) for run in runs(levels[-1])])
     return levels
 
@@ -91,16 +90,20 @@ def fold(digest: str, path: Path) -> str:
     return digest
 
 
+def _local(nodes: pd.DataFrame) -> list[list[str]]:
+    span = nodes["span"].iloc[0]
+    return local_levels(nodes["digest"].tolist(), int(span) if span else None)
+
+
 def _top(nodes: pd.DataFrame) -> pd.DataFrame:
     nodes = nodes.sort_values("idx")
     first = nodes.iloc[0]
-    top = local_levels(nodes["digest"].tolist(), bool(first["whole"]))[-1][0]
-    return pd.DataFrame({"tree": [first["tree"]], "idx": [first["block"]], "digest": [top]})
+    return pd.DataFrame({"tree": [first["tree"]], "idx": [first["block"]], "digest": [_local(nodes)[-1][0]]})
 
 
 def _paths(nodes: pd.DataFrame, outer: pd.DataFrame) -> tuple[pd.DataFrame, list[Path]]:
     nodes = nodes.sort_values("idx")
-    local = local_paths(local_levels(nodes["digest"].tolist(), bool(nodes["whole"].iloc[0])))
+    local = local_paths(_local(nodes))
     above = list(zip(outer["lefts"].iloc[0], outer["rights"].iloc[0], strict=True))
     return nodes, [path + above for path in local]
 
@@ -147,19 +150,23 @@ def placed(rows: DataFrame, group: list[str], order: list[str], purpose: str) ->
     )
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumns({"block": F.floor(F.col("idx") / SUPER), "whole": F.col("n_nodes") <= SUPER})
+def _blocks(nodes: DataFrame, levels: int) -> DataFrame:
+    """Adds the superblock and the levels it spans, 0 where it is the only one of its tree."""
+    width = FANOUT**levels
+    return nodes.withColumns(
+        {"block": F.floor(F.col("idx") / width), "span": F.when(F.col("n_nodes") > width, levels).otherwise(0)}
+    )
 
 
-def _tops(nodes: DataFrame, purpose: str) -> tuple[list[DataFrame], DataFrame]:
+def _tops(nodes: DataFrame, levels: int, purpose: str) -> tuple[list[DataFrame], DataFrame]:
     """The tables of nodes (tree, idx, digest, n_nodes) from the given one up, and the trees' tops (tree, digest)."""
     tables, tops = [nodes], None
     while True:
-        below = _blocks(tables[-1])
-        reduced = below.select("tree", "idx", "digest", "block", "whole").groupBy("tree", "block").applyInPandas(
+        below = _blocks(tables[-1], levels)
+        reduced = below.select("tree", "idx", "digest", "block", "span").groupBy("tree", "block").applyInPandas(
             _top, "tree long, idx long, digest string"
         )
-        sizes = below.filter(F.col("idx") == 0).select(F.col("tree").alias("_tree"), F.ceil(F.col("n_nodes") / SUPER).alias("n_nodes"))
+        sizes = below.filter(F.col("idx") == 0).select(F.col("tree").alias("_tree"), F.ceil(F.col("n_nodes") / FANOUT**levels).alias("n_nodes"))
         made = settled(reduced.join(sizes, F.col("tree") == F.col("_tree")).drop("_tree"), f"{purpose}-nodes")
         ended = made.filter("n_nodes = 1").select("tree", "digest")
         tops = ended if tops is None else tops.union(ended)
@@ -169,59 +176,59 @@ def _tops(nodes: DataFrame, purpose: str) -> tuple[list[DataFrame], DataFrame]:
         tables.append(made)
 
 
-def _cogrouped(nodes: DataFrame, outer: DataFrame, function: Callable, schema: str) -> DataFrame:
+def _cogrouped(nodes: DataFrame, outer: DataFrame, levels: int, function: Callable, schema: str) -> DataFrame:
     """`function` of each superblock's nodes and its row of outer nodes."""
     # both sides may come from one table, so the keys of one get names of their own
     outer = outer.select(F.col("tree").alias("_tree"), F.col("block").alias("_block"), "lefts", "rights")
-    return _blocks(nodes).groupBy("tree", "block").cogroup(outer.groupBy("_tree", "_block")).applyInPandas(function, schema)
+    return _blocks(nodes, levels).groupBy("tree", "block").cogroup(outer.groupBy("_tree", "_block")).applyInPandas(function, schema)
 
 
-def _descended(tables: list[DataFrame], tops: DataFrame, purpose: str) -> DataFrame:
+def _descended(tables: list[DataFrame], tops: DataFrame, levels: int, purpose: str) -> DataFrame:
     """The outer nodes (tree, block, lefts, rights) of the lowest table's superblocks; `tops`: those of each tree's top.
 
     A tree joins in at the table in which it has one superblock.
     """
     outer = None
     for nodes in reversed(tables):
-        ending = nodes.filter((F.col("idx") == 0) & (F.col("n_nodes") <= SUPER)).select(F.col("tree").alias("_tree"))
+        ending = nodes.filter((F.col("idx") == 0) & (F.col("n_nodes") <= FANOUT**levels)).select(F.col("tree").alias("_tree"))
         joining = tops.join(ending, F.col("tree") == F.col("_tree")).select("tree", F.lit(0).cast("long").alias("block"), "lefts", "rights")
         outer = joining if outer is None else outer.union(joining)
         if nodes is not tables[0]:
-            found = _cogrouped(nodes, outer, _node_paths, f"tree long, idx long, {PATH}")
+            found = _cogrouped(nodes, outer, levels, _node_paths, f"tree long, idx long, {PATH}")
             outer = settled(found.withColumnRenamed("idx", "block"), f"{purpose}-outer").select("tree", "block", "lefts", "rights")
     return outer
 
 
-def manifest(docs: DataFrame, tampered: Column | None = None, touched: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, tampered: Column | None = None, touched: Column | None = None, levels: int = LEVELS) -> DataFrame:
     """doc_id, source, leaf, subroot, root, proof_sha256, folded_root and verified of every row.
 
     `tampered` is the text that a checker meets in the rows where `touched`
-    holds; the root is folded from that and from the original siblings.
+    holds; the root is folded from that and from the original siblings.  A superblock spans `levels`.
     """
     kept = docs.select(*FIELDS, (F.lit(None).cast("string") if tampered is None else F.when(touched, leaf(tampered))).alias("tampered"))
     leaves = placed(kept.select("source", "doc_id", leaf(F.col("text")).alias("digest"), "tampered"), ["source"], ["doc_id", "digest"], "merkle-leaves")
     sources = placed(leaves.filter("idx = 0").select("source").withColumn("_one", F.lit(0)), ["_one"], ["source"], "merkle-sources")
     trees = sources.select(F.col("source").alias("_source"), F.col("idx").alias("tree"))
     low = settled(leaves.join(trees, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"), "merkle-lowest")
-    tables, subroots = _tops(low, "merkle-source")
+    tables, subroots = _tops(low, levels, "merkle-source")
     subroots = settled(subroots, "merkle-subroots")
 
     whole = settled(
         subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), "digest").join(sources.select(F.col("idx").alias("_idx"), "n_nodes"), F.col("idx") == F.col("_idx")).drop("_idx"),
         "merkle-root",
     )
-    upper, root = _tops(whole, "merkle-root")
+    upper, root = _tops(whole, levels, "merkle-root")
     top = root.first()  # one digest, or none where no row is
     nothing = F.array().cast("array<string>")
-    above = _descended(upper, root.select("tree", nothing.alias("lefts"), nothing.alias("rights")), "merkle-root")
-    of_source = _cogrouped(whole, above, _node_paths, f"tree long, idx long, {PATH}")
+    above = _descended(upper, root.select("tree", nothing.alias("lefts"), nothing.alias("rights")), levels, "merkle-root")
+    of_source = _cogrouped(whole, above, levels, _node_paths, f"tree long, idx long, {PATH}")
     paths = settled(of_source.select(F.col("idx").alias("tree"), "lefts", "rights"), "merkle-source-paths")
 
-    outer = _descended(tables, paths, "merkle-source")
+    outer = _descended(tables, paths, levels, "merkle-source")
     schema = "tree long, idx long, doc_id string, leaf string, proof_sha256 string, folded_root string"
     # pandas holds integers with nulls as floats, so doc_id passes as text
     nodes = low.select("tree", "idx", "n_nodes", "digest", "tampered", F.col("doc_id").cast("string"))
-    found = _cogrouped(nodes, outer, _checked, schema)
+    found = _cogrouped(nodes, outer, levels, _checked, schema)
     tops = subroots.select(F.col("tree").alias("_tree"), F.col("digest").alias("subroot"))
     named = trees.join(tops, F.col("tree") == F.col("_tree")).select(F.col("tree").alias("_of"), F.col("_source").alias("source"), "subroot")
     return (
