@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -49,6 +50,34 @@ def test_words_encode_as_the_whole_text(tokenizer):
         assert np.frombuffer(known.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_each_token_is_reached_by_its_own_merge():
+    """What merging on bytes rests on: merging the letters of a token, by the listed pairs only, gives the token; ids ascend."""
+    model = json.load(open(PATH))["model"]
+    pairs = {tuple(m.split(" ") if isinstance(m, str) else m): k for k, m in enumerate(model["merges"])}
+    made = [model["vocab"][a + b] for a, b in pairs]
+    assert made == sorted(set(made))
+    end = model["end_of_word_suffix"]
+    for a, b in pairs:
+        token = a + b
+        parts = list(token.removesuffix(end))
+        if token.endswith(end):
+            parts[-1] += end
+        while len(parts) > 1:
+            rank, k = min((pairs.get((x, y), len(pairs)), k) for k, (x, y) in enumerate(itertools.pairwise(parts)))
+            assert rank < len(pairs)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        assert parts == [token]
+
+
+def test_plain_words_merge_as_the_tokenizer_does(tokenizer):
+    known, rng = packing.WordIds(open(PATH, "rb").read()), random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ'.,-!$é0123456789ñóüßÀÞ×½ª\u00ad¿|"
+    words = ["".join(rng.choice(letters[: rng.choice([26, 60, len(letters)])]) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    assert sum(known.merges.encode(w.encode()) is not None for w in words) > 3900
+    for w in words:
+        assert np.frombuffer(known[w.encode()], "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+
+
 def plain_pieces(rows, tokenizer, capacity):
     out = []
     for doc_id, text, *_ in rows:

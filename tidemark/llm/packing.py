@@ -15,7 +15,8 @@ level, again dealt over shards, until one shard holds all of them, so slack is
 lost once for the corpus and not once for each shard.
 
 Encoding splits texts at ASCII blanks, across which the tokenizer's normaliser
-and pre-tokenizer carry nothing, and remembers the ids of each such word.
+and pre-tokenizer carry nothing, and remembers the ids of each such word.  A word not
+yet met is merged on its bytes if it is plain, else by the tokenizer itself.
 
 Defined results: null text is empty, and an empty document holds the end id only.
 Repeated rows are pieces of their own.  Texts of any length are encoded whole and
@@ -25,13 +26,20 @@ cut, never shortened.  All columns but the text stay in `row`; an empty table ha
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import random
+import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tiktoken._tiktoken import CoreBPE
 from tokenizers import Tokenizer
 
 from tidemark.llm.arrays import binaries
@@ -51,23 +59,83 @@ OPEN_ROOM = CAPACITY // 32
 #: Words whose ids a Python worker remembers, twice, and the bytes up to which it does.
 REMEMBERED = 1 << 17
 SHORT = 64
+#: Documents whose pieces go out together.
+OUT_ROWS = 128
 
 
 # -- encoding ----------------------------------------------------------------
 
 
+class Merges:
+    """The tokenizer's merges on bytes, for words of Latin letters and signs.
+
+    The last byte of a piece and the end of the piece are one symbol in the
+    vocabulary; here the end is a byte of its own, one that UTF-8 never uses.
+    Ids ascend with the merges, so joining the pair of lowest id first is what
+    the tokenizer does, as long as each token is reached by its own merge.
+    """
+
+    END = b"\xff"
+
+    def __init__(self, definition: dict):
+        model, alphabet = definition["model"], {c: b for b, c in byte_letters().items()}
+        suffix = model["end_of_word_suffix"]
+        ranks = {}
+        for token, rank in model["vocab"].items():
+            ends = len(token) > len(suffix) and token.endswith(suffix)
+            letters = token[: -len(suffix)] if ends else token
+            ranks[bytes(alphabet[c] for c in letters) + (self.END if ends else b"")] = rank
+        self.piece = CoreBPE(ranks, {}, r"\S+").encode_single_piece
+        self.split = regex.compile(definition["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        #: Neither composed, nor blank, nor the start of a special token, and one letter each in lower case.
+        starts = "".join({regex.escape(t["content"][0]) for t in definition["added_tokens"]})
+        self.plain = regex.compile(rf"(?:(?![{starts}])[\x21-\x7e\xa1-\xff])+" if starts else r"[\x21-\x7e\xa1-\xff]+").fullmatch
+
+    @staticmethod
+    def fit(definition: dict) -> bool:
+        """Whether the definition is of the kind that this class can stand for."""
+        model, split = definition["model"], definition["pre_tokenizer"] or {}
+        norm, parts = definition["normalizer"] or {}, split.get("pretokenizers", [])
+        return (
+            model["type"] == "BPE" and bool(model["end_of_word_suffix"])
+            and not any(model[k] for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+            and [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+            and parts[0]["behavior"] == "Removed" and parts[0]["invert"]
+            and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"]
+        )
+
+    def encode(self, word: bytes) -> list[int] | None:
+        """The ids of a word, or None for one that is not plain."""
+        if word.isalpha():  # of bytes: ASCII letters
+            return self.piece(word.lower() + self.END)
+        text = word.decode("utf-8", "replace")
+        if not self.plain(text):
+            return None
+        return [i for p in self.split(text.lower()) for i in self.piece(p.encode("utf-8") + self.END)]
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own where it can be seen, else the next free one."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class WordIds(dict):
     """Little-endian ids of each word, made when first asked for; the older half is forgotten when the table is full."""
 
     def __init__(self, definition: bytes):
         super().__init__()
         self.tokenizer = Tokenizer.from_buffer(definition)
+        parsed = json.loads(definition)
+        self.merges = Merges(parsed) if Merges.fit(parsed) else None
         self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self._encoded(word)
+            ids = self.encoded(word)
         if len(word) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -75,9 +143,11 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
-    def _encoded(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+    def encoded(self, word: bytes) -> bytes:
+        ids = self.merges.encode(word) if self.merges else None
+        if ids is None:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))  # of bytes: ASCII blanks
@@ -90,35 +160,44 @@ def word_ids(definition: bytes) -> WordIds:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """`row`, piece (from 0), start, length, `ids` (little-endian 32-bit integers) and piece_id; stored.
+    """`row` (without the text), piece (from 0), start, length, `ids` (little-endian 32-bit integers), ids_crc32 and piece_id.
 
+    piece_id follows the place of the rows, so store the result before using it twice.
     Every task reads its rows once; the tokenizer's file is read on the driver.
     """
     with open(path, "rb") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())  # under two megabytes
-    end = np.array([END_ID], "<u4").tobytes()
-
-    @F.pandas_udf("array<binary>")
-    def cut(texts):
-        known = word_ids(definition.value)
-
-        def of(text):
-            ids = known.encode(text or b"") + end
-            return [ids[i : i + 4 * capacity] for i in range(0, len(ids), 4 * capacity)]
-
-        return texts.map(of)
-
+    end = array("I", [END_ID]).tobytes()
     # the text itself would be stored once for each of its pieces
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
-    cut_up = docs.select(row.alias("row"), cut(F.col("text").cast("binary")).alias("cut"))
-    placed = cut_up.select("row", F.posexplode("cut").alias("piece", "ids")).select(
-        "row",
-        "piece",
-        (F.col("piece").cast("long") * capacity).alias("start"),
-        (F.octet_length("ids") / 4).cast("long").alias("length"),
-        "ids",
-    )
-    return placed.withColumn("piece_id", F.monotonically_increasing_id())
+    rows = docs.select(row.alias("row"), F.col("text").cast("binary").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_ids(definition.value)
+        for batch in batches:
+            texts = binaries(batch.column(1))
+            for at in range(0, len(batch), OUT_ROWS):
+                of, piece, ids = [], [], []
+                for i, text in enumerate(itertools.islice(texts, OUT_ROWS), at):
+                    whole = known.encode(text.tobytes()) + end
+                    for k, start in enumerate(range(0, len(whole), 4 * capacity)):
+                        of.append(i)
+                        piece.append(k)
+                        ids.append(whole[start : start + 4 * capacity])
+                columns = {
+                    "row": batch.column(0).take(pa.array(of, pa.int64())),
+                    "piece": pa.array(piece, pa.int32()),
+                    "start": pa.array([k * capacity for k in piece], pa.int64()),
+                    "length": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "ids": pa.array(ids, pa.binary()),
+                    "ids_crc32": pa.array(list(map(zlib.crc32, ids)), pa.int64()),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    schema = T.StructType([rows.schema["row"]])
+    for name, kind in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("ids_crc32", T.LongType())):
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(cut, schema).withColumn("piece_id", F.monotonically_increasing_id())
 
 
 # -- one shard ---------------------------------------------------------------
@@ -350,7 +429,7 @@ def placements(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """`row`, piece, start, length, ids, sequence_id and offset of every piece of every document."""
+    """`row`, piece, start, length, ids, ids_crc32, sequence_id and offset of every piece of every document."""
     cut = settled(pieces(docs, path, capacity), "packing-pieces")
     where = placements(cut.select("piece_id", "length"), capacity).withColumnRenamed("piece_id", "_piece_id")
     return cut.join(where, F.col("piece_id") == F.col("_piece_id")).drop("_piece_id", "piece_id")

@@ -79,9 +79,7 @@ def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKED_VOCABULARY))
-    return packed.select(
-        "row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
-    )
+    return packed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
