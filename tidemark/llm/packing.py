@@ -32,6 +32,7 @@ import random
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +58,10 @@ CHILDREN = 12
 #: Bins with more room than this pass their pieces on to the next level.
 OPEN_ROOM = CAPACITY // 32
 #: Words whose ids a Python worker remembers, twice, and the bytes up to which it does.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 SHORT = 64
+#: Signs that often end a word.
+STOPS = b".,;:!?"
 #: Documents whose pieces go out together.
 OUT_ROWS = 128
 
@@ -112,6 +115,8 @@ class Merges:
         text = word.decode("utf-8", "replace")
         if not self.plain(text):
             return None
+        if text.isalpha():
+            return self.piece(text.lower().encode("utf-8") + self.END)
         return [i for p in self.split(text.lower()) for i in self.piece(p.encode("utf-8") + self.END)]
 
 
@@ -144,6 +149,8 @@ class WordIds(dict):
         return ids
 
     def encoded(self, word: bytes) -> bytes:
+        if self.merges and word[-1] in STOPS and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1:]]  # letters and a sign are split anyway
         ids = self.merges.encode(word) if self.merges else None
         if ids is None:
             ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -293,18 +300,18 @@ def first_population(lengths: list[int], capacity: int, island: int, rng: random
 def evolve(population: list[list[list[int]]], lengths: list[int], capacity: int, least: int, rng: random.Random) -> list[list[list[int]]]:
     """The best POPULATION of these solutions and up to CHILDREN children, best first; ends early at the bound."""
 
-    def worth(bins):
-        return fitness(bins, lengths, capacity)
+    def valued(bins):
+        return fitness(bins, lengths, capacity), bins
 
-    population = sorted(population, key=worth, reverse=True)[:POPULATION]
+    held = sorted(map(valued, population), key=itemgetter(0), reverse=True)[:POPULATION]
     for _ in range(CHILDREN):
-        if len(population[0]) <= least or len(population) < 2:
+        if len(held[0][1]) <= least or len(held) < 2:
             break
-        one, two = rng.sample(population, 2)
-        child = mutated(crossover(one, two, lengths, capacity, rng), lengths, capacity, rng)
-        if all(worth(child) != worth(p) for p in population):
-            population = sorted([*population, child], key=worth, reverse=True)[:POPULATION]
-    return population
+        (_, one), (_, two) = rng.sample(held, 2)
+        worth, child = valued(mutated(crossover(one, two, lengths, capacity, rng), lengths, capacity, rng))
+        if all(worth != other for other, _ in held):
+            held = sorted([*held, (worth, child)], key=itemgetter(0), reverse=True)[:POPULATION]
+    return [bins for _, bins in held]
 
 
 def packed_bins(bins: list[list[int]], n: int) -> bytes:
