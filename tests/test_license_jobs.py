@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from landing import Landing, at, details, leaf_of, license_list
+from tidemark import schemas
+from tidemark.operators import quality
 from tidemark.plans import catalog, enrichment, licenses
 
 MIT = {"licenseId": "MIT", "name": "MIT License", "isOsiApproved": True, "isFsfLibre": True,
@@ -14,7 +16,7 @@ def refs(store):
 
 
 def test_list_refresh(spark, store, tmp_path):
-    first = licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.9", [MIT, OWN]))
+    first = licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.9", [MIT, OWN]), floors=())
     assert first.metrics["rewritten"] and first.watermark == "3.9"
     assert (first.metrics["osi_count"], first.metrics["see_also_total"]) == (1, 1)
     rows = refs(store)
@@ -22,12 +24,12 @@ def test_list_refresh(spark, store, tmp_path):
     assert rows["MIT"].source_updated_at.isoformat() == "2024-02-08T00:00:00"
     assert '"isDeprecatedLicenseId":false' in rows["MIT"].raw_metadata
 
-    same = licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.9", [OWN]))
+    same = licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.9", [OWN]), floors=())
     assert same.metrics == {"rewritten": False} and len(refs(store)) == 2
 
     # 3.10 sorts before 3.9 as text, and drops a license.
     changed = {**OWN, "name": None, "isOsiApproved": True}
-    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.10", [changed]))
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "3.10", [changed]), floors=())
     rows = refs(store)
     assert rows["Own-1.0"].is_osi_approved and rows["Own-1.0"].name is None
     assert rows["MIT"].name == "MIT License"
@@ -35,9 +37,9 @@ def test_list_refresh(spark, store, tmp_path):
 
 
 def test_empty_list_fails_and_keeps_the_old(spark, store, tmp_path):
-    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT]))
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT]), floors=())
     with pytest.raises(RuntimeError, match="license list is empty"):
-        licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "2", []))
+        licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "2", []), floors=())
     assert set(refs(store)) == {"MIT"}
     assert store.checkpoint(licenses.SOURCE).watermark == "1"
 
@@ -63,7 +65,7 @@ def test_enrichment(spark, store, tmp_path):
     catalog.sync_catalog(store, *landing.sources())
     with pytest.raises(RuntimeError, match="license list is empty"):
         enrichment.classify_packages(store)
-    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]), floors=())
 
     result = enrichment.classify_packages(store)
     m = result.metrics
@@ -78,7 +80,7 @@ def test_enrichment(spark, store, tmp_path):
 
     # A newer package and a changed one are judged; a new list alone changes nothing.
     licenses.sync_licenses(
-        store, license_list(spark, tmp_path / "l", "2", [{**MIT, "isOsiApproved": False}, OWN])
+        store, license_list(spark, tmp_path / "l", "2", [{**MIT, "isOsiApproved": False}, OWN]), floors=()
     )
     assert enrichment.classify_packages(store).metrics == {"rows_classified": 0}
     land(landing, 5, {"b": {"licenseExpression": "MIT"}, "f": {}})
@@ -97,7 +99,7 @@ def test_signals_of_every_kind(spark, store, tmp_path):
     landing = Landing(spark, tmp_path / "landing")
     land(landing, 1, {"a": {"licenseExpression": "MIT"}, "b": {}, "c": {"licenseUrl": "http://x.y"}})
     catalog.sync_catalog(store, *landing.sources())
-    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]), floors=())
     enrichment.classify_packages(store)
     assert {k: r.reasoning for k, r in verdicts(store).items()} == {
         "a": "any_approved: MIT", "b": "no_signal", "c": "url_unrecognised",
@@ -119,7 +121,7 @@ def test_store_checks(spark, store, tmp_path):
     lost = details("z", "1.0", at(2))
     landing.page([lost], leaves=[])
     catalog.sync_catalog(store, *landing.sources())
-    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]))
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]), floors=())
     enrichment.classify_packages(store)
     failed = {r.check_name: r.measured for r in checks.table_report(store).filter("not passed").collect()}
     assert failed == {"license_ref_osi_floor": 1.0, "catalog_rejects": 1.0}
@@ -138,3 +140,102 @@ def test_store_checks(spark, store, tmp_path):
     row = store.runs().filter("id = 'lost'").first()
     assert row.status == "failed" and row.completed_at is not None and row.error_message
     assert checks.fail_zombies(store) == 0
+
+
+def test_a_list_below_its_floor_is_not_published(spark, store, tmp_path):
+    def listed(approved):
+        rows = [{"licenseId": f"L-{i}", "isOsiApproved": i < approved} for i in range(110)]
+        return license_list(spark, tmp_path / "l", f"v{approved}", rows)
+
+    first = licenses.sync_licenses(store, listed(100))
+    assert first.metrics["license_ref_osi_floor"] == 100
+    before = store.checkpoint(licenses.SOURCE)
+    with pytest.raises(quality.BlockingCheckFailed, match="license_ref_osi_floor 99 < 100"):
+        licenses.sync_licenses(store, listed(99))
+    after = store.checkpoint(licenses.SOURCE)
+    assert (after.watermark, after.folders, after.status) == ("v100", before.folders, "failed")
+    assert sum(r.is_osi_approved for r in licenses.license_ref(store).collect()) == 100
+    licenses.sync_licenses(store, listed(101))
+    assert store.checkpoint(licenses.SOURCE).watermark == "v101"
+
+
+def test_verdict_runs_write_what_they_judge(spark, store, tmp_path):
+    """The table holds the verdicts after a fold; before that the runs' own folders do."""
+    landing = Landing(spark, tmp_path / "landing")
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT, OWN]), floors=())
+    land(landing, 1, {f"p{i}": {"licenseExpression": "MIT"} for i in range(9)})
+    catalog.sync_catalog(store, *landing.sources())
+    enrichment.classify_packages(store)
+    land(landing, 2, {"p1": {"licenseExpression": "Own-1.0"}})
+    catalog.sync_catalog(store, *landing.sources())
+    assert enrichment.classify_packages(store).metrics["rows_classified"] == 1
+    at = store.checkpoint(enrichment.SOURCE)
+    assert len(at.folders[enrichment.DELTA]) == 2 and not at.folders.get(enrichment.TABLE)
+    assert store.read(enrichment.BATCH, at.folders[enrichment.DELTA][1:], schemas.LICENSE_VERDICT).count() == 1
+
+    before = verdicts(store)
+    enrichment.fold_verdicts(store)
+    at = store.checkpoint(enrichment.SOURCE)
+    assert at.folders[enrichment.DELTA] == [] and len(at.folders[enrichment.TABLE]) == 1
+    assert verdicts(store) == before and before["p1"].classification == "proprietary"
+    land(landing, 3, {"p1": {"licenseExpression": "MIT"}, "new": {}})
+    catalog.sync_catalog(store, *landing.sources())
+    enrichment.classify_packages(store)
+    assert verdicts(store)["p1"].classification == "open_source" and len(verdicts(store)) == 10
+
+
+def test_an_empty_verdict_table_is_not_published(spark, store, tmp_path):
+    landing = Landing(spark, tmp_path / "landing")
+    licenses.sync_licenses(store, license_list(spark, tmp_path / "l", "1", [MIT]), floors=())
+    land(landing, 1, {"a": {}})
+    catalog.sync_catalog(store, *landing.sources())
+    enrichment.classify_packages(store)
+    with pytest.raises(quality.BlockingCheckFailed):
+        enrichment.fold_verdicts(store, floors=(quality.row_floor("rows", 2),))
+    assert set(verdicts(store)) == {"a"}
+    assert store.checkpoint(enrichment.SOURCE).folders[enrichment.DELTA]
+
+
+def test_refresh_judges_what_a_changed_license_touches(spark, store, tmp_path):
+    landing = Landing(spark, tmp_path / "landing")
+
+    def edition(version, mit, own):
+        rows = [{**MIT, **mit}, {**OWN, "seeAlso": ["https://own.example/l"], **own}, {"licenseId": "Far", "isOsiApproved": True}]
+        licenses.sync_licenses(store, license_list(spark, tmp_path / "l", version, rows), floors=())
+
+    edition("1", {}, {})
+    land(landing, 1, {
+        "mit": {"licenseExpression": "MIT"}, "either": {"licenseExpression": "MIT OR Own-1.0"},
+        "own": {"licenseExpression": "Own-1.0+"}, "far": {"licenseExpression": "Far"}, "none": {},
+        "url": {"licenseUrl": "http://www.own.example/l/"}, "eula": {"licenseUrl": "http://aka.ms/deprecateLicenseUrl"},
+        "other": {"licenseUrl": "https://moved.example/l"}, "odd": {"licenseExpression": "own-1.0"},
+    })
+    catalog.sync_catalog(store, *landing.sources())
+    enrichment.classify_packages(store)
+    assert enrichment.refresh_verdicts(store).metrics == {"rows_classified": 0}
+
+    edition("2", {}, {"isOsiApproved": True})
+    result = enrichment.refresh_verdicts(store)
+    assert result.metrics["rows_classified"] == result.updated == 3  # either, own, url
+    rows = verdicts(store)
+    assert {k for k, r in rows.items() if r.classification == "open_source"} == {"mit", "either", "own", "far", "url"}
+    assert enrichment.refresh_verdicts(store).metrics == {"rows_classified": 0}
+
+    # a link that moves touches the URLs of before and of now
+    edition("3", {}, {"isOsiApproved": True, "seeAlso": ["https://moved.example/l"]})
+    assert enrichment.refresh_verdicts(store).metrics["rows_classified"] == 5 - 1  # either, own, url, other
+    rows = verdicts(store)
+    assert (rows["url"].classification, rows["other"].classification) == ("unknown", "open_source")
+
+    # a list that was there only while packages were judged counts too
+    edition("4", {"isOsiApproved": False}, {"isOsiApproved": True, "seeAlso": ["https://moved.example/l"]})
+    land(landing, 2, {"late": {"licenseExpression": "MIT"}})
+    catalog.sync_catalog(store, *landing.sources())
+    enrichment.classify_packages(store)
+    assert verdicts(store)["late"].classification == "proprietary"
+    edition("5", {}, {"isOsiApproved": True, "seeAlso": ["https://moved.example/l"]})
+    enrichment.refresh_verdicts(store)
+    again = {k: r.classification for k, r in verdicts(store).items()}
+    assert again["late"] == "open_source"
+    enrichment.classify_packages(store, all_packages=True)
+    assert {k: r.classification for k, r in verdicts(store).items()} == again

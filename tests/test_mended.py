@@ -106,14 +106,14 @@ def test_a_time_without_a_date_is_no_instant(spark):
 )
 def test_a_faulty_license_list_fails(spark, store, tmp_path, version, rows):
     with pytest.raises(ValueError, match="license list"):
-        licenses.sync_licenses(store, license_list(spark, tmp_path / "l", version, rows))
+        licenses.sync_licenses(store, license_list(spark, tmp_path / "l", version, rows), floors=())
     assert licenses.license_ref(store).count() == 0
 
 
 def test_two_editions_at_once_fail(spark, store, tmp_path):
     both = license_list(spark, tmp_path / "l", "3.9", [MIT]).union(license_list(spark, tmp_path / "l", "3.10", [MIT]))
     with pytest.raises(ValueError, match="2 versions"):
-        licenses.sync_licenses(store, both)
+        licenses.sync_licenses(store, both, floors=())
 
 
 def test_errors_are_stored_whole(store):

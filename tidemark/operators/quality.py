@@ -6,10 +6,12 @@ measured, threshold``.  Rows that share a table are measured in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import share_pct
@@ -94,6 +96,44 @@ def violations(table: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     )
 
 
+# --- floors measured while a table is written -----------------------------------
+
+
+class BlockingCheckFailed(RuntimeError):
+    """A table that was written did not pass its checks; it must not be published."""
+
+
+@dataclass(frozen=True)
+class Floor:
+    """What a table must reach to be published; ``measure`` is an aggregate of its rows."""
+
+    name: str
+    measure: Callable[[], Column]
+    least: float
+
+
+def row_floor(name: str, least: int = 1) -> Floor:
+    return Floor(name, lambda: F.count(F.lit(1)), least)
+
+
+def approved_floor(name: str = "osi_floor", least: int = OSI_FLOOR) -> Floor:
+    return Floor(name, lambda: F.count_if("is_osi_approved"), least)
+
+
+def watched(rows: DataFrame, floors: Sequence[Floor]) -> tuple[DataFrame, Observation | None]:
+    """The rows, measured by whatever action reads them; no pass of their own."""
+    if not floors:
+        return rows, None
+    seen = Observation()
+    return rows.observe(seen, *[f.measure().alias(f.name) for f in floors]), seen
+
+
+def require_floors(floors: Sequence[Floor], seen: Mapping[str, Any]) -> None:
+    low = [f"{f.name} {seen[f.name]} < {f.least}" for f in floors if not (seen[f.name] or 0) >= f.least]
+    if low:
+        raise BlockingCheckFailed(f"blocking checks failed: {', '.join(sorted(low))}")
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
@@ -106,7 +146,7 @@ def require(checks: DataFrame) -> None:
     """Stop the job when a blocking check failed; at most one row per check is read."""
     failed = [row.check_name for row in blocking_failures(checks).collect()]
     if failed:
-        raise RuntimeError(f"blocking checks failed: {', '.join(sorted(failed))}")
+        raise BlockingCheckFailed(f"blocking checks failed: {', '.join(sorted(failed))}")
 
 
 def require_rows(table: DataFrame, what: str) -> None:

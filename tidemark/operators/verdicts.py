@@ -209,6 +209,60 @@ def classify(
     return apply_verdicts(signalled, signal_verdicts(distinct_signals(signalled), licenses))
 
 
+# --- what a new license list touches ------------------------------------------------
+
+
+def _opinions(licenses: DataFrame) -> DataFrame:
+    """What verdicts read of a license: its approval and the canonical links."""
+    links = F.filter(F.transform(F.coalesce("see_also_urls", F.array().cast("array<string>")), normalize_url), lambda k: k != "")
+    return licenses.select(
+        "license_id", F.coalesce("is_osi_approved", F.lit(False)).alias("approved"), F.array_sort(F.array_distinct(links)).alias("links")
+    )
+
+
+def changed_licenses(earlier: DataFrame, current: DataFrame) -> DataFrame:
+    """license_id and the canonical links, old and new, of the licenses that verdicts may see otherwise now."""
+    old = _opinions(earlier).select("license_id", F.struct("approved", "links").alias("old"))
+    new = _opinions(current).select("license_id", F.struct("approved", "links").alias("new"))
+    nothing = F.array().cast("array<string>")
+    return (
+        old.join(new, "license_id", "full_outer")
+        .filter(~F.col("old").eqNullSafe(F.col("new")))
+        .select("license_id", F.array_union(F.coalesce("old.links", nothing), F.coalesce("new.links", nothing)).alias("links"))
+    )
+
+
+def named_keys(signals: DataFrame) -> DataFrame:
+    """SIGNAL columns and one ``name_key`` a row: ids that an expression names, or the canonical form of a URL."""
+    by_expression = F.col("signal") == "expression"
+    words = F.when(by_expression, plain_words(F.col("signal_value")))
+    ids = F.transform(words_terms(F.col("words")), lambda t: F.concat(F.lit("id:"), t))
+    url = F.when(F.col("signal") == "url", F.array(_url_text(normalize_url(F.col("signal_value")))))
+    return signals.withColumn("words", words).select(*SIGNAL, F.explode(F.array_distinct(F.coalesce(ids, url))).alias("name_key"))
+
+
+def touched_signals(signals: DataFrame, changed: DataFrame) -> DataFrame:
+    """The distinct signals that name a changed license, by id or by a link of it."""
+    by_link = changed.select(F.explode("links").alias("link")).select(_url_text(F.col("link")).alias("name_key"))
+    by_id = changed.select(F.concat(F.lit("id:"), "license_id").alias("name_key"))
+    keys = by_id.union(by_link).distinct()
+    return named_keys(signals).join(keys, "name_key", "left_semi").select(*SIGNAL).distinct()
+
+
+def touched_rows(rows: DataFrame, expression: str, url: str, changed: DataFrame) -> DataFrame:
+    """The rows whose verdict the changed licenses can alter; others are sure to keep theirs.
+
+    A URL that several licenses link to goes to the smallest id; it is touched
+    when any of them changes, before or after.  Joined on a text that the
+    signals were not grouped by, so that a hot signal can be split.
+    """
+    signalled = with_signal(rows, expression, url)
+    named = touched_signals(distinct_signals(signalled.filter(F.col("signal") != "none")), changed)
+    key = F.concat_ws(":", *SIGNAL)
+    found = signalled.withColumn("_signal_key", key).join(named.select(key.alias("_signal_key")), "_signal_key", "left_semi")
+    return found.select(*rows.columns)
+
+
 def class_tally(verdicts: DataFrame) -> DataFrame:
     return verdicts.agg(
         F.count(F.lit(1)).alias("rows_classified"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,14 @@ from tidemark import schemas
 from tidemark.functions.cursors import INITIAL
 from tidemark.operators.licenses import list_profile
 from tidemark.operators.merge import upsert
-from tidemark.operators.quality import require_rows
+from tidemark.operators.quality import Floor, approved_floor, require_rows, row_floor
 from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 from tidemark.sources.licenses import parse_license_list
 
 SOURCE = "license_list"
 TABLE = "license_ref"
+#: What the list must reach, as a whole, before a new edition of it is published.
+FLOORS = (row_floor("license_ref_nonempty"), approved_floor("license_ref_osi_floor"))
 
 
 def is_new_edition(edition: str, stored: str) -> bool:
@@ -48,8 +52,12 @@ def license_ref(store: Store, at: Checkpoint | None = None) -> DataFrame:
     return store.read(TABLE, at.folders.get(TABLE, []), schemas.LICENSE_REF)
 
 
-def sync_licenses(store: Store, list_documents: DataFrame) -> RunResult:
-    """Stores a new edition of the list; an edition already stored is left alone."""
+def sync_licenses(store: Store, list_documents: DataFrame, floors: Sequence[Floor] = FLOORS) -> RunResult:
+    """Stores a new edition of the list; an edition already stored is left alone.
+
+    The refreshed list is written, measured in that pass and published only if
+    it reaches every floor.  Below one the run fails and the old list stands.
+    """
 
     def work(before: Checkpoint, run: Run) -> RunResult:
         edition = parse_license_list(list_documents)
@@ -60,13 +68,14 @@ def sync_licenses(store: Store, list_documents: DataFrame) -> RunResult:
             return RunResult(before.watermark, before.folders, metrics={"rewritten": False})
         rows = edition.withColumn("synced_at", F.current_timestamp())
         batch = rows.select(*schemas.LICENSE_REF.names)
-        store.write(TABLE, run.id, refreshed_licenses(license_ref(store, before), batch))
+        refreshed = refreshed_licenses(license_ref(store, before), batch)
+        measured = store.write_checked(TABLE, run.id, refreshed, floors)
         return RunResult(
             version,
             {TABLE: [run.id]},
             inserted=profile["license_count"],
             pages=1,
-            metrics={**profile, "rewritten": True},
+            metrics={**profile, **measured, "rewritten": True},
         )
 
     return run_job(store, SOURCE, work)

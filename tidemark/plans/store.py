@@ -34,10 +34,11 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.functions.cursors import INITIAL
 from tidemark.operators.ledger import current_checkpoints, current_runs
+from tidemark.operators.quality import Floor, require_floors, watched
 
 
 #: Entries of a checkpoint to which jobs append folders of their own.
-LOGS = ("catalog_log", "streamed")
+LOGS = ("catalog_log", "streamed", "license_verdict_delta", "judged_by")
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,17 @@ class Store:
         """Writes one folder.  Overwriting only ever replaces a failed or replayed write."""
         rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={name}")
 
+    def write_checked(self, table: str, name: str, rows: DataFrame, floors: Sequence[Floor]) -> dict[str, Any]:
+        """Writes one folder and fails if it lies below a floor, measured in the same pass.
+
+        Nothing names the folder yet, so what was published before stands.
+        """
+        rows, seen = watched(rows, floors)
+        self.write(table, name, rows)
+        measured = seen.get if seen else {}
+        require_floors(floors, measured)
+        return measured
+
     def read(self, table: str, names: Sequence[str], schema: StructType) -> DataFrame:
         """The rows of the named folders; columns a folder lacks are null."""
         if not names:

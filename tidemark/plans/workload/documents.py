@@ -7,12 +7,15 @@ the catalog's pages.  A few leaves are unusable or missing on purpose.
 from __future__ import annotations
 
 import json
+from contextlib import suppress
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import current_state
 from tidemark.operators.licenses import list_profile
+from tidemark.operators.quality import BlockingCheckFailed, approved_floor, row_floor
 from tidemark.operators.versions import package_changes, version_changes
 from tidemark.plans import catalog, enrichment
 from tidemark.plans import licenses as list_refresh
@@ -378,10 +381,10 @@ def license_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The refresh job on stored tables: an edition, the next one, and that one again with other flags."""
     store = Store(spark, shared_dir(spark, "license-job"))
     number = F.regexp_extract("license_id", r"(\d+)", 1).cast("long")
-    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.9"))
+    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.9"), floors=())
     later = _list_texts(spark, sf_dir, "3.10", "not is_osi_approved").filter(number % 7 != 0)
-    list_refresh.sync_licenses(store, later)
-    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.10"))
+    list_refresh.sync_licenses(store, later, floors=())
+    list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, "3.10"), floors=())
     return list_refresh.license_ref(store).select(
         "license_id",
         "name",
@@ -391,6 +394,60 @@ def license_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# An edition that approves nothing lies below the floor: its run fails and the list before it stands.
+@query("""WITH l AS (
+  SELECT concat('Lic-', CAST(s_suppkey AS VARCHAR), '.0') AS license_id, s_nationkey < 20 AND s_acctbal >= 3000 AS approved,
+    s_nationkey < 20 AND s_acctbal < 3000 AS other FROM supplier)
+SELECT 'first' AS attempt, 'completed' AS status, '1' AS edition, license_id, approved AS is_osi_approved FROM l
+UNION ALL SELECT 'second', 'failed', '1', license_id, approved FROM l
+UNION ALL SELECT 'third', 'completed', '3', license_id, other FROM l""")
+def gated_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list as it stands after each of three refreshes, the second of which misses the floor of approved licenses."""
+    store = Store(spark, shared_dir(spark, "gated-refresh"))
+    floors = (row_floor("license_ref_nonempty"), approved_floor(least=1))
+    standing = []
+    for attempt, version, approved in (("first", "1", "is_osi_approved"), ("second", "2", "false"), ("third", "3", "not is_osi_approved")):
+        with suppress(BlockingCheckFailed):
+            list_refresh.sync_licenses(store, _list_texts(spark, sf_dir, version, approved), floors)
+        at = store.checkpoint(list_refresh.SOURCE)
+        standing.append(
+            list_refresh.license_ref(store, at).select(
+                F.lit(attempt).alias("attempt"), F.lit(at.status).alias("status"), F.lit(at.watermark).alias("edition"),
+                "license_id", "is_osi_approved",
+            )
+        )
+    return reduce(DataFrame.union, standing)
+
+
+@query(f"""WITH {_EVENTS},
+p AS (SELECT package_id, k FROM (
+  SELECT *, row_number() OVER (PARTITION BY package_id ORDER BY ts DESC) AS rk
+  FROM ev WHERE NOT gone AND problem IS NULL) AS r WHERE rk = 1)
+SELECT package_id, CASE WHEN k % 5 = 0 THEN 'proprietary' ELSE 'unknown' END AS classification,
+  CASE WHEN k % 5 = 0 THEN 'none_approved: MIT' ELSE 'no_signal' END AS reasoning,
+  (SELECT count(*) FROM p WHERE k % 5 = 0) AS judged_again FROM p""")
+def verdict_refresh_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refresh job on stored tables: one license loses its approval, and the packages that name it are judged again."""
+    store = Store(spark, shared_dir(spark, "verdict-refresh"))
+
+    def edition(version: str, approved: bool) -> None:
+        mit = {"licenseListVersion": version, "licenses": [{"licenseId": "MIT", "isOsiApproved": approved}]}
+        texts = _list_texts(spark, sf_dir, version).select("value")
+        list_refresh.sync_licenses(store, texts.union(spark.createDataFrame([(json.dumps(mit),)], "value string")), floors=())
+
+    edition("1", True)
+    catalog.sync_catalog(
+        store, _index_documents(spark, sf_dir), lambda pages: _page_documents(spark, sf_dir), lambda refs: _leaf_documents(spark, sf_dir)
+    )
+    enrichment.classify_packages(store)
+    enrichment.fold_verdicts(store)
+    edition("2", False)
+    judged = enrichment.refresh_verdicts(store).metrics["rows_classified"]
+    return enrichment.license_verdicts(store).select(
+        "package_id", "classification", "reasoning", F.lit(judged).cast("bigint").alias("judged_again")
+    )
+
+
 @query(f"""WITH {_EVENTS}
 SELECT package_id, CASE WHEN k % 5 = 0 THEN 'open_source' ELSE 'unknown' END AS classification,
   CASE WHEN k % 5 = 0 THEN 'MIT' END AS spdx_id,
@@ -402,7 +459,7 @@ def enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, shared_dir(spark, "enrich-job"))
     mit = {"licenseListVersion": "1", "licenses": [{"licenseId": "MIT", "isOsiApproved": True}]}
     lists = _list_texts(spark, sf_dir, "1").select("value")
-    list_refresh.sync_licenses(store, lists.union(spark.createDataFrame([(json.dumps(mit),)], "value string")))
+    list_refresh.sync_licenses(store, lists.union(spark.createDataFrame([(json.dumps(mit),)], "value string")), floors=())
     index = _index_documents(spark, sf_dir)
     for limit in (15, None):
         catalog.sync_catalog(

@@ -266,6 +266,44 @@ def enrich_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.upsert(stored, batch, ["package_id"])
 
 
+# In the later edition one license changes its approval, one its link and one is gone.
+_LATER = """licenses_later AS (
+  SELECT license_id, CASE WHEN license_id = 'Lic-3.0' THEN NOT is_osi_approved ELSE is_osi_approved END AS is_osi_approved
+  FROM licenses WHERE license_id <> 'Lic-7.0'),
+links_later AS (
+  SELECT license_id, CASE WHEN license_id = 'Lic-4.0' THEN url || 'moved' ELSE url END AS url FROM links WHERE license_id <> 'Lic-7.0')"""
+_LATER_INDEX = _URL_INDEX.replace("url_index AS", "url_index_later AS").replace("FROM links", "FROM links_later")
+_CHANGED = "('Lic-3.0', 'Lic-4.0', 'Lic-7.0')"
+
+
+@query(f"""WITH {PACKAGES}, {LICENSES}, {_URL_INDEX}, {_LATER}, {_LATER_INDEX}, {_WORDS},
+{_verdict_sql('stale')},
+{_verdict_sql('fresh').replace('licenses AS l', 'licenses_later AS l').replace('url_index AS u', 'url_index_later AS u')},
+changed_keys AS (
+  SELECT {_KEY_OF.format('url')} AS url_key FROM links WHERE license_id IN {_CHANGED}
+  UNION SELECT {_KEY_OF.format('url')} FROM links_later WHERE license_id IN {_CHANGED}),
+named AS (
+  SELECT package_id FROM terms WHERE term IN {_CHANGED}
+  UNION SELECT package_id FROM signalled WHERE signal = 'url'
+    AND {_KEY_OF.format('license_url')} IN (SELECT url_key FROM changed_keys WHERE url_key <> ''))
+SELECT f.package_id, f.classification, f.reason, f.spdx_id, n.package_id IS NOT NULL AS judged_again
+FROM fresh AS f LEFT JOIN named AS n ON n.package_id = f.package_id""")
+def verdict_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts after a list edition that changes three licenses: only what names them is judged again, as if all were."""
+    rows, earlier = packages(spark, sf_dir), licenses(spark, sf_dir)
+    moved = F.transform("see_also_urls", lambda u: F.concat(u, F.lit("moved")))
+    later = (
+        earlier.filter(F.col("license_id") != "Lic-7.0")
+        .withColumn("is_osi_approved", F.col("is_osi_approved") != (F.col("license_id") == "Lic-3.0"))
+        .withColumn("see_also_urls", F.when(F.col("license_id") == "Lic-4.0", moved).otherwise(F.col("see_also_urls")))
+    )
+    columns = ["package_id", "classification", "reason", "spdx_id"]
+    stored = vd.classify(rows, earlier).select(*columns, F.lit(False).alias("judged_again"))
+    touched = vd.touched_rows(rows, "license", "license_url", vd.changed_licenses(earlier, later))
+    again = vd.classify(touched, later).select(*columns, F.lit(True).alias("judged_again"))
+    return merge.upsert(stored, again, ["package_id"])
+
+
 # --- license list --------------------------------------------------------------------
 
 
