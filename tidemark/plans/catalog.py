@@ -17,6 +17,7 @@ from tidemark.functions.cursors import INITIAL
 from tidemark.functions.times import commit_key
 from tidemark.operators.events import after_watermark, current_state, first_pages
 from tidemark.operators.merge import mark_deleted, merge_changes
+from tidemark.operators.quality import BlockingCheckFailed, row_floor
 from tidemark.operators.versions import (
     PACKAGE_KEYS,
     VERSION_KEYS,
@@ -40,6 +41,9 @@ FOLD = "catalog_fold"  # a fold is no sync: it must not make the catalog look fr
 LOG, VERSIONS, PACKAGES = "catalog_log", "version_state", "package_state"
 SHOWN = 5  # pages that an error names
 BUCKETS = "buckets"  # of the stored tables, beside their folders in the checkpoint
+OF_BUCKET = "/bucket="  # in the name of a folder that holds one bucket
+DELETES = "backfill_deletes"
+FLOORS = (row_floor("nonempty"),)
 
 
 def _watermark(text: str) -> Column | None:
@@ -225,6 +229,16 @@ def _buckets(store: Store, at: Checkpoint, wanted: int | None) -> int:
     return wanted or int(at.folders.get(BUCKETS, [default])[0])
 
 
+def _by_bucket(names: list[str]) -> dict[int, str]:
+    """The folder of each bucket, where a table is stored bucket by bucket; empty where it is stored whole."""
+    return {int(name.partition(OF_BUCKET)[2]): name for name in names if OF_BUCKET in name}
+
+
+def _bucket(n: int) -> Column:
+    """All versions of a package are in one bucket, in either table."""
+    return F.pmod(F.xxhash64("package_id"), F.lit(n)).cast("int")
+
+
 def _fold_table(
     store: Store, at: Checkpoint, name: str, table: str, schema, keys, changes: DataFrame, n: int
 ) -> None:
@@ -233,22 +247,49 @@ def _fold_table(
     The stored table is bucketed already, so only the log is shuffled.
     """
     stored = at.folders.get(table, [])
-    if stored and at.folders[BUCKETS] == [str(n)]:
+    if stored and at.folders[BUCKETS] == [str(n)] and not _by_bucket(stored):
         with store.bucketed(table, stored[0], schema, keys, n) as target:
-            store.write_bucketed(table, name, merge_changes(target, changes, keys), keys, n)
+            store.write_bucketed(table, name, merge_changes(target, changes, keys), keys, n, FLOORS)
         return
     rows = current_state(changes).select(*schema.names)
     if stored:
         rows = merge_changes(store.read(table, stored, schema), changes, keys)
-    store.write_bucketed(table, name, rows.repartition(n, *keys), keys, n)
+    store.write_bucketed(table, name, rows.repartition(n, *keys), keys, n, FLOORS)
 
 
-def fold_catalog(store: Store, buckets: int | None = None) -> None:
+def rewritten_buckets(
+    store: Store, name: str, table: str, schema, stored: list[str], changes: DataFrame, n: int,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> list[str]:
+    """Merges changes into the buckets that they touch; returns the folders of all buckets.
+
+    A touched bucket is written beside the old one and named instead of it.
+    The files of the others are neither read nor written.
+    """
+    held, in_bucket = _by_bucket(stored), _bucket(n)
+    # at most one row for each bucket
+    touched = {row.bucket for row in changes.select(in_bucket.alias("bucket")).distinct().collect()}
+    if stored and not held:
+        target, touched = store.read(table, stored, schema), set(range(n))  # stored whole so far
+    else:
+        target = store.read(table, [held[b] for b in sorted(touched & held.keys())], schema)
+    merged = merge(target, changes).select(*schema.names, in_bucket.alias("bucket"))
+    store.write_partitioned(table, name, merged.repartition(n, "bucket"), "bucket")
+    made = store.partitions(table, name, "bucket")
+    return [f"{name}{OF_BUCKET}{b}" if b in made else held[b] for b in sorted(made | (held.keys() - touched))]
+
+
+def fold_catalog(store: Store, buckets: int | None = None, only_touched: bool = False) -> None:
     """Stores the tables anew and empties the log; the watermark stays.
 
     ``buckets`` is kept from fold to fold unless given, and starts as the session's
     number of shuffle partitions.  Choose it for tables of their full size: a
     bucket is one task's work.
+
+    ``only_touched`` keeps a folder for each bucket and rewrites the buckets that
+    the log touches, which is for logs of few packages and tables of many
+    buckets.  Else the whole table is rewritten, without a shuffle of it.  A
+    table goes from one form to the other with its next fold.
     """
 
     def work(own: Checkpoint, run: Run) -> RunResult:
@@ -256,12 +297,23 @@ def fold_catalog(store: Store, buckets: int | None = None) -> None:
         if not before.folders.get(LOG):
             return RunResult(own.watermark, own.folders)
         n, log = _buckets(store, before, buckets), catalog_log(store, before)
+        folders = {LOG: [], BUCKETS: [str(n)]}
         for table, schema, keys, changes in (
             (VERSIONS, schemas.VERSION_STATE, VERSION_KEYS, version_changes(log)),
             (PACKAGES, schemas.PACKAGE_STATE, PACKAGE_KEYS, package_changes(log)),
         ):
-            _fold_table(store, before, run.id, table, schema, keys, changes, n)
-        folders = {VERSIONS: [run.id], PACKAGES: [run.id], LOG: [], BUCKETS: [str(n)]}
+            stored = before.folders.get(table, [])
+            if not only_touched:
+                _fold_table(store, before, run.id, table, schema, keys, changes, n)
+                folders[table] = [run.id]
+                continue
+            if before.folders.get(BUCKETS) != [str(n)] and _by_bucket(stored):
+                raise ValueError(f"{table} is kept in {before.folders[BUCKETS][0]} buckets; fold it whole to change their number")
+            folders[table] = rewritten_buckets(
+                store, run.id, table, schema, stored, changes, n, lambda target, batch, keys=keys: merge_changes(target, batch, keys)
+            )
+            if not folders[table]:
+                raise BlockingCheckFailed(f"blocking checks failed: {table} has no rows")
         store.change_folders(SOURCE, before.folders, {**before.folders, **folders})
         return RunResult(before.watermark, own.folders)
 
@@ -295,13 +347,21 @@ def backfill_deletes(
         )
         dated = F.col("gone") & F.col("commit.commit_at").isNotNull()
         deletes = observed.filter(dated).select(*VERSION_KEYS, F.col("commit").alias("delete_at"))
-        n = _buckets(store, catalog, None)
-        with store.bucketed(
-            VERSIONS, catalog.folders[VERSIONS][0], schemas.VERSION_STATE, VERSION_KEYS, n
-        ) as target:
-            marked = mark_deleted(target, deletes, VERSION_KEYS)
-            store.write_bucketed(VERSIONS, run.id, marked, VERSION_KEYS, n)
-        store.change_folders(SOURCE, catalog.folders, {**catalog.folders, VERSIONS: [run.id]})
+        n, stored, schema = _buckets(store, catalog, None), catalog.folders[VERSIONS], schemas.VERSION_STATE
+
+        def mark(target: DataFrame, batch: DataFrame) -> DataFrame:
+            return mark_deleted(target, batch, VERSION_KEYS)
+
+        if _by_bucket(stored):
+            kept = f"{run.id}-deletes"
+            store.write(DELETES, kept, deletes)  # read twice: for the buckets and to mark them
+            deletes = store.read(DELETES, [kept], deletes.schema)
+            names = rewritten_buckets(store, run.id, VERSIONS, schema, stored, deletes, n, mark)
+        else:
+            with store.bucketed(VERSIONS, stored[0], schema, VERSION_KEYS, n) as target:
+                store.write_bucketed(VERSIONS, run.id, mark(target, deletes), VERSION_KEYS, n, FLOORS)
+            names = [run.id]
+        store.change_folders(SOURCE, catalog.folders, {**catalog.folders, VERSIONS: names})
         newest = seen.get["watermark"]
         return RunResult(
             before.watermark if newest is None else newest.commit_text,
@@ -312,5 +372,5 @@ def backfill_deletes(
             metrics={"pages_remaining": left - done},
         )
 
-    fold_catalog(store)
+    fold_catalog(store, only_touched=bool(_by_bucket(store.checkpoint(SOURCE).folders.get(VERSIONS, []))))
     return run_job(store, BACKFILL, work)

@@ -114,19 +114,32 @@ class Store:
         paths = [f"{self.root}/{table}/batch={name}" for name in names]
         return reader.parquet(*paths).select(*schema.names)
 
+    def write_partitioned(self, table: str, name: str, rows: DataFrame, column: str) -> None:
+        """Writes one folder with a folder inside for each value of a column."""
+        rows.write.mode("overwrite").partitionBy(column).parquet(f"{self.root}/{table}/batch={name}")
+
+    def partitions(self, table: str, name: str, column: str) -> set[int]:
+        """The values that have a folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/batch={name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = (entry.getPath().getName().partition("=") for entry in files.listStatus(path) if entry.isDirectory())
+        return {int(value) for key, _, value in found if key == column}
+
     def write_bucketed(
-        self, table: str, name: str, rows: DataFrame, keys: Sequence[str], buckets: int
+        self, table: str, name: str, rows: DataFrame, keys: Sequence[str], buckets: int, floors: Sequence[Floor] = ()
     ) -> None:
-        """Writes one folder bucketed and sorted by key.
+        """Writes one folder bucketed and sorted by key, and fails below a floor.
 
         Rows already partitioned by the keys into as many parts give one file per
         bucket.  Spark buckets tables only, so one is named for the time of the write.
         """
         handle = self._handle(table, name)
+        rows, seen = watched(rows, floors)
         rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option(
             "path", f"{self.root}/{table}/batch={name}"
         ).saveAsTable(handle)
         self.spark.sql(f"DROP TABLE {handle}")
+        require_floors(floors, seen.get if seen else {})
 
     @contextmanager
     def bucketed(

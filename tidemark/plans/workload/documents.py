@@ -7,6 +7,7 @@ the catalog's pages.  A few leaves are unusable or missing on purpose.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from contextlib import suppress
 from functools import reduce
 
@@ -296,6 +297,45 @@ def catalog_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_versions(catalog.version_state(store), "deleted_at")
 
 
+def _job(spark: SparkSession, sf_dir: str, name: str) -> tuple[Store, Callable[..., object]]:
+    """A store and a sync of the catalog's documents into it."""
+    store, index = Store(spark, shared_dir(spark, name)), _index_documents(spark, sf_dir)
+
+    def sync(max_pages: int | None = None) -> object:
+        return catalog.sync_catalog(
+            store, index, lambda pages: _page_documents(spark, sf_dir), lambda refs: _leaf_documents(spark, sf_dir), max_pages
+        )
+
+    return store, sync
+
+
+@query(_VERSION_ROWS)
+def fold_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with folds that rewrite the buckets which their log touches: the last one page, so few of them."""
+    store, sync = _job(spark, sf_dir, "fold-touched")
+    for pages in (14, 1, None):
+        sync(pages)
+        catalog.fold_catalog(store, buckets=16, only_touched=True)
+    return _flat_versions(catalog.version_state(store), "deleted_at")
+
+
+# Only what a fold had stored is marked, by all pages, whatever was published after.
+@query(f"""WITH {_EVENTS},
+d AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY package_id, version ORDER BY ts DESC) AS rk
+  FROM ev WHERE NOT gone AND problem IS NULL) AS r WHERE rk = 1),
+x AS (SELECT package_id, version, max(ts) AS gone_at FROM ev WHERE gone GROUP BY 1, 2)
+SELECT d.package_id, d.version, epoch_us(gone_at) AS deleted_micros
+FROM d LEFT JOIN x ON x.package_id = d.package_id AND x.version = d.version""")
+def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delete backfill on stored tables, in two runs: deletes of all pages mark the rows that exist."""
+    store, sync = _job(spark, sf_dir, "backfill-job")
+    sync()
+    for limit in (9, None):
+        catalog.backfill_deletes(store, _index_documents(spark, sf_dir), lambda pages: _page_documents(spark, sf_dir), limit)
+    return catalog.version_state(store).select("package_id", "version", F.unix_micros("deleted_at").alias("deleted_micros"))
+
+
 @query(_VERSION_ROWS)
 def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming form, over landed files and leaves kept by day."""
