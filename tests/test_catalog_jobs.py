@@ -340,9 +340,9 @@ def test_a_fold_shuffles_only_the_log(spark, store, landing, monkeypatch):
     plans = []
     write = Store.write_bucketed
 
-    def seen(self, table, name, rows, keys, buckets):
+    def seen(self, table, name, rows, keys, buckets, *floors):
         plans.append((table, buckets, rows._jdf.queryExecution().executedPlan().toString()))
-        write(self, table, name, rows, keys, buckets)
+        write(self, table, name, rows, keys, buckets, *floors)
 
     monkeypatch.setattr(Store, "write_bucketed", seen)
     catalog.fold_catalog(store)
