@@ -370,47 +370,67 @@ def test_quality_of_nothing(empty):
 # -- 5 -----------------------------------------------------------------------
 
 
-def plain_lines(rows, m):
-    """Later copies of m lines in a row, over documents in order of doc_id (null last) and text hash."""
+def plain_lines(rows, m, min_words):
+    """What lies in the longest run, from any place, that an earlier place has too, if it has m lines or is one of enough words.
+
+    Over documents in order of doc_id (null last) and text hash.
+    """
     keyed = {(d is None, d or 0, hashlib.md5((t or "").encode()).hexdigest()): t or "" for d, t in rows}
     seqs = {k: [x for x in t.split("\n") if WORD.search(x)] for k, t in keyed.items()}
-    seen, gone = set(), collections.defaultdict(set)
-    for k in sorted(seqs):
-        for i in range(len(seqs[k]) - m + 1):
-            run = tuple(seqs[k][i : i + m])
-            if run in seen:
-                gone[k].update(range(i, i + m))
-            seen.add(run)
+    places = [(k, i) for k in sorted(seqs) for i in range(len(seqs[k]))]
+    gone = collections.defaultdict(set)
+    for at, (k, i) in enumerate(places):
+        for other, j in places[:at]:
+            n = 0
+            while i + n < len(seqs[k]) and j + n < len(seqs[other]) and seqs[k][i + n] == seqs[other][j + n]:
+                n += 1
+            if n >= m or (n and len(WORD.findall(seqs[k][i])) >= min_words):
+                gone[k].update(range(i, i + (n if n >= m else 1)))
     out = []
     for d, t in rows:
         k = (d is None, d or 0, hashlib.md5((t or "").encode()).hexdigest())
         split = (t or "").split("\n")
-        places = [i for i, x in enumerate(split) if WORD.search(x)]
-        drop = {places[s] for s in gone[k]}
-        text = t if not drop else "" if len(drop) == len(places) else "\n".join(x for i, x in enumerate(split) if i not in drop)
+        lined = [i for i, x in enumerate(split) if WORD.search(x)]
+        drop = {lined[s] for s in gone[k]}
+        text = t if not drop else "" if len(drop) == len(lined) else "\n".join(x for i, x in enumerate(split) if i not in drop)
         runs = sum(s - 1 not in gone[k] for s in gone[k])
-        out.append((d, text, len(places), len(drop), runs))
+        out.append((d, text, len(lined), len(drop), runs))
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("m", [1, 2, 3, 5])
-def test_line_dedup(spark, docs, m):
+@pytest.mark.parametrize("m,min_words", [(1, 5), (2, 5), (2, 2), (3, 99), (5, 5)])
+def test_line_dedup(spark, docs, m, min_words):
     rng = random.Random(m)
-    rows = [(i, "\n".join(rng.choice(["a b", "c", "d e", "f", "", "g h"]) for _ in range(rng.randrange(12)))) for i in range(40)]
+    rows = [(i, "\n".join(rng.choice(["a b", "c", "d e", "f", "", "g h", "v w x y z"]) for _ in range(rng.randrange(12)))) for i in range(40)]
+    rows += [(50 + i, rows[30][1]) for i in range(3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = lines.dedup_lines(frame, m).select("row.doc_id", "kept_text", "n_lines", "n_removed", "n_runs")
-    assert collected(got) == plain_lines(rows, m)
+    got = lines.dedup_lines(frame, m, min_words).select("row.doc_id", "kept_text", "n_lines", "n_removed", "n_runs")
+    assert collected(got) == plain_lines(rows, m, min_words)
     rows = [(r[0], r[1]) for r in awkward_rows()]
-    got = lines.dedup_lines(docs, m).select("row.doc_id", "kept_text", "n_lines", "n_removed", "n_runs")
-    assert collected(got) == plain_lines(rows, m)
+    got = lines.dedup_lines(docs, m, min_words).select("row.doc_id", "kept_text", "n_lines", "n_removed", "n_runs")
+    assert collected(got) == plain_lines(rows, m, min_words)
+
+
+def test_doubling_ends_with_the_longest_repeat(spark):
+    """21 lines in common are found in rounds of 1, 2, 4, 8 and 16; one line inside a document repeats on its own."""
+    passage = [f"line {i}" for i in range(21)]
+    rows = [(1, "\n".join(["x", *passage, "y"])), (2, "\n".join([*passage, "z", "x"])), (3, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rounds = lines.suffix_rounds(frame)
+    assert [n for n, _ in rounds] == [1, 2, 4, 8, 16]
+    assert [s.count() for _, s in rounds] == [44, 40, 36, 28, 12]
+    assert [s.filter("later").count() for _, s in rounds] == [22, 20, 18, 14, 6]
+    got = collected(lines.dedup_lines(frame).select("row.doc_id", "kept_text", "n_removed", "n_runs", "longest_shared"))
+    assert got == [(1, rows[0][1], 0, 0, 0), (2, "z\nx", 21, 1, 16), (3, "alone", 0, 0, 0)]
 
 
 def test_pipeline_drops_single_repeated_lines(spark):
-    """A line that repeats among other neighbours goes, and so does an exact copy of a document of one line."""
-    rows = [(1, "own a\nboilerplate line\nown b"), (2, "own c\nboilerplate line\nown d"), (3, "one line"), (4, "one line"), (5, None), (6, "")]
+    """A line of five words that repeats among other neighbours goes, a short one stays; so does a one-line document's copy."""
+    five = "a line of five words"
+    rows = [(1, f"own a\n{five}\nYes.\nown b"), (2, f"own c\n{five}\nown d\nYes."), (3, five), (4, "one line"), (5, "one line"), (6, None), (7, "")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     kept = collected(corpus_pipeline.line_dedup(spark, frame, ""))
-    assert kept == [(1, rows[0][1]), (2, "own c\nown d"), (3, "one line"), (5, None), (6, "")]
+    assert kept == [(1, rows[0][1]), (2, "own c\nown d\nYes."), (4, "one line"), (5, "one line"), (6, None), (7, "")]
 
 
 def test_lines_of_nothing(empty):
@@ -845,7 +865,7 @@ def test_pipeline_stages(spark, tmp_path, library):
     assert {52, 53, 54, 55}.isdisjoint(r[0] for r in want)
 
     cut = corpus_pipeline.settled(stages[1](spark, good, ""), "test")
-    want = [r[:2] for r in plain_lines([r[:2] for r in want], 1) if r[3] == 0 or r[3] < r[2]]
+    want = [r[:2] for r in plain_lines([r[:2] for r in want], 2, 5) if r[3] == 0 or r[3] < r[2]]
     assert collected(cut.select("doc_id", "text")) == sorted(want, key=repr)
 
     single = corpus_pipeline.settled(stages[2](spark, cut, ""), "test")

@@ -186,6 +186,10 @@ WITH l AS (
 ), later AS (
   SELECT doc_id, unnest([seq, seq + 1]) AS seq
   FROM (SELECT doc_id, seq, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, seq) AS turn FROM runs WHERE y IS NOT NULL) WHERE turn > 1
+  UNION ALL
+  SELECT doc_id, seq
+  FROM (SELECT doc_id, seq, x, row_number() OVER (PARTITION BY x ORDER BY doc_id, seq) AS turn FROM runs)
+  WHERE turn > 1 AND len(regexp_extract_all(x, '{_WORD}')) >= {lines.MIN_WORDS}
 ), gone AS (SELECT DISTINCT doc_id, seq FROM later),
 stretches AS (
   SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before <> seq - 1) AS n_runs
