@@ -149,9 +149,9 @@ def test_signatures_bound_common_tokens():
         assert (most[x == y] == held).all()
 
 
-def test_prefix_filter_loses_no_link():
+def test_prefix_filter_loses_no_link(spark):
     """Sets right at the threshold pass all filters."""
-    rng = np.random.default_rng(1)
+    rng, rows = np.random.default_rng(1), []
     for _ in range(300):
         common = rng.integers(1, 60)
         rest = int(common / 0.75) - common
@@ -160,7 +160,11 @@ def test_prefix_filter_loses_no_link():
         x = np.unique(tokens[: common + left])
         y = np.unique(np.concatenate([tokens[:common], tokens[common + left :]]))
         both = len(np.intersect1d(x, y))
-        assert jaccard_join.linked(x, y) == (100 * both >= 75 * (len(x) + len(y) - both))
+        rows.append((x.view(np.int64).tolist(), y.view(np.int64).tolist(), bool(100 * both >= 75 * (len(x) + len(y) - both))))
+    frame = spark.createDataFrame(rows, "x array<long>, y array<long>, want boolean")
+    found = frame.select(jaccard_join.linked(F.col("x"), F.col("y")).alias("got"), "want")
+    assert found.filter("got <> want").count() == 0
+    assert 50 < found.filter("want").count() < 300
 
 
 # -- 2 -----------------------------------------------------------------------

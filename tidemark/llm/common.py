@@ -43,7 +43,16 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.settled_path = path
+    return stored
+
+
+def forget(*steps: DataFrame) -> None:
+    """Removes the folders of settled steps that nothing is read from any more: all that was made of them is settled itself."""
+    for step in steps:
+        path = step.sparkSession._jvm.org.apache.hadoop.fs.Path(step.settled_path)
+        path.getFileSystem(step.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ranked(df: DataFrame, keys: list[str], name: str, purpose: str) -> DataFrame:

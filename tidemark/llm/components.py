@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import settled
+from tidemark.llm.common import forget, settled
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,6 +19,7 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct(), "links"
     )
     labels = settled(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("node"), F.min("v")).alias("label")), "labels")
+    last = labels
     while True:
         near = (
             both.join(labels, F.col("v") == F.col("node"))
@@ -36,6 +37,9 @@ def components(links: DataFrame) -> DataFrame:
             .select("node", "label", (F.col("label") != F.col("_old")).alias("changed")),
             "labels",
         )
-        labels = after.select("node", "label")
-        if after.filter("changed").isEmpty():
+        done = after.filter("changed").isEmpty()
+        forget(last)
+        last, labels = after, after.select("node", "label")
+        if done:
+            forget(both)
             return labels

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import binaries
-from tidemark.llm.common import settled
+from tidemark.llm.common import forget, settled
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -44,6 +44,8 @@ SKETCH_PARTS = 32
 #: Rounds of guesses, and hubs that a set is tested against in each.
 TURNS = 3
 HUBS = 8
+#: A round in which fewer than one guess of so many is a link is the last one; what is left is listed in full anyway.
+GUESSES = 32
 #: Words of 64 bits in the signature of a set's shared prefix tokens.
 SIGNATURE = [f"s{i}" for i in range(4)]
 #: Up to so many rows of 16 bytes are sent to all tasks to find documents; more are joined by a shuffle.
@@ -178,7 +180,7 @@ def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), the place of the token among the `held` ones of a, and their signature."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(sketches))  # 2 ** SKETCH_BITS bytes
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             token, owner, size = [], [], []
@@ -196,7 +198,7 @@ def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
                     ["token", "a", "n"],
                 )
 
-    rows = docs.select(F.col("text").cast("binary")).mapInArrow(prefixes, "token long, a long, n int")
+    rows = docs.select(F.col("text").cast("binary")).mapInArrow(first_tokens, "token long, a long, n int")
     dealt = rows.repartition("token").sortWithinPartitions("token", "a")
     several = settled(dealt.mapInArrow(_several, "token long, a long, n int"), "shingle-runs")
     own = Window.partitionBy("a")
@@ -204,7 +206,9 @@ def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     in_word = F.shiftright("token", 6).bitwiseAND(len(SIGNATURE) - 1)
     signature = {s: F.bit_or(F.when(in_word == i, bit).otherwise(F.lit(0).cast("long"))).over(own) for i, s in enumerate(SIGNATURE)}
     placed = several.withColumns({"held": F.count(F.lit(1)).over(own).cast("int"), **signature})
-    return settled(placed.withColumn("place", F.row_number().over(own.orderBy("token")) - 1), "shingle-prefixes")
+    prefixes = settled(placed.withColumn("place", F.row_number().over(own.orderBy("token")) - 1), "shingle-prefixes")
+    forget(several)
+    return prefixes
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -295,30 +299,23 @@ def _missing(n: Column, m: Column) -> Column:
     return F.ceil(PERCENT * (n + m) / (100 + PERCENT)) - (F.greatest(n, m) - _prefix(F.greatest(n, m)))
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among candidate pairs: filters of orders two and three, then whole sets."""
-    for batch in batches:
-        out = []
-        for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if linked(x, y):
-                out.append((a, b))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
-
-
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
-    least = int(need(len(x), len(y)))
-    p, q = prefix_size(len(x)), prefix_size(len(y))
-    rest = max(len(x) - p, len(y) - q)
-    for one, two in ((x[:p], y[:q]), (x[-p:], y[-q:])):
-        if len(np.intersect1d(one, two, assume_unique=True)) + rest < least:
-            return False
-    return len(np.intersect1d(x, y, assume_unique=True)) >= least
-
-
-def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link.  Only documents in a pair are read again, one for each set."""
+def linked(x: Column, y: Column) -> Column:
+    """Whether two sets, as arrays in the order of the hashes, link: the filters of orders two and three, then the whole sets."""
+    n, m = F.size(x), F.size(y)
+    least = F.ceil(PERCENT * (n + m) / (100 + PERCENT)).cast("int")
+    p, q = _prefix(n).cast("int"), _prefix(m).cast("int")
+    rest = F.greatest(n - p, m - q)
+    up = F.size(F.array_intersect(F.slice(x, F.lit(1), p), F.slice(y, F.lit(1), q)))
+    down = F.size(F.array_intersect(F.slice(x, n - p + 1, p), F.slice(y, m - q + 1, q)))
+    return (up + rest >= least) & (down + rest >= least) & (F.size(F.array_intersect(x, y)) >= least)
+
+
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> tuple[int, DataFrame]:
+    """How many pairs (a, b) there are, and those that link.
+
+    Only documents in a pair are read again, one for each set.  Pairs are
+    compared as rows, so a task holds one pair of sets at a time.
+    """
     pairs = settled(pairs.select("a", "b"), "shingle-pairs")
     wanted = pairs.select("a").union(pairs.select("b")).distinct()
     ones = (
@@ -329,27 +326,24 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         .select("one.r1", "one.r2")
     )
     ones = settled(ones, "shingle-wanted")
-    if ones.count() <= SENT_ROWS:
-        ones = F.broadcast(ones)
-    read = docs.select(*row_hashes(), F.col("text").cast("binary").alias("text")).join(ones, ["r1", "r2"])
+    few = F.broadcast(ones) if ones.count() <= SENT_ROWS else ones
+    read = docs.select(*row_hashes(), F.col("text").cast("binary").alias("text")).join(few, ["r1", "r2"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rows = [(digest, tokens.tobytes()) for _, digest, tokens in _sets(batch, seen, 0)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["digest", "tokens"])
+            for _, digest, tokens in _sets(batch, seen, 0):
+                held = pa.ListArray.from_arrays(pa.array([0, len(tokens)], pa.int32()), pa.array(tokens.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([digest], pa.int64()), held], ["digest", "tokens"])
 
-    stored = settled(read.select("text").mapInArrow(whole, "digest long, tokens binary").dropDuplicates(["digest"]), "shingle-whole")
+    stored = settled(read.select("text").mapInArrow(whole, "digest long, tokens array<long>").dropDuplicates(["digest"]), "shingle-whole")
     left = stored.select(F.col("digest").alias("_a"), F.col("tokens").alias("x"))
     right = stored.select(F.col("digest").alias("_b"), F.col("tokens").alias("y"))
-    return settled(
-        pairs.join(left, F.col("a") == F.col("_a"))
-        .join(right, F.col("b") == F.col("_b"))
-        .select("a", "b", "x", "y")
-        .mapInArrow(_verified, "a long, b long"),
-        "shingle-links",
-    )
+    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    links = settled(both.filter(linked(F.col("x"), F.col("y"))).select("a", "b"), "shingle-links")
+    n_pairs = pairs.count()
+    forget(stored, ones, pairs)
+    return n_pairs, links
 
 
 def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -414,12 +408,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     labelled = shared.withColumn("label", F.col("a"))
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
-        found = verified(docs, sets, hub_pairs(labelled, turn))
-        if found.isEmpty():
-            break
+        tried, found = verified(docs, sets, hub_pairs(labelled, turn))
         links = links.union(found)
-        labelled = _labelled(shared, links)
-    links = links.union(verified(docs, sets, all_pairs(labelled)))
+        if not found.isEmpty():
+            labelled = _labelled(shared, links)
+        if found.count() * GUESSES < tried or not tried:
+            break  # the rest is as well found by listing it
+    links = links.union(verified(docs, sets, all_pairs(labelled))[1])
     joined = components(links).withColumnRenamed("node", "_node")
     of_set = sets.join(joined, F.col("digest") == F.col("_node"), "left").withColumn("group_id", F.coalesce("label", "digest"))
     ids = of_set.filter("group_id is not null").groupBy(F.col("group_id").alias("_group")).agg(F.min("doc_id").alias("smallest"))
