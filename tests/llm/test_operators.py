@@ -154,7 +154,7 @@ def test_prefix_filter_loses_no_link(spark):
     rng, rows = np.random.default_rng(1), []
     for _ in range(300):
         common = rng.integers(1, 60)
-        rest = int(common / 0.75) - common
+        rest = int(common / 0.75) - common + int(rng.integers(0, 2))
         left = rng.integers(0, rest + 1)
         tokens = rng.integers(0, 1 << 63, common + rest, dtype=np.uint64)
         x = np.unique(tokens[: common + left])

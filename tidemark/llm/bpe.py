@@ -15,15 +15,17 @@ from __future__ import annotations
 import base64
 import functools
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import settled
 
@@ -32,6 +34,8 @@ CHUNK = 1 << 15
 OVERLAP = 1 << 10
 #: Pieces whose ids a Python worker remembers, twice.
 REMEMBERED = 1 << 17
+#: Texts whose ids leave a task together.
+OUT_ROWS = 128
 #: Bytes up to which a piece is merged by looking through all its pairs.
 SHORT = 64
 
@@ -168,13 +172,20 @@ def _both(c: Codec, pieces: list[list[str]], back: bool) -> pd.DataFrame:
     return pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids] if back else None}, dtype=object)
 
 
-def _coded(held: Broadcast[bytes], pattern: str, back: bool):
-    @F.pandas_udf(CODED)
-    def coded(texts: pd.Series) -> pd.DataFrame:
+def _coded(rows: DataFrame, held: Broadcast[bytes], pattern: str, back: bool) -> DataFrame:
+    """row, ids and decoded of rows (row); what comes out goes on in small parts, so a task holds one batch of texts and little else."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(held.value, pattern)
-        return _both(c, (c.split(t) for t in texts), back)
+        for batch in batches:
+            texts = batch.column(0).field("text")
+            for at in range(0, len(batch), OUT_ROWS):
+                ids = [c.encode(c.split(t or "")) for t in texts.slice(at, OUT_ROWS).to_pylist()]
+                decoded = pa.array([c.decode(x) for x in ids], pa.binary()) if back else pa.nulls(len(ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, OUT_ROWS), pa.array(ids, pa.binary()), decoded], ["row", "ids", "decoded"])
 
-    return coded
+    schema = T.StructType([rows.schema["row"]]).add("ids", T.BinaryType()).add("decoded", T.BinaryType())
+    return rows.mapInArrow(coded, schema)
 
 
 def _pieces(pattern: str):
@@ -220,7 +231,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int,
     held = _shared(docs, path)
     text = F.coalesce(F.col("row.text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"))
-    short = rows.filter(F.char_length(text) <= chunk).select("row", _coded(held, pattern, back)(text).alias("coded"))
+    short = _coded(rows.filter(F.char_length(text) <= chunk), held, pattern, back)
     # stored with a number, as the chunks of equal rows must not be mixed up
     long = settled(
         rows.filter(F.char_length(text) > chunk).withColumn("number", F.monotonically_increasing_id()), "bpe-long"
@@ -237,8 +248,8 @@ def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int,
         .agg(F.array_sort(F.collect_list(F.struct("start", "chunk", "sizes"))).alias("chunks"))
         .select("_number", _stitched(held, pattern, back)("chunks").alias("coded"))
     )
-    joined = long.join(whole, F.col("number") == F.col("_number")).select("row", "coded")
-    return short.unionByName(joined).select("row", "coded.*")
+    joined = long.join(whole, F.col("number") == F.col("_number")).select("row", "coded.*")
+    return short.unionByName(joined)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
