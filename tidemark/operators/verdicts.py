@@ -189,12 +189,16 @@ def apply_verdicts(signalled: DataFrame, verdicts: DataFrame) -> DataFrame:
     Verdicts of measured small size go to every task.  Otherwise both sides
     shuffle on one text key.  That key is not the one the verdicts were grouped
     by, so their side gets a shuffle of its own, without which Spark could not
-    split a hot signal.
+    split a hot signal.  Rows without a signal all have the same verdict; they
+    meet no key and are spread by their own values.
     """
-    key = F.concat_ws(":", "signal", "signal_value")
-    judged = verdicts.select(key.alias("_signal_key"), *VERDICT_COLUMNS)
-    keyed = signalled.withColumn("_signal_key", key).drop("signal_value")
-    return keyed.join(judged, "_signal_key").drop("_signal_key")
+    key, silent = F.concat_ws(":", "signal", "signal_value"), F.col("signal") == "none"
+    judged = verdicts.filter(~silent).select(key.alias("_signal_key"), *VERDICT_COLUMNS)
+    own = F.concat(F.lit("\x00"), F.xxhash64(*signalled.columns).cast("string"))
+    keyed = signalled.withColumn("_signal_key", F.when(silent, own).otherwise(key)).drop("signal_value")
+    constant = {"classification": F.lit("unknown"), "reason": F.lit("no_signal")}
+    filled = {name: F.when(silent, value).otherwise(F.col(name)) for name, value in constant.items()}
+    return keyed.join(judged, "_signal_key", "left").withColumns(filled).drop("_signal_key")
 
 
 def classify(

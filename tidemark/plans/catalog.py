@@ -7,6 +7,7 @@ log since; a fold rewrites them and empties the log.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,7 +25,7 @@ from tidemark.operators.versions import (
     package_changes,
     version_changes,
 )
-from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
+from tidemark.plans.store import Checkpoint, Run, RunResult, Store, rebased, run_job
 from tidemark.sources.catalog import (
     catalog_events,
     once,
@@ -38,6 +39,7 @@ from tidemark.sources.catalog import (
 SOURCE = "catalog"
 BACKFILL = "delete_backfill"
 FOLD = "catalog_fold"  # a fold is no sync: it must not make the catalog look fresh
+REFS = "catalog_refs"  # the references of a slice
 LOG, VERSIONS, PACKAGES = "catalog_log", "version_state", "package_state"
 SHOWN = 5  # pages that an error names
 BUCKETS = "buckets"  # of the stored tables, beside their folders in the checkpoint
@@ -129,6 +131,18 @@ def append_events(store: Store, name: str, refs: DataFrame, leaves: DataFrame) -
     return seen.get
 
 
+def written(store: Store, name: str) -> dict[str, int]:
+    """What one slice of the log brings: versions and packages written, and versions whose delete was attempted."""
+    log, kind = store.read(LOG, [name], schemas.CATALOG_LOG), F.col("kind")
+    version = F.struct(*VERSION_KEYS)
+    counted = log.agg(
+        F.count_distinct(F.when(kind == "details", version)).alias("versions"),
+        F.count_distinct(F.when(kind == "details", F.col("package_id"))).alias("packages"),
+        F.count_distinct(F.when(kind == "delete", version)).alias("deletes_attempted"),
+    )
+    return counted.first().asDict()
+
+
 def sync_catalog(
     store: Store,
     index_documents: DataFrame,
@@ -136,42 +150,67 @@ def sync_catalog(
     leaves_for: Leaves,
     max_pages: int | None = None,
     external_run_id: str | None = None,
+    slice_pages: int | None = None,
 ) -> RunResult:
     """Ingests the pages committed after the checkpoint, whole pages at a time.
 
     ``pages_for`` returns page documents holding at least the given pages, and
     ``leaves_for`` leaf documents holding those of the given references, so a run
     need not read the whole landing area (see ``landed_days``).
+
+    With ``slice_pages`` a long run goes in slices of so many pages: each one is
+    committed and followed by a heartbeat, so its progress can be seen while the
+    run lasts and survives its end.  A run counts the versions and packages that
+    its slices write (inserted, updated) and the deletes they attempt.
     """
 
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
         require_dated(pages)
         new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
-        chosen = first_pages(new, "commit", max_pages)
         left = new.count()
         if left == 0:
             return RunResult(before.watermark, before.folders, metrics={"pages_remaining": 0})
-        done = left if max_pages is None else chosen.count()
-        landed = pages_for(chosen)
-        require_landed(chosen, landed)
-        refs = _refs_of(chosen, landed)
-        seen = append_events(store, run.id, refs, parse_leaves(leaves_for(refs)))
-        newest = seen["watermark"]
-        folders = {**before.folders, LOG: [*before.folders.get(LOG, []), run.id]}
+        at, folders, totals, done = before.watermark, before.folders, Counter(), 0
+        while done < left and (max_pages is None or done < max_pages):
+            sizes = [n for n in (slice_pages, None if max_pages is None else max_pages - done) if n is not None]
+            chosen = first_pages(new, "commit", min(sizes, default=None))
+            taken = chosen.agg(F.count(F.lit(1)).alias("n"), F.max("commit").alias("last")).first()
+            landed = pages_for(chosen)
+            require_landed(chosen, landed)
+            name = run.id if slice_pages is None else f"{run.id}-{len(folders.get(LOG, []))}"
+            # read for the leaves' days and again for the events, but parsed once
+            refs = _refs_of(chosen, landed)
+            store.write(REFS, name, refs)
+            refs = store.read(REFS, [name], refs.schema)
+            seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
+            newest = seen.pop("watermark")
+            totals.update({**seen, **written(store, name)})
+            done += taken.n
+            at = at if newest is None else newest.commit_text
+            folders = {**folders, LOG: [*folders.get(LOG, []), name]}
+            if slice_pages is not None:
+                store.commit(SOURCE, at, rebased(before.folders, folders, store.checkpoint(SOURCE).folders), "running", _rows_of(totals))
+                run.heartbeat(totals["versions"], totals["packages"], totals["deletes_attempted"], done, at)
+            new = after_watermark(pages, F.col("commit"), commit_key(F.lit(taken.last.commit_text)))
         return RunResult(
-            before.watermark if newest is None else newest.commit_text,
+            at,
             folders,
             status="completed" if done == left else "partial",
-            inserted=seen["details"],
-            deleted=seen["deletes"],
+            inserted=totals["versions"],
+            updated=totals["packages"],
+            deleted=totals["deletes_attempted"],
             pages=done,
-            metrics={**seen, "pages_remaining": left - done},
+            metrics={**totals, "watermark": at, "pages_remaining": left - done},
         )
 
     return run_job(store, SOURCE, work, external_run_id)
 
 
+def _rows_of(totals: Counter) -> int:
+    return totals["versions"] + totals["packages"] + totals["deletes_attempted"]
+
+
 # --- tables ------------------------------------------------------------------
 
 

@@ -211,8 +211,12 @@ class Store:
 
     # --- runs ----------------------------------------------------------------
 
+    def run_events(self) -> DataFrame:
+        """Every row of the ledger, heartbeats included."""
+        return self._rows("run_ledger", schemas.RUN_EVENT)
+
     def runs(self) -> DataFrame:
-        return current_runs(self._rows("run_ledger", schemas.RUN_EVENT))
+        return current_runs(self.run_events())
 
     def log_run(self, **values: Any) -> None:
         self._append("run_ledger", schemas.RUN_EVENT, event_at=_now(), **values)

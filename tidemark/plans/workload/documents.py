@@ -319,6 +319,32 @@ def fold_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_versions(catalog.version_state(store), "deleted_at")
 
 
+# A heartbeat after every ten pages; a run's last row repeats the last one as completed.
+@query(f"""WITH {_EVENTS},
+placed AS (SELECT *, (dense_rank() OVER (ORDER BY page_url) - 1) // 10 AS slice FROM ev),
+slices AS (
+  SELECT slice, count(DISTINCT page_url) AS pages, max(commit_text) AS watermark,
+    count(DISTINCT (package_id, version)) FILTER (NOT gone AND problem IS NULL) AS versions,
+    count(DISTINCT package_id) FILTER (NOT gone AND problem IS NULL) AS packages,
+    count(DISTINCT (package_id, version)) FILTER (gone) AS deletes FROM placed GROUP BY slice),
+beats AS (
+  SELECT slice, watermark, sum(versions) OVER w AS versions, sum(packages) OVER w AS packages, sum(deletes) OVER w AS deletes, sum(pages) OVER w AS pages
+  FROM slices WINDOW w AS (ORDER BY slice)),
+rows_ AS (
+  SELECT 'running' AS status, 0 AS v, 0 AS p, 0 AS d, 0 AS pages, NULL AS watermark
+  UNION ALL SELECT 'running', versions, packages, deletes, pages, watermark FROM beats
+  UNION ALL SELECT 'completed', versions, packages, deletes, pages, watermark FROM beats WHERE slice = (SELECT max(slice) FROM beats))
+SELECT status, v::BIGINT AS rows_inserted, p::BIGINT AS rows_updated, d::BIGINT AS rows_deleted, pages::INTEGER AS pages_processed, watermark AS watermark_after
+FROM rows_""")
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ledger row of one sync in slices: it opens, reports after each slice, and settles."""
+    store, index = Store(spark, shared_dir(spark, "run-progress")), _index_documents(spark, sf_dir)
+    catalog.sync_catalog(
+        store, index, lambda pages: _page_documents(spark, sf_dir), lambda refs: _leaf_documents(spark, sf_dir), slice_pages=10
+    )
+    return store.run_events().select("status", "rows_inserted", "rows_updated", "rows_deleted", "pages_processed", "watermark_after")
+
+
 # Only what a fold had stored is marked, by all pages, whatever was published after.
 @query(f"""WITH {_EVENTS},
 d AS (SELECT * FROM (

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.catalog import LOG, SOURCE, Leaves, append_events, is_after, require_readable
+from tidemark.plans.catalog import LOG, REFS, SOURCE, Leaves, append_events, is_after, require_readable, written
 from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
 from tidemark.sources.catalog import parse_leaves, parse_pages
 
@@ -44,7 +44,10 @@ def stream_pages(
                 return RunResult(before.watermark, before.folders)
             require_readable(documents)
             others = [n for n in before.folders.get(STREAMED, []) if not n.startswith(f"stream-{stream}-")]
-            seen = append_events(store, name, refs, parse_leaves(leaves_for(refs)))
+            store.write(REFS, name, refs)  # a replayed batch overwrites them, too
+            stored = store.read(REFS, [name], refs.schema)
+            seen = append_events(store, name, stored, parse_leaves(leaves_for(stored)))
+            totals = written(store, name)
             log = [*before.folders.get(LOG, []), name]
             newest, watermark = seen["watermark"], before.watermark
             # Files land in any order; the watermark never goes back.
@@ -53,9 +56,10 @@ def stream_pages(
             return RunResult(
                 watermark,
                 {**before.folders, LOG: log, STREAMED: [*others, name]},
-                inserted=seen["details"],
-                deleted=seen["deletes"],
-                metrics=seen,
+                inserted=totals["versions"],
+                updated=totals["packages"],
+                deleted=totals["deletes_attempted"],
+                metrics={**seen, **totals},
             )
 
         run_job(store, SOURCE, work)
