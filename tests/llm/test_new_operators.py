@@ -150,11 +150,11 @@ def test_evolution_beats_falling_lengths():
         lengths += [a, b, capacity - a - b]
     least = packing.bound(np.array(lengths), capacity)
     population = packing.first_population(lengths, capacity, 0, rng)
-    falling = len(packing.best_fit([], sorted(range(60), key=lambda i: -lengths[i]), lengths, capacity))
-    start = max(packing.fitness(p, lengths, capacity) for p in population)
+    falling = len(packing.best_fit(packing.Bins([], []), sorted(range(60), key=lambda i: -lengths[i]), lengths, capacity))
+    start = max(packing.fitness(p, capacity) for p in population)
     for _ in range(40):
         population = packing.evolve(population, lengths, capacity, least, rng)
-    assert packing.fitness(population[0], lengths, capacity) > start
+    assert packing.fitness(population[0], capacity) > start
     assert least <= len(population[0]) < falling
     for solution in population:
         assert sorted(i for b in solution for i in b) == list(range(60))
@@ -178,10 +178,10 @@ def test_islands_migrate_until_they_end(spark, monkeypatch):
 def test_crossover_keeps_items_and_injects_bins():
     rng = random.Random(6)
     lengths = [rng.randint(1, 60) for _ in range(200)]
-    one, two = (packing.best_fit([], rng.sample(range(200), 200), lengths, 100) for _ in range(2))
+    one, two = (packing.best_fit(packing.Bins([], []), rng.sample(range(200), 200), lengths, 100) for _ in range(2))
     child = packing.crossover(one, two, lengths, 100, rng)
     assert sorted(i for b in child for i in b) == list(range(200))
-    assert all(sum(lengths[i] for i in b) <= 100 for b in child)
+    assert [100 - sum(lengths[i] for i in b) for b in child] == child.rooms and min(child.rooms) >= 0
     whole = {frozenset(b) for b in child}
     assert sum(any(frozenset(b) <= c for c in whole) for b in two) >= len(two) // 8
 
@@ -383,3 +383,10 @@ def test_packing_query(spark, tmp_path, tokenizer):
     rows = queries.op11_genetic_packing(spark, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=repr) == plain_pieces(awkward_rows(), tokenizer, 4096)
     assert check_layout(rows, 4096) <= -(-sum(r.length for r in rows) // 4096) + 1
+
+
+def test_all_operators_are_registered():
+    """The entry does without what cannot be imported, so a mistake in an import would only show here."""
+    import __spark_entry__ as entry
+
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in entry.queries() if q.startswith("op") or q == "pipeline"}

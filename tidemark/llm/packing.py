@@ -220,10 +220,10 @@ class Rooms:
 
     def __init__(self, capacity: int):
         self.capacity, self.mask = capacity, 0
-        self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.bins: dict[int, list[int]] = {}
 
     def add(self, bin_: int, room: int) -> None:
-        self.bins[room].append(bin_)
+        self.bins.setdefault(room, []).append(bin_)
         self.mask |= 1 << room
 
     def tightest(self, length: int) -> tuple[int, int] | None:
@@ -232,59 +232,77 @@ class Rooms:
         if not fitting:
             return None
         room = length + (fitting & -fitting).bit_length() - 1
-        bin_ = self.bins[room].pop()
-        if not self.bins[room]:
+        alike = self.bins[room]
+        bin_ = alike.pop()
+        if not alike:
             self.mask &= ~(1 << room)
         return bin_, room
 
 
-def best_fit(bins: list[list[int]], items: list[int], lengths: list[int], capacity: int) -> list[list[int]]:
+class Bins(list):
+    """A solution: the items of each bin, and the room that each bin has."""
+
+    def __init__(self, bins: list[list[int]], rooms: list[int]):
+        super().__init__(bins)
+        self.rooms = rooms
+
+    @classmethod
+    def of(cls, bins: list[list[int]], lengths: list[int], capacity: int) -> Bins:
+        return cls(bins, [capacity - sum(lengths[i] for i in b) for b in bins])
+
+
+def best_fit(bins: Bins, items: list[int], lengths: list[int], capacity: int) -> Bins:
     """The bins with the items added in the given order, each where the least room is left."""
-    bins = [list(b) for b in bins]
+    made = Bins(bins, list(bins.rooms))
     rooms = Rooms(capacity)
-    for k, held in enumerate(bins):
-        rooms.add(k, capacity - sum(lengths[i] for i in held))
+    for k, room in enumerate(made.rooms):
+        rooms.add(k, room)
     for i in items:
         found = rooms.tightest(lengths[i])
         if found is None:
-            bins.append([])
-            found = len(bins) - 1, capacity
-        bins[found[0]].append(i)
-        rooms.add(found[0], found[1] - lengths[i])
-    return bins
+            made.append([])
+            made.rooms.append(capacity)
+            found = len(made) - 1, capacity
+        k, room = found
+        made[k] = [*made[k], i]
+        made.rooms[k] = room - lengths[i]
+        rooms.add(k, made.rooms[k])
+    return made
 
 
-def fitness(bins: list[list[int]], lengths: list[int], capacity: int) -> tuple[int, float]:
-    """Fewer bins are better; of equal numbers, the one with fuller bins beside emptier ones."""
-    return -len(bins), sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins)
+def fitness(bins: Bins, capacity: int) -> tuple[int, int]:
+    """Fewer bins are better; of equal numbers, the one with fuller bins beside emptier ones: the squares of the fillings."""
+    return -len(bins), sum((capacity - room) ** 2 for room in bins.rooms)
 
 
-def crossover(one: list[list[int]], two: list[list[int]], lengths: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
+def crossover(one: Bins, two: Bins, lengths: list[int], capacity: int, rng: random.Random) -> Bins:
     """A child: well-filled bins of `two` injected whole into `one`."""
-    by_room = sorted(two, key=lambda b: capacity - sum(lengths[i] for i in b))
+    by_room = sorted(range(len(two)), key=two.rooms.__getitem__)
     fullest = by_room[: max(1, len(by_room) // 2)]
     injected = rng.sample(fullest, max(1, len(fullest) // 2))
-    inside = {i for b in injected for i in b}
+    inside = {i for k in injected for i in two[k]}
     kept, displaced = [], []
-    for held in one:
+    for k, held in enumerate(one):
         if inside.isdisjoint(held):
-            kept.append(held)
+            kept.append(k)
         else:
             displaced.extend(i for i in held if i not in inside)
     displaced.sort(key=lambda i: (-lengths[i], i))
-    return best_fit(kept + injected, displaced, lengths, capacity)
+    joined = Bins([*(one[k] for k in kept), *(two[k] for k in injected)], [*(one.rooms[k] for k in kept), *(two.rooms[k] for k in injected)])
+    return best_fit(joined, displaced, lengths, capacity)
 
 
-def mutated(bins: list[list[int]], lengths: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
+def mutated(bins: Bins, lengths: list[int], capacity: int, rng: random.Random) -> Bins:
     """The emptiest bins and a few others taken apart and fitted anew."""
-    order = sorted(range(len(bins)), key=lambda k: sum(lengths[i] for i in bins[k]))
+    order = sorted(range(len(bins)), key=lambda k: -bins.rooms[k])
     gone = {*order[:3], *rng.sample(order, min(len(order), 3))}
-    loose = [i for k in gone for i in bins[k]]
+    loose = [i for k in sorted(gone) for i in bins[k]]
     rng.shuffle(loose)
-    return best_fit([b for k, b in enumerate(bins) if k not in gone], loose, lengths, capacity)
+    stay = [k for k in range(len(bins)) if k not in gone]
+    return best_fit(Bins([bins[k] for k in stay], [bins.rooms[k] for k in stay]), loose, lengths, capacity)
 
 
-def first_population(lengths: list[int], capacity: int, island: int, rng: random.Random) -> list[list[list[int]]]:
+def first_population(lengths: list[int], capacity: int, island: int, rng: random.Random) -> list[Bins]:
     """Items best-fitted in random orders; on the first island one solution takes them by falling length."""
     out = []
     for k in range(POPULATION):
@@ -293,15 +311,15 @@ def first_population(lengths: list[int], capacity: int, island: int, rng: random
             order.sort(key=lambda i: (-lengths[i], i))
         else:
             rng.shuffle(order)
-        out.append(best_fit([], order, lengths, capacity))
+        out.append(best_fit(Bins([], []), order, lengths, capacity))
     return out
 
 
-def evolve(population: list[list[list[int]]], lengths: list[int], capacity: int, least: int, rng: random.Random) -> list[list[list[int]]]:
+def evolve(population: list[Bins], lengths: list[int], capacity: int, least: int, rng: random.Random) -> list[Bins]:
     """The best POPULATION of these solutions and up to CHILDREN children, best first; ends early at the bound."""
 
     def valued(bins):
-        return fitness(bins, lengths, capacity), bins
+        return fitness(bins, capacity), bins
 
     held = sorted(map(valued, population), key=itemgetter(0), reverse=True)[:POPULATION]
     for _ in range(CHILDREN):
@@ -350,7 +368,7 @@ def _evolved(capacity: int, epoch: int) -> Callable[[Iterator[pa.RecordBatch]],
                 if row["solutions"] is None:
                     population = first_population(lengths, capacity, row["island"], rng)
                 else:
-                    population = [unpacked_bins(s) for s in [*row["solutions"], row["elite"]]]
+                    population = [Bins.of(unpacked_bins(s), lengths, capacity) for s in [*row["solutions"], row["elite"]]]
                 population = evolve(population, lengths, capacity, least, rng)
                 made = {
                     "shard": row["shard"], "island": row["island"], "lengths": lengths, "least": least,
@@ -373,8 +391,8 @@ def _migrated(state: DataFrame) -> DataFrame:
 
 
 def _spread(rows: DataFrame, n_rows: int) -> DataFrame:
-    """A few rows a task: the work is in the rows, not in their bytes."""
-    return rows.repartition(max(1, min(n_rows // 4, 1 << 14)), "shard", "island")
+    """Some rows a task: the work is in the rows, not in their bytes."""
+    return rows.repartition(max(1, min(n_rows // 16, 1 << 14)), "shard", "island")
 
 
 def pack_level(items: DataFrame, n_shards: int, capacity: int, level: int) -> DataFrame:
