@@ -356,6 +356,23 @@ def test_quality_verdicts(spark):
     assert [kept[i] for i in range(100, 105)] == [False, False, True, True, False]
 
 
+def test_quality_of_a_small_language(spark):
+    """A language of a few documents is judged as a large one is; texts that fail by repeats are no reference."""
+    rng = random.Random(5)
+    german = quality.COMMON_WORDS["de"]
+
+    def clean(n):
+        return " ".join(rng.choice(german) if rng.random() < 0.4 else "".join(rng.choice("abdeorstn") for _ in range(6)) for _ in range(n))
+
+    rows = [(i, clean(200), "de") for i in range(8)]
+    rows += [(10, " ".join(f"{rng.random()}%%$$" for _ in range(50)), "de"), (11, "### $$$ %%% " * 4000, "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = dict(quality.quality_rules(frame).select("row.doc_id", "kept").collect())
+    assert kept == {**dict.fromkeys(range(8), True), 10: False, 11: False}
+    alone = frame.filter("doc_id = 3")
+    assert [r["kept"] for r in quality.quality_rules(alone).collect()] == [True]
+
+
 def test_js_distance(spark):
     def half(p, m):
         return sum(x * np.log2(x / y) for x, y in zip(p, m, strict=True) if x > 0)
@@ -832,15 +849,16 @@ def plain_kept(rows):
         common = [sum(w in (x, x.capitalize()) for w in ws) for x in quality.COMMON_WORDS.get(lang, [])]
         measured.append((len(ws), len(covered), [*chars, len(text or "") - sum(chars)], [*common, len(ws) - sum(common)]))
     sums = {}
-    for (_, lang), (n, _, chars, common) in zip(rows, measured, strict=True):
-        if lang in quality.COMMON_WORDS and n >= quality.MIN_WORDS:
-            old = sums.get(lang, (0, 0, 0))
-            sums[lang] = (old[0] + n, old[1] + np.array(chars), old[2] + np.array(common))
+    for (_, lang), (n, covered, chars, common) in zip(rows, measured, strict=True):
+        if lang in quality.COMMON_WORDS and n >= quality.MIN_WORDS and 2 * covered <= n:
+            shares, found = sums.setdefault(lang, ([], []))
+            shares.append([1000 * x // len(text) for x in chars])
+            found.append(common)
     out = []
     for (_, lang), (n, covered, chars, common) in zip(rows, measured, strict=True):
-        words, ref_chars, ref_common = sums.get(lang, (0, 0, 0))
         good = n >= quality.MIN_WORDS and 2 * covered <= n
-        if good and words >= quality.MIN_REFERENCE_WORDS:
+        if good and lang in sums:
+            ref_chars, ref_common = np.median(sums[lang][0], axis=0) + 1, np.sum(sums[lang][1], axis=0)
             near = plain_distance(chars, ref_chars) <= quality.MAX_CHARACTER_DISTANCE
             good = near and plain_distance(common, ref_common) <= quality.MAX_WORD_DISTANCE
         out.append(bool(good))

@@ -1,13 +1,16 @@
 """Quality rules by distribution divergence.
 
 Each document's histogram of character classes and of its language's common
-words is compared with the language's reference, summed over all documents of
-that language, by the Jensen-Shannon distance.  Built-in expressions only.
+words is compared with the language's reference, made of all documents of that
+language which pass the base rule, by the Jensen-Shannon distance.  Built-in
+expressions only.
 
 Defined results: null text has no words and fails the base rule.  A document
-whose language is null, not listed or has too small a reference is not judged
-by divergence, and neither is one below `min_words`.  Rows are judged one by
-one, so repeated rows come out alike; extra columns stay in `row`.
+that passes it is part of its language's reference, so every listed language
+that has documents to judge has one, however small the table.  A document whose
+language is null or not listed is not judged by divergence, and neither is one
+below MIN_WORDS.  Rows are judged one by one, so repeated rows come out alike;
+extra columns stay in `row`.
 """
 
 from __future__ import annotations
@@ -28,13 +31,12 @@ COMMON_WORDS = {
 }
 # What a character can be; what is left over is the last class.
 BLANK_CLASS = r"\x20\x09-\x0D"
-CHARACTER_CLASSES = ["a-z", BLANK_CLASS, r"^\x00-\x7F", "A-Z", r""".,;:!?'"()\-""", "0-9"]
 SYMBOLS = r"#*$%&|<>"
+CHARACTER_CLASSES = ["a-z", BLANK_CLASS, r"^\x00-\x7F", "A-Z", r""".,;:!?'"()\-""", "0-9", SYMBOLS]
 
 MIN_WORDS = 50
-MAX_CHARACTER_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.33
-MIN_REFERENCE_WORDS = 2000
+MAX_CHARACTER_DISTANCE = 0.18
+MAX_WORD_DISTANCE = 0.30
 
 
 def _stripped(df: DataFrame) -> DataFrame:
@@ -52,13 +54,15 @@ def _stripped(df: DataFrame) -> DataFrame:
 
 def base_measures(text: Column, ws: Column, repeats: Column) -> list[Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    blanks = CHARACTER_CLASSES.index(BLANK_CLASS)
-    before = F.char_length(f"left{blanks - 1}") - F.char_length(f"left{blanks}")
+
+    def taken(members: str) -> Column:
+        i = CHARACTER_CLASSES.index(members)
+        return F.char_length(f"left{i - 1}") - F.char_length(f"left{i}")
+
     return [
         F.size(ws).cast("long").alias("n_words"),
-        (F.char_length(text) - before).cast("long").alias("word_chars"),
-        # symbols belong to the last class, so none has been stripped
-        F.char_length(F.regexp_replace(f"left{len(CHARACTER_CLASSES) - 1}", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
+        (F.char_length(text) - taken(BLANK_CLASS)).cast("long").alias("word_chars"),
+        taken(SYMBOLS).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeats.alias("n_repeat_words"),
     ]
@@ -128,26 +132,47 @@ def _counted(features: DataFrame, *more: Column) -> DataFrame:
     return found.withColumn("word_counts", _with_rest(F.col("found"), F.col("size")))
 
 
+def _apart(measured: DataFrame) -> DataFrame:
+    """The same measures, where a filter on them is not pushed into the steps above.
+
+    Pushed down, it would repeat them for every element that they look at.
+    """
+    names = [c for c in measured.columns if c not in ("row", "lang", "joined", "mine", "found")]
+    held = F.explode(F.array(F.struct(*names))).alias("held")
+    return measured.select("row", "lang", held).select("row", "lang", "held.*")
+
+
 def language_references(docs: DataFrame) -> DataFrame:
-    """One row for each listed language: its summed histograms over all documents of at least MIN_WORDS words."""
-    counted = (
-        _counted(_features(docs).filter(F.col("lang").isin(*COMMON_WORDS)))
-        .filter(F.col("size") >= MIN_WORDS)
-        .withColumnRenamed("size", "n_words")
-    )
+    """One row for each listed language, over all its documents that pass the base rule.
+
+    Words are summed.  Of each character class the median of the documents' shares
+    is taken, so that long or odd documents cannot pull the reference to
+    themselves; shares are whole thousandths, so a median holds some thousand counts
+    at most, and one is added to each, so that no class is impossible.
+    """
+    listed = _features(docs).filter(F.col("lang").isin(*COMMON_WORDS) & (F.size("ws") >= MIN_WORDS))
+    counted = _apart(_counted(repeated_words(listed), F.col("n_repeat_words")).withColumnRenamed("size", "n_words"))
+    counted = counted.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     n_chars, n_common = len(CHARACTER_CLASSES) + 1, len(next(iter(COMMON_WORDS.values()))) + 1
+    def thousandths(i: int) -> Column:
+        total = F.aggregate("char_counts", F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.floor(F.lit(1000) * F.get("char_counts", F.lit(i)) / total)
+
     sums = counted.groupBy("lang").agg(
-        F.sum("n_words").alias("words"),
-        *(F.sum(F.get("char_counts", F.lit(i))).alias(f"c{i}") for i in range(n_chars)),
+        *(F.percentile(thousandths(i), 0.5).alias(f"c{i}") for i in range(n_chars)),
         *(F.sum(F.get("word_counts", F.lit(i))).alias(f"w{i}") for i in range(n_common)),
     )
-    return sums.filter(F.col("words") >= MIN_REFERENCE_WORDS).select(
+    return sums.select(
         F.col("lang").alias("ref_lang"),
-        F.array(*(F.col(f"c{i}") for i in range(n_chars))).alias("ref_chars"),
+        F.array(*(F.col(f"c{i}") + 1 for i in range(n_chars))).alias("ref_chars"),
         F.array(*(F.col(f"w{i}") for i in range(n_common))).alias("ref_words"),
     )
 
 
+def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
+
+
 def repeated_words(ws: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words inside 3-word windows that the text holds twice or more.
 
@@ -184,15 +209,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """
     text, ws = F.col("text"), F.col("ws")
     measured = _counted(repeated_words(_features(docs)), *base_measures(text, ws, F.col("n_repeat_words")))
-    # a filter on the results must not be pushed into the steps above: it would
-    # repeat them for every element that they look at
-    names = [c for c in measured.columns if c not in ("row", "lang", "joined", "mine", "found")]
-    held = F.explode(F.array(F.struct(*names))).alias("held")
-    measured = measured.select("row", "lang", held).select("row", "lang", "held.*")
-    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = (
-        measured.join(F.broadcast(language_references(docs)), F.col("lang") == F.col("ref_lang"), "left")
-        .withColumn("base_failed", base_failed)
+        _apart(measured).join(F.broadcast(language_references(docs)), F.col("lang") == F.col("ref_lang"), "left")
+        .withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
         .withColumn(
             "char_distance",
             F.when(~F.col("base_failed") & F.col("ref_lang").isNotNull(), js_distance(F.col("char_counts"), F.col("ref_chars"))),

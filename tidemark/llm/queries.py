@@ -156,10 +156,10 @@ bins AS (
   UNION ALL SELECT rid, lang, 'w', bin, n FROM hits
   UNION ALL SELECT b.rid, b.lang, 'w', '', b.n_words - coalesce(h.n, 0) FROM base b LEFT JOIN (SELECT rid, sum(n) AS n FROM hits GROUP BY rid) h ON h.rid = b.rid
 ), refs AS (
-  SELECT bins.lang, kind, bin, sum(n) AS n FROM bins JOIN base USING (rid)
-  WHERE n_words >= {quality.MIN_WORDS} AND bins.lang IN (SELECT lang FROM listed) GROUP BY ALL
-), big AS (SELECT lang FROM base WHERE n_words >= {quality.MIN_WORDS} GROUP BY lang HAVING sum(n_words) >= {quality.MIN_REFERENCE_WORDS}),
-q AS (SELECT lang, kind, bin, n / sum(n) OVER (PARTITION BY lang, kind) AS y FROM refs WHERE lang IN (SELECT lang FROM big)),
+  SELECT bins.lang, kind, bin, CASE max(kind) WHEN 'c' THEN quantile_cont(floor(1000 * n / total), 0.5) + 1 ELSE sum(n) END AS n
+  FROM (SELECT *, sum(n) OVER (PARTITION BY rid, kind) AS total FROM bins) bins JOIN base USING (rid)
+  WHERE n_words >= {quality.MIN_WORDS} AND 100 * n_repeat_words <= 50 * n_words AND bins.lang IN (SELECT lang FROM listed) GROUP BY ALL
+), q AS (SELECT lang, kind, bin, n / sum(n) OVER (PARTITION BY lang, kind) AS y FROM refs),
 p AS (SELECT rid, lang, kind, bin, n / nullif(sum(n) OVER (PARTITION BY rid, kind), 0) AS x FROM bins),
 both_ AS (
   SELECT b.rid, q.kind, coalesce(p.x, 0) AS x, q.y FROM base b JOIN q ON q.lang = b.lang LEFT JOIN p ON p.rid = b.rid AND p.kind = q.kind AND p.bin = q.bin
