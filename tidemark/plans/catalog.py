@@ -48,7 +48,7 @@ DELETES = "backfill_deletes"
 FLOORS = (row_floor("nonempty"),)
 
 
-def _watermark(text: str) -> Column | None:
+def watermark_key(text: str) -> Column | None:
     return None if text == INITIAL else commit_key(F.lit(text))
 
 
@@ -167,7 +167,7 @@ def sync_catalog(
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
         require_dated(pages)
-        new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
+        new = after_watermark(pages, F.col("commit"), watermark_key(before.watermark))
         left = new.count()
         if left == 0:
             return RunResult(before.watermark, before.folders, metrics={"pages_remaining": 0})
@@ -371,7 +371,7 @@ def backfill_deletes(
     def work(before: Checkpoint, run: Run) -> RunResult:
         pages = parse_index(index_documents)
         require_dated(pages)
-        new = after_watermark(pages, F.col("commit"), _watermark(before.watermark))
+        new = after_watermark(pages, F.col("commit"), watermark_key(before.watermark))
         chosen = first_pages(new, "commit", max_pages)
         left = new.count()
         catalog = store.checkpoint(SOURCE)

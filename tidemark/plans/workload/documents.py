@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
+from tidemark.functions.times import commit_key
 from tidemark.operators.events import current_state
 from tidemark.operators.licenses import list_profile
 from tidemark.operators.quality import BlockingCheckFailed, approved_floor, row_floor
@@ -32,7 +34,8 @@ from tidemark.sources import (
     parse_pages,
     rejected,
 )
-from tidemark.streaming.catalog_stream import stream_pages
+from tidemark.sources.catalog import page_states
+from tidemark.streaming.catalog_stream import AHEAD, stream_pages
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -95,7 +98,7 @@ def _page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page = F.struct(
         _page_url().alias("@id"),
-        F.concat(F.col("day").cast("string"), F.lit("T23:59:59Z")).alias("commitTimeStamp"),
+        F.concat(F.col("day").cast("string"), F.lit("T23:59:59.999999Z")).alias("commitTimeStamp"),
         F.array(item).alias("items"),
     )
     return _events(spark, sf_dir).select(F.to_json(page).alias("value"))
@@ -382,6 +385,43 @@ def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_versions(catalog.version_state(store), "deleted_at")
 
 
+_LATE_DAY = 17  # of the month; its pages land after all others
+
+
+@query(f"""WITH {_EVENTS}, page AS (
+  SELECT page_url, CAST(max(ts) AS DATE) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND AS last_ts,
+    day(any_value(ts)) = {_LATE_DAY} AS is_late FROM ev GROUP BY page_url),
+hole AS (SELECT coalesce(min(last_ts), TIMESTAMP '9999-01-01') AS first_ts FROM page WHERE is_late)
+SELECT 1 AS run, (SELECT epoch_us(max(last_ts)) FROM page, hole WHERE last_ts < first_ts) AS watermark_micros,
+  (SELECT count(*) FROM ev WHERE NOT gone AND day(ts) <> {_LATE_DAY}) AS details,
+  (SELECT count(*) FROM page, hole WHERE NOT is_late AND last_ts > first_ts) AS pages_ahead
+UNION ALL SELECT 2, (SELECT epoch_us(max(last_ts)) FROM page), (SELECT count(*) FROM ev WHERE NOT gone), 0""")
+def stream_past_a_hole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream run twice, one day's pages landing between: watermark, applied or rejected details, and pages read ahead of it, after each run."""
+    root = shared_dir(spark, "stream-hole")
+    index = shared_dir(spark, "stream-hole-index")
+    page = page_states(_page_documents(spark, sf_dir)).select("page_url", "commit.commit_text").distinct()
+    items = F.array(F.struct(F.col("page_url").alias("@id"), F.col("commit_text").alias("commitTimeStamp")))
+    page.select(F.to_json(F.struct(items.alias("items"))).alias("value")).write.text(index)
+    leaves = _leaf_documents(spark, sf_dir)
+    leaves.select("value", "day").write.partitionBy("day").text(f"{root}/leaves")
+    late = F.get_json_object("value", "$.commitTimeStamp").substr(9, 2) == f"{_LATE_DAY:02d}"
+    store, shown = Store(spark, f"{root}/store"), []
+    for run, landing in ((1, ~late), (2, late)):
+        _page_documents(spark, sf_dir).filter(landing).write.mode("append").text(f"{root}/pages")
+        stream_pages(
+            store, f"{root}/pages", lambda refs: catalog.landed_days(spark, f"{root}/leaves", refs), f"{root}/offsets",
+            one_per_file=False, index=lambda: spark.read.text(index),
+        ).awaitTermination()
+        at = store.checkpoint(catalog.SOURCE)
+        ahead = store.read(AHEAD, at.folders.get(AHEAD, []), schemas.PAGES_READ)
+        micros = F.unix_micros(commit_key(F.lit(at.watermark))["commit_at"]).alias("watermark_micros")
+        details = F.count_if(F.col("kind") != "delete").alias("details")
+        n_ahead = F.lit(ahead.select("page_url").distinct().count()).alias("pages_ahead")
+        shown.append(catalog.catalog_log(store, at).agg(details).select(F.lit(run).alias("run"), micros, "details", n_ahead))
+    return shown[0].unionByName(shown[1])
+
+
 @query("""SELECT concat('Lic-', CAST(s_suppkey AS VARCHAR), '.0') AS license_id, s_name AS name,
   CASE WHEN s_nationkey < 20 THEN s_acctbal >= 3000 ELSE false END AS is_osi_approved,
   s_nationkey % 2 = 0 AS is_fsf_libre, false AS is_deprecated_id,

@@ -121,6 +121,8 @@ PLACE = _struct(page_commit=STR, page_url=STR, position=INT)
 
 # Every applied or rejected event, one folder per batch; kind is details, delete
 # or reject.
+PAGES_READ = _struct(page_url=STR, commit=COMMIT)
+
 CATALOG_LOG = _struct(
     package_id=STR,
     version=STR,

@@ -54,13 +54,15 @@ def _landed_url(documents: DataFrame) -> Column:
 
 
 def page_states(documents: DataFrame) -> DataFrame:
-    """page_url, and whether the whole page could be read."""
+    """page_url, the commit that the page states, and whether the whole page could be read."""
     schema = StructType([*schemas.CATALOG_PAGE_DOC, StructField(schemas.CORRUPT, StringType())])
     doc = _ddl_json(F.col("value"), schema, schemas.CORRUPT)
     pages = documents.select(_landed_url(documents).alias("url"), doc.alias("doc"))
     readable = F.col(f"doc.{schemas.CORRUPT}").isNull() & F.col("doc.items").isNotNull()
     return pages.select(
-        F.coalesce(F.col("doc.`@id`"), F.col("url")).alias("page_url"), F.coalesce(readable, F.lit(False)).alias("readable")
+        F.coalesce(F.col("doc.`@id`"), F.col("url")).alias("page_url"),
+        commit_key(F.col("doc.commitTimeStamp")).alias("commit"),
+        F.coalesce(readable, F.lit(False)).alias("readable"),
     )
 
 

@@ -3,15 +3,46 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.catalog import LOG, REFS, SOURCE, Leaves, append_events, is_after, require_readable, written
+from tidemark import schemas
+from tidemark.operators.cursors import low_watermark
+from tidemark.operators.events import after_watermark
+from tidemark.plans.catalog import (
+    LOG,
+    REFS,
+    SOURCE,
+    Leaves,
+    append_events,
+    is_after,
+    require_dated,
+    require_readable,
+    watermark_key,
+    written,
+)
 from tidemark.plans.store import Checkpoint, Run, RunResult, Store, run_job
-from tidemark.sources.catalog import parse_leaves, parse_pages
+from tidemark.sources.catalog import page_states, parse_index, parse_leaves, parse_pages
 
 STREAMED = "streamed"  # the last batch of each stream, beside the folders in the checkpoint
+AHEAD = "pages_ahead"  # pages read that the watermark has not passed
+
+
+def _without_holes(store: Store, name: str, index: DataFrame, read: DataFrame, watermark: str) -> str:
+    """The watermark by the index, and a new folder of the pages read that lie ahead of it."""
+    pages = parse_index(index)
+    require_dated(pages)
+    low = low_watermark(after_watermark(pages, F.col("commit"), watermark_key(watermark)), read)
+    watermark = watermark if low is None else low
+    at = watermark_key(watermark)
+    passed = pages.filter(F.lit(False) if at is None else F.col("commit") <= at)
+    passed = passed.select(F.col("page_url").alias("_page"), F.col("commit").alias("_passed"))
+    ahead = read.join(passed, (F.col("page_url") == F.col("_page")) & (F.col("commit") <= F.col("_passed")), "left_anti")
+    store.write(AHEAD, name, ahead)
+    return watermark
 
 
 def stream_pages(
@@ -21,6 +52,7 @@ def stream_pages(
     checkpoint: str,
     files_per_batch: int | None = None,
     one_per_file: bool = True,
+    index: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Ingests page documents as their files land, until none is left.
 
@@ -28,6 +60,12 @@ def stream_pages(
     so a batch reads its own days of leaves and not the whole landing area.  The log
     folder is named by stream and batch: a replayed batch overwrites itself.  A page
     that cannot be read fails its batch before anything is stored.
+
+    ``index`` returns the index documents as they stand.  With it the watermark stays
+    before the first page of the index that has not been read, however late it
+    lands, so a batch job that goes on from there misses nothing; pages beyond are
+    applied as they come, and what a later job reads again changes nothing.  Without
+    it the watermark is the newest commit read.
     """
     spark = store.spark
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
@@ -50,12 +88,18 @@ def stream_pages(
             totals = written(store, name)
             log = [*before.folders.get(LOG, []), name]
             newest, watermark = seen["watermark"], before.watermark
+            folders = {**before.folders, LOG: log, STREAMED: [*others, name]}
+            if index is not None:
+                now = page_states(documents).filter("readable").select("page_url", "commit")
+                ahead = store.read(AHEAD, before.folders.get(AHEAD, []), schemas.PAGES_READ)
+                watermark = _without_holes(store, name, index(), ahead.unionByName(now), watermark)
+                folders[AHEAD] = [name]
             # Files land in any order; the watermark never goes back.
-            if newest is not None and is_after(spark, newest.commit_text, watermark):
+            elif newest is not None and is_after(spark, newest.commit_text, watermark):
                 watermark = newest.commit_text
             return RunResult(
                 watermark,
-                {**before.folders, LOG: log, STREAMED: [*others, name]},
+                folders,
                 inserted=totals["versions"],
                 updated=totals["packages"],
                 deleted=totals["deletes_attempted"],
