@@ -69,7 +69,8 @@ def is_after(spark: SparkSession, commit: str, watermark: str) -> bool:
 def _refs_of(pages: DataFrame, page_documents: DataFrame) -> DataFrame:
     urls = pages.select(F.col("page_url").alias("_page"))
     refs = parse_pages(page_documents)
-    return refs.join(urls, F.col("place.page_url") == F.col("_page"), "left_semi")
+    # no entry lacks its URL; a plain equality would test the pages' own for null first and parse them twice
+    return refs.join(urls, F.col("place.page_url").eqNullSafe(F.col("_page")), "left_semi")
 
 
 def require_dated(pages: DataFrame) -> None:
@@ -82,8 +83,9 @@ def require_dated(pages: DataFrame) -> None:
 
 def require_landed(chosen: DataFrame, page_documents: DataFrame) -> None:
     """Fails if a chosen page has not landed or cannot be read, before the watermark passes it."""
-    whole = page_states(page_documents).filter("readable").select(F.col("page_url").alias("_page"))
-    missing = chosen.join(whole, F.col("page_url") == F.col("_page"), "left_anti")
+    # a filter by `readable` would parse the pages twice, once where they are read
+    whole = page_states(page_documents).select(F.when(F.col("readable"), F.col("page_url")).alias("_page")).distinct()
+    missing = chosen.join(whole, F.col("page_url").eqNullSafe(F.col("_page")), "left_anti")
     named = [row.page_url for row in missing.select("page_url").limit(SHOWN).collect()]
     if named:
         raise LookupError(f"pages not landed or not readable: {named}")

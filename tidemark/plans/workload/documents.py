@@ -56,7 +56,9 @@ _EVENTS = r"""ev AS (
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
-    return table(spark, sf_dir, "events").select(
+    # a scan task takes a row group, whose events are many times their size as documents
+    spread = table(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id", "ts")
+    return spread.select(
         "event_id",
         "value",
         k.cast("int").alias("k"),
@@ -417,7 +419,7 @@ def stream_past_a_hole(spark: SparkSession, sf_dir: str) -> DataFrame:
         ahead = store.read(AHEAD, at.folders.get(AHEAD, []), schemas.PAGES_READ)
         micros = F.unix_micros(commit_key(F.lit(at.watermark))["commit_at"]).alias("watermark_micros")
         details = F.count_if(F.col("kind") != "delete").alias("details")
-        n_ahead = F.lit(ahead.select("page_url").distinct().count()).alias("pages_ahead")
+        n_ahead = F.lit(ahead.select("page_url").distinct().count()).cast("bigint").alias("pages_ahead")
         shown.append(catalog.catalog_log(store, at).agg(details).select(F.lit(run).alias("run"), micros, "details", n_ahead))
     return shown[0].unionByName(shown[1])
 
