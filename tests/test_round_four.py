@@ -1,7 +1,9 @@
 """What grew faster than its input: parsing in one task, bytes of pairs, time of the line and suffix steps."""
 
+import numpy as np
 import pytest
 
+from tidemark.llm import suffixes
 from tidemark.plans.workload import documents
 
 
@@ -16,3 +18,16 @@ def one_row_group(spark, tmp_path):
 def test_documents_of_one_row_group_are_made_by_all_tasks(spark, one_row_group):
     for made in (documents._page_documents, documents._leaf_documents):
         assert made(spark, one_row_group).rdd.getNumPartitions() > 1
+
+
+def test_suffixes_that_have_their_place_are_not_sorted_again(monkeypatch):
+    rng, sorted_, argsort = np.random.default_rng(0), [], np.argsort
+    symbols = np.append(rng.integers(1, 257, 5000), 0).astype(np.int16)
+    symbols[3000:3600] = symbols[1000:1600]
+    monkeypatch.setattr(suffixes.np, "argsort", lambda a, **kw: sorted_.append(len(a)) or argsort(a, **kw))
+    order = suffixes.suffix_order(symbols, 400)
+    monkeypatch.undo()
+    assert sum(sorted_) < 3 * len(symbols)
+    assert [bytes(symbols[i:].astype(">i2"))[:800] for i in order] == sorted(bytes(symbols[i:].astype(">i2"))[:800] for i in order)
+    heads = suffixes.shared_intervals(symbols, 400)[1]
+    assert len(symbols) - len(heads) == 201
