@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import suffixes
+from tidemark.llm import common, lines, suffixes
 from tidemark.plans.workload import documents
 
 
@@ -31,3 +31,20 @@ def test_suffixes_that_have_their_place_are_not_sorted_again(monkeypatch):
     assert [bytes(symbols[i:].astype(">i2"))[:800] for i in order] == sorted(bytes(symbols[i:].astype(">i2"))[:800] for i in order)
     heads = suffixes.shared_intervals(symbols, 400)[1]
     assert len(symbols) - len(heads) == 201
+
+
+def test_texts_are_cut_into_lines_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three four five\nb\n"), (2, " one\ttwo  three four\nb"), (3, "one two three four five\n \nc")], "doc_id long, text string")
+    plans, stored = [], common.settled
+    for module in (common, lines):
+        monkeypatch.setattr(module, "settled", lambda df, purpose: plans.append(df._jdf.queryExecution().toString()) or stored(df, purpose))
+    got = {r.doc_id: (r.kept_text, r.n_removed) for r in lines.dedup_lines(docs).select("row.doc_id", "kept_text", "n_removed").collect()}
+    assert got == {1: ("one two three four five\nb\n", 0), 2: (" one\ttwo  three four\nb", 0), 3: ("\n".join([" ", "c"]), 1)}
+    assert sum("posexplode" in p for p in plans) == 1
+
+
+def test_long_lines_are_those_of_five_words(spark):
+    texts = ["a b c d e", " \ta b\vc d\fe ", "a b c d ", "  a  b", "a", "é b c d è", "a b c d\r", "x" * 50 + " b c d e"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.long for r in lines.line_rows(docs, 5).collect()}
+    assert got == {i: len(t.encode().split()) >= 5 for i, t in enumerate(texts)}

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ranked, settled, text_key
+from tidemark.llm.common import forget, ranked, settled, text_key
 
 MIN_LINES = 2
 #: A line of so many words is a run of its own.
@@ -44,7 +44,8 @@ def _worded(lines: Column) -> Column:
 def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, key, seq, 128 bits of content and whether it has `min_words` words, for each line with a word."""
     lines = F.filter(_lines(F.col("text")), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    several = rf"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{min_words - 1}}}[^\x20\x09-\x0D]"
+    # from the start and without a way back: no line is read more than once
+    several = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{min_words - 1}}}[^\x20\x09-\x0D]"
     hashed = F.transform(
         lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), x.rlike(several).alias("long"))
     )
@@ -85,7 +86,10 @@ def suffix_rounds(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     A suffix has doc_id, key, seq, long (of its first line), rank of its interval
     and later.  The last round is the last in which anything repeats.
     """
-    rounds = [(1, _named(line_rows(docs, min_words), ["a", "b"]))]
+    # stored: the first round reads them twice, and cutting texts into lines costs most
+    lines = settled(line_rows(docs, min_words), "line-rows")
+    rounds = [(1, _named(lines, ["a", "b"]))]
+    forget(lines)
     while True:
         length, suffixes = rounds[-1]
         step = min(length, min_lines - length) if length < min_lines else length
