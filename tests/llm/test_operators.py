@@ -113,6 +113,31 @@ def test_jaccard_join_chains_and_frequent_shingles(spark):
     assert collected(found) == plain_components(rows)
 
 
+def test_pairs_of_a_run_are_listed_about_once(spark):
+    """Texts that share half of their rare shingles are no candidates, and a pair that meets in many runs is not listed in each."""
+    rng, rows = random.Random(5), []
+    for g in range(4):
+        body, near = prose(rng, 150), prose(rng, 150).split()
+        for k in range(12):
+            rows.append((g * 100 + k, body + " " + " ".join(f"own{g}-{k}-{i}" for i in range(150))))
+            rows.append((g * 100 + 50 + k, " ".join(near)))
+            for i in rng.sample(range(len(near)), 2):
+                near[i] = f"new{g}-{k}-{i}"
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets, sketches = jaccard_join.set_table(frame)
+    labelled = jaccard_join.shared_prefixes(frame, sets, sketches).withColumn("label", F.col("a"))
+    dealt = jaccard_join._token_rows(labelled).repartition("token").sortWithinPartitions("token", "label", "a")
+    listed = collected(dealt.mapInArrow(jaccard_join._cross_pairs, "a long, b long"))
+    digest = {r["doc_id"]: r["digest"] for r in sets.collect()}
+    texts = {digest[doc_id]: plain_set(text) for doc_id, text in rows}
+    links = {(a, b) for a in texts for b in texts if a < b and 100 * len(texts[a] & texts[b]) >= 75 * len(texts[a] | texts[b])}
+    assert len(links) > 50
+    assert links <= set(listed) == set(collected(jaccard_join.all_pairs(labelled)))
+    assert len(listed) <= 4 * len(set(listed))
+    halves = {digest[doc_id] for doc_id, _ in rows if doc_id % 100 < 50}
+    assert not any(a in halves for a, _ in listed)
+
+
 def test_jaccard_join_of_nothing(empty):
     assert jaccard_join.jaccard_components(empty).count() == 0
 

@@ -3,11 +3,12 @@
 A document's set holds the hashes of its distinct 5-word shingles.  Two sets
 that link share a token among the first n - ceil(t n) + 1 of each, whatever the
 global order.  Order one puts tokens of frequent sketch cells last and brings
-documents together by prefix token.  Among the tokens so shared, orders two and
-three (ascending and descending hash) must each find a common one in prefixes
-made as short as the link still allows, and bit signatures of them must leave
-room for as many common ones as a link takes; pairs that all orders agree on
-are verified on whole sets.
+documents together by prefix token.  Among the tokens so shared, order two
+(ascending hash) must find a common one in prefixes made as short as the link
+still allows, and bit signatures of them and of the whole sets must leave room
+for as many common ones as a link takes.  Of the runs in which a pair meets, those
+that follow closely on another one do not list it again.  Listed pairs are verified
+on whole sets, order three (descending hash) first.
 
 Equal sets are one node.  First rounds test documents against a few documents of
 their tokens' runs only, chosen anew each round, which joins a group of near
@@ -48,6 +49,10 @@ HUBS = 8
 GUESSES = 32
 #: Words of 64 bits in the signature of a set's shared prefix tokens.
 SIGNATURE = [f"s{i}" for i in range(4)]
+#: Bits in the signature of a whole set.
+WHOLE_BITS = 512
+#: The tokens before a shared one, by which a pair that has met in one of their runs is known.
+BEFORE = [f"p{i}" for i in range(1, 5)]
 #: Up to so many rows of 16 bytes are sent to all tasks to find documents; more are joined by a shuffle.
 SENT_ROWS = 1 << 18
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -137,7 +142,16 @@ def frequency_levels(parts: DataFrame) -> np.ndarray:
     return np.concatenate([by_part.get(i, empty) for i in range(SKETCH_PARTS)])
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("digest", pa.int64()), ("n", pa.int64())])
+def whole_signature(tokens: np.ndarray) -> bytes:
+    """WHOLE_BITS bits of a set; one that another set's lack stands for a token which that set lacks."""
+    bits = np.zeros(WHOLE_BITS, bool)
+    bits[(tokens >> np.uint64(20)).astype(np.int64) % WHOLE_BITS] = True
+    return np.packbits(bits).tobytes()
+
+
+_SETS = pa.schema(
+    [("doc_id", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("whole", pa.binary())]
+)
 _PARTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 
 
@@ -152,32 +166,34 @@ def _rows(columns: dict[str, list | pa.Array], size: int) -> pa.RecordBatch:
 def set_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sets and, from the same pass, the tasks' sketches of token frequencies.
 
-    Sets: doc_id, r1, r2 (row hashes), digest and n of every document; digest is
-    null and n 0 where the set is empty.  Sketches: part and counts.
+    Sets: doc_id, r1, r2 (row hashes), digest, n and whole (a signature) of every
+    document; digest and whole are null and n 0 where the set is empty.  Sketches:
+    part and counts.
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << SKETCH_BITS, np.uint16), set()
         for batch in batches:
-            digest, n = [None] * len(batch), [0] * len(batch)
+            digest, n, whole = [None] * len(batch), [0] * len(batch), [None] * len(batch)
             for i, d, tokens in _sets(batch, None, 3):
-                digest[i], n[i] = d, len(tokens)
+                digest[i], n[i], whole[i] = d, len(tokens), whole_signature(tokens)
                 if d not in seen:
                     seen.add(d)
                     _add(counts, tokens)
-            yield _rows({"doc_id": batch.column(0), "r1": batch.column(1), "r2": batch.column(2), "digest": digest, "n": n}, len(batch))
+            known = {"doc_id": batch.column(0), "r1": batch.column(1), "r2": batch.column(2)}
+            yield _rows({**known, "digest": digest, "n": n, "whole": whole}, len(batch))
         if seen:
             for part, held in enumerate(np.split(counts, SKETCH_PARTS)):
                 yield _rows({"part": [part], "counts": [held.tobytes()]}, 1)
 
     rows = docs.select(F.col("doc_id").cast("long"), *row_hashes(), F.col("text").cast("binary"))
-    schema = "doc_id long, r1 long, r2 long, digest long, n long, part int, counts binary"
+    schema = "doc_id long, r1 long, r2 long, digest long, n long, whole binary, part int, counts binary"
     stored = settled(rows.mapInArrow(digests, schema), "shingle-sets")
     return stored.filter("part is null").select(_SETS.names), stored.filter("part is not null").select(_PARTS.names)
 
 
-def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Prefix tokens under order one that several sets hold: token, a (a set), n (its size), the place of the token among the `held` ones of a, and their signature."""
+def shared_prefixes(docs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The sets whose prefixes under order one hold tokens of other sets' prefixes: a (a set), n (its size), these tokens in order, their signature and that of the whole set."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(sketches))  # 2 ** SKETCH_BITS bytes
 
     def first_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,12 +217,12 @@ def shared_prefixes(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     rows = docs.select(F.col("text").cast("binary")).mapInArrow(first_tokens, "token long, a long, n int")
     dealt = rows.repartition("token").sortWithinPartitions("token", "a")
     several = settled(dealt.mapInArrow(_several, "token long, a long, n int"), "shingle-runs")
-    own = Window.partitionBy("a")
     bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
     in_word = F.shiftright("token", 6).bitwiseAND(len(SIGNATURE) - 1)
-    signature = {s: F.bit_or(F.when(in_word == i, bit).otherwise(F.lit(0).cast("long"))).over(own) for i, s in enumerate(SIGNATURE)}
-    placed = several.withColumns({"held": F.count(F.lit(1)).over(own).cast("int"), **signature})
-    prefixes = settled(placed.withColumn("place", F.row_number().over(own.orderBy("token")) - 1), "shingle-prefixes")
+    signature = [F.bit_or(F.when(in_word == i, bit).otherwise(F.lit(0).cast("long"))).alias(s) for i, s in enumerate(SIGNATURE)]
+    held = several.groupBy("a").agg(F.min("n").alias("n"), F.sort_array(F.collect_list("token")).alias("tokens"), *signature)
+    whole = sets.filter("digest is not null").groupBy("digest").agg(F.min("whole").alias("whole"))
+    prefixes = settled(held.join(whole, F.col("a") == F.col("digest")).drop("digest"), "shingle-prefixes")
     forget(several)
     return prefixes
 
@@ -250,18 +266,32 @@ def _most_common(held: np.ndarray, signature: list[np.ndarray], x: np.ndarray, y
     return np.minimum(held[x] - only_x, held[y] - only_y)
 
 
+def _met(before: list[np.ndarray], token: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether rows x and y have a common one among the tokens before their own; where there are none, `before` has the own one."""
+    found = np.zeros(len(x), bool)
+    for p in before:
+        real = p[x] != token[x]
+        for q in before:
+            found |= real & (p[x] == q[y])
+    return found
+
+
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a run in different components that orders two (up) or three (down) allow to link.
+    """Pairs of a run in different components that order two and the signatures allow to link.
 
     A link takes `least` common ones among the tokens that two prefixes share
-    with others.  So in any order one of them is among the first held - least + 1
-    of either: a prefix of the prefix, in the order of the hashes and against it.
-    A bit of one signature that the other lacks stands for a held token that is
-    not common, so signatures bound the common ones from above.
+    with others.  So in the order of the hashes one of them is among the first
+    held - least + 1 of either: a prefix of the prefix.  A bit of one signature that
+    the other lacks stands for a token that is not common, so signatures bound the
+    common ones from above.  Sets that share an earlier token have met in its run,
+    where they pass the same tests: so the run of their first common token lists
+    them, and one with a common token shortly before does not.
     """
-    for token, label, a, n, place, held, *signature in _runs(batches):
+    for token, label, a, n, place, held, whole, *words in _runs(batches):
         if not len(token):
             continue
+        signature, before = words[: len(SIGNATURE)], words[len(SIGNATURE) :]
+        whole = list(np.frombuffer(b"".join(whole), np.int64).reshape(len(token), -1).T)
         n, place, held = n.astype(np.int64), place.astype(np.int64), held.astype(np.int64)
         end = np.searchsorted(token, token, "right")
         # rows of a run lie by component: what follows the own component is to be paired
@@ -272,16 +302,16 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while len(at):
             x, y = at, step[at]
             larger = np.maximum(n[x], n[y])
-            least = np.maximum(1, need(n[x], n[y]) - (larger - prefix_size(larger)))
+            common = need(n[x], n[y])
+            least = np.maximum(1, common - (larger - prefix_size(larger)))
             ok = 100 * np.minimum(n[x], n[y]) >= PERCENT * larger
-            up = ok & (place[x] + least <= held[x]) & (place[y] + least <= held[y])
-            down = ok & (place[x] + 1 >= least) & (place[y] + 1 >= least) & (np.minimum(held[x], held[y]) >= least)
-            either = np.flatnonzero(up | down)
-            either = either[_most_common(held, signature, x[either], y[either]) >= least[either]]
-            x, y, up, down = x[either], y[either], up[either], down[either]
+            some = np.flatnonzero(ok & (place[x] + least <= held[x]) & (place[y] + least <= held[y]))
+            some = some[_most_common(held, signature, x[some], y[some]) >= least[some]]
+            some = some[_most_common(n, whole, x[some], y[some]) >= common[some]]
+            some = some[~_met(before, token, x[some], y[some])]
+            x, y = x[some], y[some]
             if len(x):
-                low, high = np.minimum(a[x], a[y]), np.maximum(a[x], a[y])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (low, high, up, down)], ["a", "b", "up", "down"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], a[y])), pa.array(np.maximum(a[x], a[y]))], ["a", "b"])
             step[at] += 1
             at = at[step[at] < end[at]]
 
@@ -350,7 +380,7 @@ def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Adds the component of each set; a set without links is its own."""
     labels = components(links).withColumnRenamed("node", "_node")
     return shared.join(labels, F.col("a") == F.col("_node"), "left").select(
-        "token", F.coalesce("label", "a").alias("label"), "a", "n", "place", "held", *SIGNATURE
+        F.coalesce("label", "a").alias("label"), "a", "n", "tokens", "whole", *SIGNATURE
     )
 
 
@@ -363,6 +393,7 @@ def hub_pairs(labelled: DataFrame, turn: int) -> DataFrame:
     shares with a set, so an eighth of what a link takes will do.  What is not
     guessed is listed in full later.
     """
+    labelled = labelled.select(F.explode("tokens").alias("token"), "label", "a", "n", F.size("tokens").alias("held"))
     random = F.pmod(F.xxhash64(F.lit(turn), "a"), F.lit(1 << 20)) / float(1 << 20)
     one = F.struct(F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
     runs = (
@@ -389,22 +420,28 @@ def hub_pairs(labelled: DataFrame, turn: int) -> DataFrame:
     )
 
 
+def _token_rows(labelled: DataFrame) -> DataFrame:
+    """A row for each token of a set: its place among them, how many there are, and the ones before it (the token itself where there are none)."""
+    tokens, size = F.col("tokens"), F.size("tokens")
+    before = [
+        F.concat(F.slice(tokens, F.lit(1), F.lit(k)), F.slice(tokens, F.lit(1), F.greatest(size - k, F.lit(0)))).alias(name)
+        for k, name in enumerate(BEFORE, 1)
+    ]
+    shifted = labelled.select("label", "a", "n", size.alias("held"), "whole", *SIGNATURE, tokens.alias("token"), *before)
+    rows = shifted.select("label", "a", "n", "held", "whole", *SIGNATURE, F.posexplode(F.arrays_zip("token", *BEFORE)).alias("place", "z"))
+    return rows.select("z.token", "label", "a", "n", "place", "held", "whole", *SIGNATURE, *(f"z.{p}" for p in BEFORE))
+
+
 def all_pairs(labelled: DataFrame) -> DataFrame:
-    """All pairs of sets in different components that share prefix tokens under each of the orders."""
-    rows = labelled.select("token", "label", "a", "n", "place", "held", *SIGNATURE)
-    dealt = rows.repartition("token").sortWithinPartitions("token", "label", "a")
-    return (
-        dealt.mapInArrow(_cross_pairs, "a long, b long, up boolean, down boolean")
-        .groupBy("a", "b")
-        .agg(F.max("up").alias("up"), F.max("down").alias("down"))
-        .filter("up and down")
-    )
+    """All pairs of sets in different components that share prefix tokens under orders one and two."""
+    dealt = _token_rows(labelled).repartition("token").sortWithinPartitions("token", "label", "a")
+    return dealt.mapInArrow(_cross_pairs, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, r1, r2 (row hashes), n_shingles, group_id and component_id of every document."""
     sets, sketches = set_table(docs)
-    shared = shared_prefixes(docs, sketches)
+    shared = shared_prefixes(docs, sets, sketches)
     labelled = shared.withColumn("label", F.col("a"))
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
