@@ -116,12 +116,19 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order that brings rows of a group together, and each group's place in it."""
     order = np.argsort(group.astype(np.uint8), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        if edges[g] < edges[g + 1]:
-            yield g, order[edges[g] : edges[g + 1]]
+    edges = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+    return order, [(g, slice(edges[g], edges[g + 1])) for g in range(GROUPS) if edges[g] < edges[g + 1]]
+
+
+def _members(model: Model, h: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """The member layers' values of rows that lie by group."""
+    out = np.empty((len(h), GROUPS), np.float32)
+    for g, at in parts:
+        np.add(h[at] @ model[4][g], model[5][g], out=out[at])
+    return out
 
 
 def log_probabilities(model: Model, near: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -130,8 +137,8 @@ def log_probabilities(model: Model, near: np.ndarray, word: np.ndarray) -> np.nd
     group, member = word // GROUPS, word % GROUPS
     rows = np.arange(len(word))
     out = _log_softmax(h @ model[2] + model[3])[rows, group]
-    for g, at in _by_group(group):
-        out[at] += _log_softmax(h[at] @ model[4][g] + model[5][g])[np.arange(len(at)), member[at]]
+    order, parts = _by_group(group)
+    out[order] += _log_softmax(_members(model, h[order], parts))[rows, member[order]]
     return out
 
 
@@ -144,11 +151,16 @@ def train_step(model: Model, memory: Model, near: np.ndarray, word: np.ndarray)
     d_group[rows, group] -= 1
     d_h = d_group @ model[2].T
     grads = [None, None, h.T @ d_group, d_group.sum(0), np.zeros_like(model[4]), np.zeros_like(model[5])]
-    for g, at in _by_group(group):
-        d = _softmax(h[at] @ model[4][g] + model[5][g])
-        d[np.arange(len(at)), member[at]] -= 1
-        d_h[at] += d @ model[4][g].T
-        grads[4][g], grads[5][g] = h[at].T @ d, d.sum(0)
+    order, parts = _by_group(group)
+    by_group = h[order]
+    d = _softmax(_members(model, by_group, parts))
+    d[rows, member[order]] -= 1
+    d_member = np.empty_like(by_group)
+    for g, at in parts:
+        np.matmul(d[at], model[4][g].T, out=d_member[at])
+        np.matmul(by_group[at].T, d[at], out=grads[4][g])
+        grads[5][g] = d[at].sum(0)
+    d_h[order] += d_member
     d_h *= 1 - h * h
     grads[1] = d_h.sum(0)
     scale = np.float32(1 / len(word))
@@ -157,7 +169,7 @@ def train_step(model: Model, memory: Model, near: np.ndarray, word: np.ndarray)
         m += g * g
         p -= RATE * g / np.sqrt(m + 1e-8)
     for k in range(len(WINDOW)):
-        order = np.argsort(near[:, k], kind="stable")
+        order = np.argsort(near[:, k].astype(np.int16), kind="stable")  # of 16 bits: by counting
         ids = near[order, k]
         at = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         g, ids = np.add.reduceat(d_h[order], at) * scale, ids[at]
