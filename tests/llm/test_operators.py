@@ -321,6 +321,41 @@ def test_gradients():
     assert pseudo_likelihood.log_probabilities(model, near, word).mean() > before + 1
 
 
+def test_words_are_cut_for_classes_and_for_scores_only(spark):
+    """Rows are read for their size, for classes and counts, for scores, and beside the result."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = [(r[0], r[1]) for r in awkward_rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+    assert len(pseudo_likelihood.pseudo_likelihood(docs).collect()) == len(rows)
+    assert read.value <= 4 * len(rows)
+
+
+def test_masked_words_of_many_texts():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 1024, n).astype(np.int16) for n in (0, 1, 5, 6, 7, 40, 0, 13)]
+    seeds = rng.integers(0, 1 << 30, len(texts))
+    for turn in range(pseudo_likelihood.MASK_EVERY):
+        word, near = pseudo_likelihood.masked(texts, seeds, turn)
+        each = [pseudo_likelihood.targets(t, s, turn) for t, s in zip(texts, seeds.tolist(), strict=True)]
+        assert word.tolist() == [x for w, _ in each for x in w.tolist()]
+        assert near.tolist() == [x for _, n in each for x in n.tolist()]
+
+
+def test_run_sums_round_as_numpy_does():
+    rng = np.random.default_rng(6)
+    rows = rng.standard_normal((300, 16)).astype(np.float32)
+    for sizes in ([1], [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 17, 130], [1, 1, 1], [8, 8], [9], [2, 300, 1]):
+        place, at = rng.integers(0, len(rows), sum(sizes)), np.cumsum(sizes) - sizes
+        sums, order = pseudo_likelihood._run_sums(rows, place, at)
+        assert np.array_equal(sums, np.add.reduceat(rows[place], at)[order])
+
+
 def test_held_out_texts_beat_shuffled_ones(spark):
     """After training, unseen sentences of the same kind score above the same words in random order."""
     rng = random.Random(8)
